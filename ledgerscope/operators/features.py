@@ -98,42 +98,49 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p, allowMissingColumns=True)
-    u = u.withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
-
-    key = [sender, "_b"]
-    w_range = (Window.partitionBy(*key).orderBy("_us")
+    # One partition key for windows, bucket totals and the join back, so the
+    # ledger is shuffled once. A struct key compares nulls as equal, which
+    # keeps null senders together without a null-safe (re-shuffling) join.
+    b = F.floor(F.col("_us") / F.lit(bucket_us))
+    u = u.withColumns({"_key": F.struct(F.col(sender).alias("s"), b.alias("b")),
+                       "_kk": F.when(F.col("_k") == 0, 1).otherwise(0)})
+
+    # Exits sort before entries at the same instant, so a row exactly N days
+    # old has already left the window; entries tied at t are RANGE peers.
+    if with_gap:
+        w_rows = (Window.partitionBy("_key").orderBy("_us", "_kk", id_col)
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        u = u.withColumn("_prev", F.last(F.when(F.col("_k") == 0, F.col("_us")),
+                                         ignorenulls=True).over(w_rows))
+    w_range = (Window.partitionBy("_key").orderBy("_us", "_kk")
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     sums = {}
     for n in windows:
         sums[f"_c{n}"] = F.sum(f"_dc{n}").over(w_range)
         sums[f"_s{n}"] = F.sum(f"_ds{n}").over(w_range)
-    if with_gap:
-        w_rows = (Window.partitionBy(*key).orderBy("_us", "_k", id_col)
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        sums["_prev"] = F.last(F.when(F.col("_k") == 0, F.col("_us")), ignorenulls=True).over(w_rows)
-    u = u.withColumns(sums)
+    if sums:
+        u = u.withColumns(sums)
 
-    # Per-bucket totals, carried forward as offsets (a small table: one row per
-    # sender and active bucket).
+    # Per-bucket totals carried forward as offsets: a small table with one
+    # row per sender and active bucket, aggregated on the existing partitioning.
     aggs = []
     for n in windows:
         aggs += [F.sum(f"_dc{n}").alias(f"_tc{n}"), F.sum(f"_ds{n}").alias(f"_ts{n}")]
     if with_gap:
         aggs.append(F.max(F.when(F.col("_k") == 0, F.col("_us"))).alias("_bmax"))
-    tot = u.groupBy(*key).agg(*aggs)
-    wb = Window.partitionBy(sender).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = u.groupBy("_key").agg(*aggs)
+    wb = (Window.partitionBy(F.col("_key.s")).orderBy(F.col("_key.b"))
+          .rowsBetween(Window.unboundedPreceding, -1))
     offs = {}
     for n in windows:
         offs[f"_oc{n}"] = F.coalesce(F.sum(f"_tc{n}").over(wb), F.lit(0).cast("long"))
         offs[f"_os{n}"] = F.coalesce(F.sum(f"_ts{n}").over(wb), zero_dec)
     if with_gap:
         offs["_pmax"] = F.max("_bmax").over(wb)
-    tot = tot.select(F.col(sender).alias("_o_sender"), F.col("_b").alias("_o_b"),
-                     *[c.alias(k) for k, c in offs.items()])
+    tot = tot.select("_key", *[c.alias(k) for k, c in offs.items()])
 
     ent = u.filter(F.col("_k") == 0)
-    j = ent.join(tot, F.col(sender).eqNullSafe(F.col("_o_sender")) &
-                 F.col("_b").eqNullSafe(F.col("_o_b")), "left")
+    j = ent.join(tot, "_key", "left")
     out = {}
     if with_gap:
         prev = F.coalesce(F.col("_prev"), F.col("_pmax"))

@@ -93,3 +93,28 @@ FEAT_VIEW = f"""feat AS (
 
 def with_views(body: str, *views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n" + body
+
+
+def _d(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+# Rules + rules-only ensemble on top of the feature frame, as CTE ``scored``.
+SCORED_VIEW = f"""ruled AS (
+  SELECT *,
+    CASE WHEN near_threshold = 1 AND txn_count_1d >= 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS rule_structuring,
+    CASE WHEN amount > 50000 AND transaction_type IN ('cash_deposit', 'cash_withdrawal') THEN 1.0 ELSE 0.0 END::DOUBLE AS rule_large_cash,
+    CAST(is_rapid AS DOUBLE) AS rule_rapid,
+    CASE WHEN is_night = 1 AND amount > 10000 THEN 1.0 ELSE 0.0 END::DOUBLE AS rule_night_activity,
+    CASE WHEN is_round_amount = 1 AND amount > 5000 THEN 1.0 ELSE 0.0 END::DOUBLE AS rule_round_amount
+  FROM featr
+), scored0 AS (
+  SELECT *, least(greatest(((((({_d(0.0)} + rule_structuring * {_d(0.3)}) + rule_large_cash * {_d(0.25)})
+      + rule_rapid * {_d(0.2)}) + rule_night_activity * {_d(0.15)}) + rule_round_amount * {_d(0.1)}),
+      {_d(0.0)}), {_d(1.0)}) AS rule_score
+  FROM ruled
+), scored AS (
+  SELECT *, (rule_score * {_d(0.4)}) / {_d(0.4)} AS ensemble_score,
+    CASE WHEN (rule_score * {_d(0.4)}) / {_d(0.4)} >= 0.5 THEN 1 ELSE 0 END AS is_alert
+  FROM scored0
+)"""
