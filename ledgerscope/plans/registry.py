@@ -63,7 +63,7 @@ def sql_cols(spec: str) -> str:
             items.append(cur)
             cur = ""
             continue
-        depth += (ch == "(") - (ch == ")")
+        depth += (ch in "([") - (ch in ")]")
         cur += ch
     items.append(cur)
     for item in [x.strip() for x in items if x.strip()]:
