@@ -45,10 +45,15 @@ DASHBOARD_FEATURES = [
 ]
 
 
+def window_label(n) -> str:
+    """'1' for 1 or 1.0 days, '0.5' for half a day."""
+    return str(int(n)) if float(n).is_integer() else str(n)
+
+
 def velocity_columns(windows=DEFAULT_WINDOWS) -> list[str]:
     out = []
     for n in windows:
-        out += [f"txn_count_{n}d", f"txn_sum_{n}d"]
+        out += [f"txn_count_{window_label(n)}d", f"txn_sum_{window_label(n)}d"]
     return out
 
 
@@ -83,17 +88,20 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
     windows = list(windows) if with_velocity else []
 
     # Entry rows carry every input column; exit rows only what the sums need.
+    # Internal columns are indexed by window position; outputs use labels.
+    idx = list(range(len(windows)))
     entry_cols = {"_us": us, "_k": F.lit(0)}
-    for n in windows:
-        entry_cols[f"_dc{n}"] = has_amt.cast("long")
-        entry_cols[f"_ds{n}"] = amt_dec
+    for i in idx:
+        entry_cols[f"_dc{i}"] = has_amt.cast("long")
+        entry_cols[f"_ds{i}"] = amt_dec
     entries = df.withColumns(entry_cols)
     parts = [entries]
-    for n in windows:
-        ex = {sender: F.col(sender), "_us": us + F.lit(n * MICROS_PER_DAY), "_k": F.lit(n)}
-        for m in windows:
-            ex[f"_dc{m}"] = -has_amt.cast("long") if m == n else F.lit(0).cast("long")
-            ex[f"_ds{m}"] = -amt_dec if m == n else zero_dec
+    for i, n in enumerate(windows):
+        shift = int(round(float(n) * MICROS_PER_DAY))
+        ex = {sender: F.col(sender), "_us": us + F.lit(shift), "_k": F.lit(i + 1)}
+        for m in idx:
+            ex[f"_dc{m}"] = -has_amt.cast("long") if m == i else F.lit(0).cast("long")
+            ex[f"_ds{m}"] = -amt_dec if m == i else zero_dec
         parts.append(df.select([c.alias(k) for k, c in ex.items()]))
     u = parts[0]
     for p in parts[1:]:
@@ -115,26 +123,26 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
     w_range = (Window.partitionBy("_key").orderBy("_us", "_kk")
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     sums = {}
-    for n in windows:
-        sums[f"_c{n}"] = F.sum(f"_dc{n}").over(w_range)
-        sums[f"_s{n}"] = F.sum(f"_ds{n}").over(w_range)
+    for i in idx:
+        sums[f"_c{i}"] = F.sum(f"_dc{i}").over(w_range)
+        sums[f"_s{i}"] = F.sum(f"_ds{i}").over(w_range)
     if sums:
         u = u.withColumns(sums)
 
     # Per-bucket totals carried forward as offsets: a small table with one
     # row per sender and active bucket, aggregated on the existing partitioning.
     aggs = []
-    for n in windows:
-        aggs += [F.sum(f"_dc{n}").alias(f"_tc{n}"), F.sum(f"_ds{n}").alias(f"_ts{n}")]
+    for i in idx:
+        aggs += [F.sum(f"_dc{i}").alias(f"_tc{i}"), F.sum(f"_ds{i}").alias(f"_ts{i}")]
     if with_gap:
         aggs.append(F.max(F.when(F.col("_k") == 0, F.col("_us"))).alias("_bmax"))
     tot = u.groupBy("_key").agg(*aggs)
     wb = (Window.partitionBy(F.col("_key.s")).orderBy(F.col("_key.b"))
           .rowsBetween(Window.unboundedPreceding, -1))
     offs = {}
-    for n in windows:
-        offs[f"_oc{n}"] = F.coalesce(F.sum(f"_tc{n}").over(wb), F.lit(0).cast("long"))
-        offs[f"_os{n}"] = F.coalesce(F.sum(f"_ts{n}").over(wb), zero_dec)
+    for i in idx:
+        offs[f"_oc{i}"] = F.coalesce(F.sum(f"_tc{i}").over(wb), F.lit(0).cast("long"))
+        offs[f"_os{i}"] = F.coalesce(F.sum(f"_ts{i}").over(wb), zero_dec)
     if with_gap:
         offs["_pmax"] = F.max("_bmax").over(wb)
     tot = tot.select("_key", *[c.alias(k) for k, c in offs.items()])
@@ -146,9 +154,10 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
         prev = F.coalesce(F.col("_prev"), F.col("_pmax"))
         gap = F.coalesce((F.col("_us") - prev) / F.lit(float(MICROS_PER_SECOND)), F.lit(0.0))
         out["time_since_last_txn"] = gap
-    for n in windows:
-        out[f"txn_count_{n}d"] = (F.col(f"_c{n}") + F.col(f"_oc{n}")).cast("long")
-        out[f"txn_sum_{n}d"] = (F.col(f"_s{n}") + F.col(f"_os{n}")).cast("double")
+    for i, n in enumerate(windows):
+        lab = window_label(n)
+        out[f"txn_count_{lab}d"] = (F.col(f"_c{i}") + F.col(f"_oc{i}")).cast("long")
+        out[f"txn_sum_{lab}d"] = (F.col(f"_s{i}") + F.col(f"_os{i}")).cast("double")
     j = j.withColumns(out)
     if with_gap:
         j = j.withColumn("is_rapid", flag((F.col("time_since_last_txn") > 0) &
