@@ -304,3 +304,18 @@ def engineer_dashboard_features(df: DataFrame, *, sender="sender_account",
     t = network_features(t, sender, receiver, with_pairs=False, approx=approx)
     extra = [c for c in DASHBOARD_FEATURES if c not in df.columns]
     return fill_numeric_nulls(t.select(*df.columns, *extra))
+
+
+ACCOUNT_VECTOR_COLUMNS = ["f_avg", "f_std", "f_cnt", "f_rcv"]
+
+
+def account_vectors(df: DataFrame, sender="sender_account", receiver="receiver_account",
+                    amount="amount") -> DataFrame:
+    """Per-sender behaviour vector (mean amount, sample std or 0, transfer
+    count, distinct receivers): the unit the account-level LOF and DBSCAN
+    queries cluster."""
+    a = F.col(amount)
+    return df.groupBy(sender).agg(
+        F.avg(a).alias("f_avg"), F.coalesce(F.stddev_samp(a), F.lit(0.0)).alias("f_std"),
+        F.count(a).cast("double").alias("f_cnt"),
+        F.count_distinct(receiver).cast("double").alias("f_rcv"))

@@ -91,8 +91,8 @@ FEAT_VIEW = f"""feat AS (
 )"""
 
 
-def with_views(body: str, *views: str) -> str:
-    return "WITH " + ",\n".join(views) + "\n" + body
+def with_views(body: str, *views: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(views) + "\n" + body
 
 
 def _d(x: float) -> str:
@@ -118,3 +118,21 @@ SCORED_VIEW = f"""ruled AS (
     CASE WHEN (rule_score * {_d(0.4)}) / {_d(0.4)} >= 0.5 THEN 1 ELSE 0 END AS is_alert
   FROM scored0
 )"""
+
+
+def _z(c: str) -> str:
+    return (f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / "
+            f"stddev_pop({c}) OVER () ELSE 0.0 END AS {c}")
+
+
+# Standardised per-sender vectors, as CTE ``acct_vec``.
+ACCT_VEC_VIEW = f"""acct_vec0 AS (
+  SELECT sender_account, avg(amount) AS f_avg, coalesce(stddev_samp(amount), 0.0) AS f_std,
+    CAST(count(amount) AS DOUBLE) AS f_cnt, CAST(count(DISTINCT receiver_account) AS DOUBLE) AS f_rcv
+  FROM txn GROUP BY sender_account
+), acct_vec AS (
+  SELECT sender_account, {_z("f_avg")}, {_z("f_std")}, {_z("f_cnt")}, {_z("f_rcv")} FROM acct_vec0
+)"""
+
+VEC_DIST = ("sqrt((a.f_avg - b.f_avg) * (a.f_avg - b.f_avg) + (a.f_std - b.f_std) * (a.f_std - b.f_std)"
+            " + (a.f_cnt - b.f_cnt) * (a.f_cnt - b.f_cnt) + (a.f_rcv - b.f_rcv) * (a.f_rcv - b.f_rcv))")
