@@ -85,8 +85,10 @@ def connected_min_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
 def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float = 0.5,
            min_samples: int = 10, scale: bool = True, grid_dims: int = 2) -> DataFrame:
     """(id, cluster, is_core, is_noise); cluster -1 is noise."""
+    checkpoint_dir(df.sparkSession)
     x = standardize(df, cols)[0] if scale else df
-    pairs = eps_pairs(x, id_col, cols, eps, grid_dims)
+    # The pair table feeds degrees, the core graph and border attachment.
+    pairs = eps_pairs(x, id_col, cols, eps, grid_dims).checkpoint(eager=True)
     deg = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     core = deg.filter(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
     ce = (pairs.join(core.withColumnRenamed("id", "a"), "a")

@@ -89,6 +89,7 @@ class IsolationForestModel:
     nodes: pd.DataFrame
     psi: int
     n_trees: int
+    contamination: float = 0.03
     offset: float | None = None
 
     def _arrays(self):
@@ -149,18 +150,23 @@ def fit_isolation_forest(df: DataFrame, id_col: str, cols: list[str], n_estimato
     psi = int(min(max_samples, n))
     height = int(math.ceil(math.log2(max(psi, 2))))
     p = min(1.0, 3.0 * psi / max(n, 1))
-    cand = (x.select(F.col(id_col).alias("_id"), *zc)
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_estimators - 1))))
-            .withColumn("_h", hash_unit("_id", seed, F.col("tree")))) if p >= 1.0 else None
-    if cand is None:
+    base = x.select(F.col(id_col).alias("_id"), *zc)
+    if n >= 3 * psi * n_estimators:
         # Large inputs: one hash per row picks at most one tree (disjoint
-        # subsamples), keeping about 3 * psi candidates per tree.
-        u = hash_unit(id_col, seed)
-        cand = (x.select(F.col(id_col).alias("_id"), *zc, u.alias("_u"))
-                .filter(F.col("_u") < F.lit(min(1.0, p * n_estimators)))
-                .withColumn("tree", F.floor(F.col("_u") / F.lit(p)).cast("long"))
-                .filter(F.col("tree") < n_estimators)
-                .withColumn("_h", hash_unit("_id", seed + 1, F.col("tree"))))
+        # subsamples), about 3 * psi candidates per tree.
+        u = hash_unit("_id", seed)
+        cand = (base.withColumn("_u", u).filter(F.col("_u") < F.lit(p * n_estimators))
+                .withColumn("tree", F.floor(F.col("_u") / F.lit(p)).cast("long")))
+    else:
+        # Smaller inputs: a row is a candidate of tree t when its tree-salted
+        # hash is below p; only those (row, tree) pairs are emitted.
+        def unit(t):
+            h = F.xxhash64(F.col("_id"), F.lit(int(seed)), t)
+            return F.when(h < 0, -(h + F.lit(1))).otherwise(h).cast("double") / F.lit(float(2 ** 63))
+        trees = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_estimators - 1).cast("long")),
+                         lambda t: unit(t) < F.lit(p))
+        cand = base.withColumn("tree", F.explode(trees))
+    cand = cand.withColumn("_h", hash_unit("_id", seed + 1, F.col("tree")))
     from pyspark.sql import Window
     w = Window.partitionBy("tree").orderBy("_h", "_id")
     sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi)
@@ -170,10 +176,8 @@ def fit_isolation_forest(df: DataFrame, id_col: str, cols: list[str], n_estimato
 
     nodes = (sample.select("tree", "_id", *zc).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
              .toPandas())
-    model = IsolationForestModel(list(cols), moments, nodes, psi, n_estimators)
-    raw = model.raw_scores(df.select(id_col, *cols))
-    model.offset = exact_quantiles(raw, "if_raw", [contamination]).first()[0]
-    return model
+    return IsolationForestModel(list(cols), moments, nodes, psi, n_estimators,
+                                contamination=contamination)
 
 
 def isolation_forest_scores(df: DataFrame, id_col: str, cols: list[str], n_estimators: int = 200,
@@ -182,6 +186,9 @@ def isolation_forest_scores(df: DataFrame, id_col: str, cols: list[str], n_estim
     """D3 + D4: raw score, label (-1 anomaly / 1 normal) and the min-max
     flipped score ``if_score`` in [0, 1] (1 = most suspicious)."""
     model = model or fit_isolation_forest(df, id_col, cols, n_estimators, contamination, seed)
-    raw = model.raw_scores(df)
+    # Pinned once: the label offset, the normaliser and the caller all read it.
+    raw = model.raw_scores(df).checkpoint(eager=True)
+    if model.offset is None:  # offset from the training scores, as the reference
+        model.offset = exact_quantiles(raw, "if_raw", [model.contamination]).first()[0]
     lab = F.when(F.col("if_raw") < F.lit(model.offset), -1).otherwise(1)
     return minmax_flip(raw.withColumn("if_label", lab), "if_raw", "if_score")

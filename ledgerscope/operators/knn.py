@@ -36,8 +36,8 @@ def _sq_dist(Q: np.ndarray, R: np.ndarray) -> np.ndarray:
 
 
 def _prepare(query: DataFrame, ref: DataFrame, id_col: str, cols: list[str],
-             block_rows: int, extra_ref: list[str] = ()):
-    nq, nr = query.count(), ref.count()
+             block_rows: int, extra_ref: list[str] = (), counts=None):
+    nq, nr = counts if counts else (query.count(), ref.count())
     bq, br = _blocks(nq, block_rows), _blocks(nr, block_rows)
     vec = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]
     q = query.select(F.col(id_col).alias("qid"), *vec).withColumns({
@@ -50,13 +50,14 @@ def _prepare(query: DataFrame, ref: DataFrame, id_col: str, cols: list[str],
 
 
 def knn_edges(query: DataFrame, ref: DataFrame, id_col: str, cols: list[str], k: int,
-              exclude_self: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+              exclude_self: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS,
+              counts=None) -> DataFrame:
     """Exact k nearest reference rows of every query row.
 
     Returns (qid, rid, dist, rank) with rank 1..k; ties in distance are
     broken by the smaller reference id. With ``exclude_self`` a row is not
     its own neighbour (ids compared), as in transductive LOF."""
-    q, r, d = _prepare(query, ref, id_col, cols, block_rows)
+    q, r, d = _prepare(query, ref, id_col, cols, block_rows, counts=counts)
     xs = [f"x{i}" for i in range(d)]
 
     def kernel(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:

@@ -35,10 +35,12 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
     """Transductive LOF. Returns (id, negative_outlier_factor, lof_label,
     lof_score) with label -1 below the contamination percentile of the
     negative factor and score the min-max flip of it (1 = most outlying)."""
-    x = standardize(df, cols)[0] if scale else df
+    x = standardize(df, cols)[0].checkpoint(eager=True) if scale else df
     n = x.count()
     k_eff = max(1, min(k, n - 1))
-    knn = knn_edges(x, x, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows)
+    # The edge table feeds three joins: compute it once.
+    knn = knn_edges(x, x, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
+                    counts=(n, n)).checkpoint(eager=True)
     f = lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
                                         (-F.col("lof")).alias("negative_outlier_factor"))
     off = exact_quantiles(f, "negative_outlier_factor", [contamination]).first()[0]
@@ -54,14 +56,15 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
     get 0.0 (the reference default) or, with ``score_all``, are scored
     against the fitted sample (k nearest sample rows, their k-distance and
     density). Standardisation is fitted on the full input."""
-    x, _m = standardize(df, cols)
-    s = sample_exact(x, sample_size, seed, id_col)
+    x = standardize(df, cols)[0].checkpoint(eager=True)
+    s = sample_exact(x, sample_size, seed, id_col).checkpoint(eager=True)
     fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
     if not score_all:
         return attach_sampled(df, fit.select(id_col, "lof_score"), "lof_score", 0.0, id_col)
     n = s.count()
     k_eff = max(1, min(k, n - 1))
-    knn_s = knn_edges(s, s, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows)
+    knn_s = knn_edges(s, s, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
+                      counts=(n, n)).checkpoint(eager=True)
     model = lof_from_knn(knn_s, k_eff).select("id", "kdist", "lrd")
     rest = x.join(s.select(id_col), id_col, "left_anti")
     kq = knn_edges(rest, s, id_col, cols, k_eff, exclude_self=False, block_rows=block_rows)

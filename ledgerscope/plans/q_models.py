@@ -54,9 +54,10 @@ def s5(spark, sf):
 
 _KNN = (f"pairs AS (SELECT a.sender_account AS qid, b.sender_account AS rid, {VEC_DIST} AS dist "
         "FROM acct_vec a JOIN acct_vec b ON a.sender_account <> b.sender_account), "
+        f"keff AS (SELECT least({LOF_K}, count(*) - 1) AS k FROM acct_vec), "
         "knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rn "
-        f"FROM pairs) WHERE rn <= {LOF_K}), "
-        f"kd AS (SELECT qid AS id, dist AS kdist FROM knn WHERE rn = {LOF_K}), "
+        "FROM pairs) WHERE rn <= (SELECT k FROM keff)), "
+        "kd AS (SELECT qid AS id, dist AS kdist FROM knn WHERE rn = (SELECT k FROM keff)), "
         "lrd AS (SELECT k.qid AS id, 1.0 / (avg(greatest(kd.kdist, k.dist)) + 1e-10) AS lrd "
         "FROM knn k JOIN kd ON kd.id = k.rid GROUP BY k.qid), "
         "lof AS (SELECT k.qid AS id, -avg(o.lrd / p.lrd) AS nof FROM knn k JOIN lrd o ON o.id = k.rid "
@@ -180,8 +181,11 @@ def c4(spark, sf):
 # -- seeded models (rows-only checks) -----------------------------------------------------
 
 def _features(spark, sf):
+    """Feature frame pinned in the shared checkpoint folder: model fitting
+    runs several actions over it."""
+    checkpoint_dir(spark)
     txn, _ = views(spark, sf)
-    f = FE.engineer_all_features(txn)
+    f = FE.engineer_all_features(txn).checkpoint(eager=True)
     return f, FE.feature_columns(f)
 
 

@@ -45,8 +45,16 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(out)
 
 
+_VIEWS: dict = {}
+
+
 def views(spark: SparkSession, sf_dir: str):
-    return load_views(spark, sf_dir)
+    """(txn, acct) for a directory. The DataFrame objects (plans, not data)
+    are reused per session so footers are not re-read for every query."""
+    key = (id(spark), sf_dir)
+    if key not in _VIEWS:
+        _VIEWS[key] = load_views(spark, sf_dir)
+    return _VIEWS[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
