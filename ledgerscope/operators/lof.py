@@ -41,8 +41,11 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
     # The edge table feeds three joins: compute it once.
     knn = knn_edges(x, x, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
                     counts=(n, n)).checkpoint(eager=True)
+    # Pinned: the label offset, the normaliser and the output must see the
+    # same doubles (aggregation order can differ between recomputations).
     f = lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
-                                        (-F.col("lof")).alias("negative_outlier_factor"))
+                                        (-F.col("lof")).alias("negative_outlier_factor")
+                                        ).checkpoint(eager=True)
     off = exact_quantiles(f, "negative_outlier_factor", [contamination]).first()[0]
     f = f.withColumn("lof_label", F.when(F.col("negative_outlier_factor") < F.lit(off), -1)
                      .otherwise(1))
@@ -76,5 +79,6 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
                        (-(F.col("lrd_o") / F.col("lrd_q"))).alias("negative_outlier_factor"))
     fitted = lof_from_knn(knn_s, k_eff).select(F.col("id").alias(id_col),
                                                (-F.col("lof")).alias("negative_outlier_factor"))
-    allf = minmax_flip(fitted.unionByName(new), "negative_outlier_factor", "lof_score")
+    allf = minmax_flip(fitted.unionByName(new).checkpoint(eager=True),
+                       "negative_outlier_factor", "lof_score")
     return df.join(allf.select(id_col, "lof_score"), id_col, "left").na.fill(0.0, ["lof_score"])

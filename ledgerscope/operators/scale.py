@@ -36,7 +36,9 @@ def standardize(df: DataFrame, cols: list[str], moments: dict | None = None,
 
 def minmax_flip(df: DataFrame, raw_col: str, out_col: str) -> DataFrame:
     """1 - (s - min) / (max - min), 0 when all raw scores are equal.
-    Lower raw score = more anomalous -> higher output."""
+    Lower raw score = more anomalous -> higher output. ``df`` is read twice
+    (scalars, then rows): pass a pinned (checkpointed) frame when its scores
+    come from aggregates whose float order may vary between runs."""
     r = df.agg(F.min(raw_col).alias("lo"), F.max(raw_col).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None or hi is None or not (hi - lo > 0):
