@@ -154,15 +154,12 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
         prev = F.coalesce(F.col("_prev"), F.col("_pmax"))
         gap = F.coalesce((F.col("_us") - prev) / F.lit(float(MICROS_PER_SECOND)), F.lit(0.0))
         out["time_since_last_txn"] = gap
+        out["is_rapid"] = flag((gap > 0) & (gap < RAPID_SECONDS))
     for i, n in enumerate(windows):
         lab = window_label(n)
         out[f"txn_count_{lab}d"] = (F.col(f"_c{i}") + F.col(f"_oc{i}")).cast("long")
         out[f"txn_sum_{lab}d"] = (F.col(f"_s{i}") + F.col(f"_os{i}")).cast("double")
-    j = j.withColumns(out)
-    if with_gap:
-        j = j.withColumn("is_rapid", flag((F.col("time_since_last_txn") > 0) &
-                                          (F.col("time_since_last_txn") < RAPID_SECONDS)))
-    return j.select(*df.columns, *out.keys(), *(["is_rapid"] if with_gap else []))
+    return j.select(*df.columns, *[c.alias(k) for k, c in out.items()])
 
 
 def time_features(df: DataFrame, sender: str = "sender_account", ts: str = "timestamp",
@@ -276,20 +273,51 @@ def feature_columns(df: DataFrame, exclude=NON_FEATURE_COLUMNS) -> list[str]:
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
+def _fused_frame(df: DataFrame, windows, with_velocity: bool, with_pairs: bool,
+                 with_min_max: bool, sender, receiver, ts, amount, id_col, approx, bucket_days,
+                 columns: list[str]) -> DataFrame:
+    """Time pass, three aggregate joins, then one projection computing every
+    derived column and the null fill (few DataFrame operations, so plan
+    analysis stays cheap)."""
+    t = _sender_time_pass(df, windows, True, with_velocity, sender, ts, amount, id_col, bucket_days)
+    t = t.join(sender_amount_stats(df, sender, amount, approx, with_min_max), on=sender, how="left")
+    net = distinct_receivers(df, sender, receiver, approx)
+    t = t.join(net, on=sender, how="left")
+    t = t.join(distinct_senders(df, sender, receiver, approx), on=receiver, how="left")
+    if with_pairs:
+        pc = pair_counts(df, sender, receiver)
+        t = t.join(pc, (pair_low(sender, receiver) == pc._pair_lo) &
+                   (pair_high(sender, receiver) == pc._pair_hi), "left")
+    a, avg, std = F.col(amount), F.col("acct_avg_amount"), F.col("acct_std_amount")
+    derived = {
+        "hour": F.hour(ts), "day_of_week": day_of_week(ts), "is_weekend": is_weekend(ts),
+        "is_night": is_night(ts), "month": F.month(ts),
+        "amount_zscore": F.when(std > 0, (a - avg) / std).otherwise(F.lit(0.0)),
+        "amount_to_avg_ratio": F.when(avg > 0, a / avg).otherwise(F.lit(0.0)),
+        "is_round_amount": is_round_amount(amount), "near_threshold": near_threshold(amount),
+        "is_self_transfer": is_self_transfer(sender, receiver),
+    }
+    if with_pairs:
+        derived["pair_txn_count"] = F.coalesce(F.col("pair_txn_count"), F.lit(0)).cast("long")
+    types = {f.name: f.dataType for f in t.schema.fields}
+    out = []
+    for c in columns:
+        e = derived.get(c, F.col(c))
+        numeric = c in derived or isinstance(types.get(c), T.NumericType)
+        out.append((F.coalesce(e, F.lit(0)) if numeric else e).alias(c))
+    return t.select(*out)
+
+
 def engineer_all_features(df: DataFrame, windows=DEFAULT_WINDOWS, *,
                           sender="sender_account", receiver="receiver_account",
                           ts="timestamp", amount="amount", id_col="transaction_id",
                           approx: bool = False, bucket_days: float = 1.0) -> DataFrame:
     """Time -> amount -> network -> velocity -> null fill, as one lazy plan.
     The gap and the trailing windows share one exchange on (sender, bucket)."""
-    t = _sender_time_pass(df, windows, True, bool(windows), sender, ts, amount, id_col,
-                          bucket_days)
-    t = calendar_features(t, ts)
-    t = amount_features(t, sender, amount, approx_median=approx)
-    t = network_features(t, sender, receiver, with_pairs=True, approx=approx)
     cols = [*df.columns, *TIME_COLUMNS, *AMOUNT_COLUMNS, *NETWORK_COLUMNS,
             *velocity_columns(windows)]
-    return fill_numeric_nulls(t.select(*cols))
+    return _fused_frame(df, windows, bool(windows), True, True, sender, receiver, ts, amount,
+                        id_col, approx, bucket_days, cols)
 
 
 def engineer_dashboard_features(df: DataFrame, *, sender="sender_account",
@@ -298,12 +326,9 @@ def engineer_dashboard_features(df: DataFrame, *, sender="sender_account",
                                 approx: bool = False, bucket_days: float = 1.0) -> DataFrame:
     """The dashboard's lighter frame: no velocity, no pair count, no
     min/max of amount."""
-    t = _sender_time_pass(df, [], True, False, sender, ts, amount, id_col, bucket_days)
-    t = calendar_features(t, ts)
-    t = amount_features(t, sender, amount, approx_median=approx, with_min_max=False)
-    t = network_features(t, sender, receiver, with_pairs=False, approx=approx)
-    extra = [c for c in DASHBOARD_FEATURES if c not in df.columns]
-    return fill_numeric_nulls(t.select(*df.columns, *extra))
+    cols = [*df.columns, *[c for c in DASHBOARD_FEATURES if c not in df.columns]]
+    return _fused_frame(df, [], False, False, False, sender, receiver, ts, amount, id_col,
+                        approx, bucket_days, cols)
 
 
 ACCOUNT_VECTOR_COLUMNS = ["f_avg", "f_std", "f_cnt", "f_rcv"]
