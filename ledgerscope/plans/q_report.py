@@ -308,3 +308,17 @@ def u1(spark, sf):
     txn, _ = views(spark, sf)
     parts = [txn.filter(F.col("is_suspicious") == 0), txn.filter(F.col("is_suspicious") == 1)]
     return GR.union_all(*parts).select("transaction_id", "amount", "pattern_type")
+
+
+@register("j6_attach_sampled", _sql(
+    "transaction_id:i, queue_score:d=coalesce(q.ensemble_score, 0.0)",
+    "FROM txn t LEFT JOIN (SELECT transaction_id, ensemble_score FROM disp WHERE is_alert = 1 "
+    "ORDER BY ensemble_score DESC, transaction_id LIMIT 500) q USING (transaction_id)"))
+def j6(spark, sf):
+    """Scores computed on a subset (the alert queue) attached to every
+    transfer; transfers outside the subset get the default 0.0."""
+    from ledgerscope.operators.sampling import attach_sampled
+    txn, _ = views(spark, sf)
+    q = RP.alert_queue(display(spark, sf), 500).select(
+        "transaction_id", F.col("ensemble_score").alias("queue_score"))
+    return attach_sampled(txn.select("transaction_id"), q, "queue_score", 0.0)
