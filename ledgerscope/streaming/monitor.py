@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,27 +92,27 @@ def sender_gap_state(df: DataFrame, watermark: str = "1 day", state_ttl_ms: int
             return
         us = pdf["timestamp"].astype("datetime64[us]").astype("int64")
         pdf = pdf.assign(_us=us).sort_values(["_us", "transaction_id"], kind="stable")
-        last = state.get[0] if state.exists else None
-        gaps, strag = [], []
-        for u in pdf["_us"].to_numpy():
-            if last is None:
-                gaps.append(0.0); strag.append(0)  # noqa: E702
-                last = u
-            elif u < last:
-                gaps.append(0.0); strag.append(1)  # noqa: E702
-            else:
-                gaps.append((u - last) / 1e6); strag.append(0)  # noqa: E702
-                last = u
+        u = pdf["_us"].to_numpy()
+        first_ever = not state.exists
+        last = state.get[0] if state.exists else int(u[0])
+        # previous event time seen before each row = running max (state first)
+        prev = np.maximum.accumulate(np.concatenate([[last], u[:-1]]))
+        strag = (u < prev).astype("int32")
+        gaps = np.where(strag == 1, 0.0, (u - prev) / 1e6)
+        if first_ever:
+            gaps[0] = 0.0
+        last = int(max(last, u.max()))
         state.update((int(last),))
         state.setTimeoutTimestamp(int(last // 1000) + state_ttl_ms)
         g = pd.Series(gaps, index=pdf.index)
+        strag = pd.Series(strag, index=pdf.index)
         yield pd.DataFrame({
             "transaction_id": pdf["transaction_id"].astype("int64"),
             "sender_account": pdf["sender_account"].astype("int64"),
             "timestamp": pdf["timestamp"],
             "time_since_last_txn": g,
             "is_rapid": ((g > 0) & (g < RAPID_SECONDS)).astype("int32"),
-            "is_straggler": pd.Series(strag, index=pdf.index, dtype="int32"),
+            "is_straggler": strag.astype("int32"),
         })
 
     return f.groupBy("sender_account").applyInPandasWithState(

@@ -106,3 +106,11 @@ def test_edge_pairs(spark):
     f = _rows(FE.network_features(df))
     assert [f[i]["pair_txn_count"] for i in (1, 2, 3)] == [2, 2, 1]
     assert [f[i]["is_self_transfer"] for i in (1, 2, 3)] == [0, 0, 1]
+
+
+def test_exact_median_hot_senders(spark, ledger):
+    txn = ledger[0]
+    want = txn.toPandas().groupby("sender_account")["amount"].median().to_dict()
+    got = FE.sender_amount_stats(txn, hot_group_rows=3).collect()  # most senders are "hot"
+    assert len(got) == len(want)
+    assert all(abs(r.acct_median_amount - want[r.sender_account]) < 1e-9 for r in got)
