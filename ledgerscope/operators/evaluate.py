@@ -17,16 +17,8 @@ def _div0(a, b):
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def evaluate_detection(df: DataFrame, truth: str = "is_suspicious",
-                       pred: str = "is_alert") -> DataFrame:
-    """Confusion counts, precision / recall / F1 (0 on zero division),
-    alert and label totals, alert rate; one row.
-
-    Like the reference, when truth and prediction together hold a single
-    label value the four confusion counts are reported as 0."""
-    t = F.col(truth).cast("long")
-    p = F.col(pred).cast("long")
-    agg = df.agg(
+def _detection_aggs(t, p) -> list:
+    return [
         F.sum(F.when((t == 1) & (p == 1), 1).otherwise(0)).alias("tp"),
         F.sum(F.when((t == 0) & (p == 1), 1).otherwise(0)).alias("fp"),
         F.sum(F.when((t == 0) & (p == 0), 1).otherwise(0)).alias("tn"),
@@ -36,25 +28,34 @@ def evaluate_detection(df: DataFrame, truth: str = "is_suspicious",
         F.avg(p.cast("double")).alias("alert_rate"),
         F.max(((t == 0) | (p == 0)).cast("int")).alias("_has0"),
         F.max(((t == 1) | (p == 1)).cast("int")).alias("_has1"),
-    )
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    prec = _div0(tp.cast("double"), (tp + fp).cast("double"))
-    rec = _div0(tp.cast("double"), (tp + fn).cast("double"))
-    f1 = _div0((2 * tp).cast("double"), (2 * tp + fp + fn).cast("double"))
-    two = (F.col("_has0") == 1) & (F.col("_has1") == 1)
+    ]
 
-    def cm(c):
-        return F.when(two, F.col(c)).otherwise(F.lit(0)).cast("long").alias(
-            {"tp": "true_positives", "fp": "false_positives", "tn": "true_negatives",
-             "fn": "false_negatives"}[c])
 
-    return agg.select(
-        prec.alias("precision"), rec.alias("recall"), f1.alias("f1_score"),
-        cm("tp"), cm("fp"), cm("tn"), cm("fn"),
+def _detection_cols() -> list:
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    two = (F.col("_has0") == 1) & (F.col("_has1") == 1)
+    names = {"tp": "true_positives", "fp": "false_positives", "tn": "true_negatives",
+             "fn": "false_negatives"}
+    return [
+        _div0(tp.cast("double"), (tp + fp).cast("double")).alias("precision"),
+        _div0(tp.cast("double"), (tp + fn).cast("double")).alias("recall"),
+        _div0((2 * tp).cast("double"), (2 * tp + fp + fn).cast("double")).alias("f1_score"),
+        *[F.when(two, F.col(c)).otherwise(F.lit(0)).cast("long").alias(n) for c, n in names.items()],
         F.coalesce(F.col("total_alerts"), F.lit(0)).cast("long").alias("total_alerts"),
         F.coalesce(F.col("total_suspicious"), F.lit(0)).cast("long").alias("total_suspicious"),
         F.col("alert_rate"),
-    )
+    ]
+
+
+def evaluate_detection(df: DataFrame, truth: str = "is_suspicious",
+                       pred: str = "is_alert") -> DataFrame:
+    """Confusion counts, precision / recall / F1 (0 on zero division),
+    alert and label totals, alert rate; one row from one aggregate pass.
+
+    Like the reference, when truth and prediction together hold a single
+    label value the four confusion counts are reported as 0."""
+    t, p = F.col(truth).cast("long"), F.col(pred).cast("long")
+    return df.agg(*_detection_aggs(t, p)).select(*_detection_cols())
 
 
 def alert_volume(df: DataFrame, score: str = "ensemble_score",
@@ -127,17 +128,25 @@ def sar_metrics(df: DataFrame, investigate_threshold: float = 0.5,
 
 
 def run_summary_flat(df: DataFrame, truth: str = "is_suspicious", pred: str = "is_alert") -> DataFrame:
-    """A29 (flat): totals and suspicious rate next to the detection metrics."""
-    tot = df.agg(F.count(F.lit(1)).alias("total_transactions"),
-                 F.sum(F.col(truth).cast("long")).alias("suspicious_transactions"),
-                 F.avg(F.col(truth).cast("double")).alias("suspicious_rate"))
-    return _one_row_concat(tot, evaluate_detection(df, truth, pred))
-
-
-def _one_row_concat(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side concatenation of two one-row aggregates via a constant key
-    (each side has exactly one row by construction)."""
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """A29 (flat): totals and suspicious rate next to the detection metrics,
+    in the same single aggregate pass."""
+    t, p = F.col(truth).cast("long"), F.col(pred).cast("long")
+    agg = df.agg(F.count(F.lit(1)).alias("total_transactions"),
+                 F.sum(t).alias("suspicious_transactions"),
+                 F.avg(t.cast("double")).alias("suspicious_rate"), *_detection_aggs(t, p))
+    return agg.select("total_transactions",
+                      F.coalesce("suspicious_transactions", F.lit(0)).cast("long").alias("suspicious_transactions"),
+                      "suspicious_rate", *_detection_cols())
+
+
+def _combine_rows(*parts: DataFrame) -> DataFrame:
+    """One row from several one-row aggregates with disjoint columns: union
+    them null-padded, then take each column's non-null value (no join)."""
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    cols = [c for p in parts for c in p.columns]
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
 def run_summary(df: DataFrame, score: str = "ensemble_score", truth: str = "is_suspicious",
@@ -160,7 +169,7 @@ def run_summary(df: DataFrame, score: str = "ensemble_score", truth: str = "is_s
         F.map_from_entries(F.collect_list(F.struct("pattern_type", "avg_score"))).alias("avg_score"),
         F.map_from_entries(F.collect_list(F.struct("pattern_type", "detection_rate"))).alias("detection_rate"),
     ).select(F.struct("total", "detected", "avg_score", "detection_rate").alias("pattern_detection"))
-    out = _one_row_concat(_one_row_concat(flat, vol), pat)
+    out = _combine_rows(flat, vol, pat)
     return out.select(
         "total_transactions", "suspicious_transactions", "suspicious_rate",
         F.struct(*metric_cols).alias("detection_metrics"), "alert_volume", "pattern_detection",

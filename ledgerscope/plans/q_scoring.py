@@ -195,4 +195,4 @@ def a29(spark, sf):
 def io5(spark, sf):
     """IO5: the nested one-row report (struct / array / map columns), as
     written to JSON by :func:`ledgerscope.sources.io.write_report`."""
-    return EV.run_summary(scored_table(spark, sf), threshold=THRESHOLD)
+    return EV.run_summary(scored_table(spark, sf), threshold=THRESHOLD, n_clusters=8)
