@@ -199,7 +199,9 @@ def c1(spark, sf):
 
 @register("c5_optimal_k")
 def c5(spark, sf):
-    """Silhouette for k = 3..10 on one sample; the best k is flagged."""
+    """Silhouette for k = 3..10 on one sample; the best k is flagged
+    (2 seeded starts per k here, 5 in the operator default, to bound the
+    check's run time)."""
     f, cols = _features(spark, sf)
     best, scores = CL.find_optimal_k(f, "transaction_id", cols, range(3, 11), n_init=2)
     return spark.createDataFrame([(k, float(v), int(k == best)) for k, v in scores.items()],
