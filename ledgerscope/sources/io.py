@@ -32,10 +32,13 @@ def _require(spark: SparkSession, path: str, what: str) -> None:
 def _read(spark: SparkSession, path: str, schema, fmt: str | None) -> DataFrame:
     f = _fmt(path, fmt)
     r = spark.read.schema(schema)
+    # Partition directories (e.g. txn_month=...) are discovered as extra
+    # columns; return exactly the declared schema.
     if f == "csv":
-        return r.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(path)
+        return (r.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(path)
+                .select(*schema.names))
     if f == "json":
-        return r.json(path)
+        return r.json(path).select(*schema.names)
     # Parquet carries its own types; select in schema order and cast.
     df = spark.read.parquet(path)
     return df.select([F.col(fl.name).cast(fl.dataType).alias(fl.name) for fl in schema.fields])
