@@ -10,7 +10,7 @@ from ledgerscope.operators import graph as GR
 from ledgerscope.operators import report as RP
 from ledgerscope.plans.oracle_sql import ACCT_VIEW, FEAT_VIEW, SCORED_VIEW, TXN_VIEW, with_views
 from ledgerscope.plans.q_scoring import scored_table
-from ledgerscope.plans.registry import register, sql_cols, views
+from ledgerscope.plans.registry import memo_plan, register, sql_cols, views
 
 DISP_VIEW = """disp AS (
   SELECT * REPLACE (CASE WHEN ensemble_score >= 0.5 THEN 1 ELSE 0 END AS is_alert)
@@ -34,7 +34,9 @@ def _sql(spec: str, body: str, *more: str) -> str:
 
 
 def display(spark, sf, **kw):
-    return RP.filter_view(scored_table(spark, sf), **kw)
+    if kw:
+        return RP.filter_view(scored_table(spark, sf), **kw)
+    return memo_plan(spark, sf, "display", lambda: RP.filter_view(scored_table(spark, sf)))
 
 
 @register("pf3_dashboard_filter", _sql(

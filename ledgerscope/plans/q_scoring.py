@@ -11,7 +11,7 @@ from ledgerscope.operators import features as FE
 from ledgerscope.operators import rules as RU
 from ledgerscope.operators import scale as SC
 from ledgerscope.plans.oracle_sql import FEAT_VIEW, SCORED_VIEW, TXN_VIEW, with_views
-from ledgerscope.plans.registry import register, sql_cols, views
+from ledgerscope.plans.registry import memo_plan, register, sql_cols, views
 
 THRESHOLD = 0.5
 
@@ -19,10 +19,16 @@ THRESHOLD = 0.5
 def scored_table(spark, sf, threshold: float = THRESHOLD):
     """Feature frame -> rules -> ensemble. The SQL-checkable scored table uses
     the rules detector only; forest and LOF join in the model queries."""
-    txn, _ = views(spark, sf)
-    f = FE.engineer_all_features(txn)
-    r = RU.rule_scores(f)
-    return EN.combine_scores(r, {"rules": "rule_score"}, EN.DEFAULT_WEIGHTS, threshold)
+    def build():
+        f = feature_table(spark, sf)
+        r = RU.rule_scores(f)
+        return EN.combine_scores(r, {"rules": "rule_score"}, EN.DEFAULT_WEIGHTS, threshold)
+    return memo_plan(spark, sf, f"scored@{threshold}", build)
+
+
+def feature_table(spark, sf):
+    """The full feature frame of a directory (plan memoised per session)."""
+    return memo_plan(spark, sf, "features", lambda: FE.engineer_all_features(views(spark, sf)[0]))
 
 
 def _sql(spec: str, body: str) -> str:

@@ -57,6 +57,16 @@ def views(spark: SparkSession, sf_dir: str):
     return _VIEWS[key]
 
 
+def memo_plan(spark: SparkSession, sf_dir: str, name: str, build):
+    """Reuse an analysed plan (a DataFrame object, not its data) across
+    queries of one session: every query still executes it in full, but the
+    plan is built and analysed once. Only for plans built without actions."""
+    key = (id(spark), sf_dir, name)
+    if key not in _VIEWS:
+        _VIEWS[key] = build()
+    return _VIEWS[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
