@@ -189,6 +189,7 @@ def isolation_forest_scores(df: DataFrame, id_col: str, cols: list[str], n_estim
     # Pinned once: the label offset, the normaliser and the caller all read it.
     raw = model.raw_scores(df).checkpoint(eager=True)
     if model.offset is None:  # offset from the training scores, as the reference
-        model.offset = exact_quantiles(raw, "if_raw", [model.contamination]).first()[0]
+        model.offset = exact_quantiles(raw, "if_raw", [model.contamination],
+                                       known_rows=raw.count()).first()[0]
     lab = F.when(F.col("if_raw") < F.lit(model.offset), -1).otherwise(1)
     return minmax_flip(raw.withColumn("if_label", lab), "if_raw", "if_score")

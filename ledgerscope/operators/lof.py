@@ -46,7 +46,7 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
     f = lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
                                         (-F.col("lof")).alias("negative_outlier_factor")
                                         ).checkpoint(eager=True)
-    off = exact_quantiles(f, "negative_outlier_factor", [contamination]).first()[0]
+    off = exact_quantiles(f, "negative_outlier_factor", [contamination], known_rows=n).first()[0]
     f = f.withColumn("lof_label", F.when(F.col("negative_outlier_factor") < F.lit(off), -1)
                      .otherwise(1))
     return minmax_flip(f, "negative_outlier_factor", "lof_score")
@@ -59,7 +59,8 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
     get 0.0 (the reference default) or, with ``score_all``, are scored
     against the fitted sample (k nearest sample rows, their k-distance and
     density). Standardisation is fitted on the full input."""
-    x = standardize(df, cols)[0].checkpoint(eager=True)
+    # ``df`` is read a few times (moments, sample): pass a pinned frame.
+    x = standardize(df, cols)[0]
     s = sample_exact(x, sample_size, seed, id_col).checkpoint(eager=True)
     fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
     if not score_all:

@@ -15,17 +15,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SMALL_EXACT_ROWS = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, group=None,
-                    num_partitions: int | None = None, prefix: str = "q") -> DataFrame:
+                    num_partitions: int | None = None, prefix: str = "q",
+                    known_rows: int | None = None) -> DataFrame:
     """One row per group with columns ``{prefix}0 .. {prefix}{k-1}`` for the
     k probabilities (nulls ignored). Uses the session checkpoint folder to
-    pin the ranked order (see :func:`ledgerscope.session.checkpoint_dir`)."""
+    pin the ranked order (see :func:`ledgerscope.session.checkpoint_dir`).
+
+    When the caller knows the input has at most ``SMALL_EXACT_ROWS`` rows,
+    Spark's exact ``percentile`` aggregate is used instead: its per-group
+    buffer is then bounded by that count."""
     from ledgerscope.session import checkpoint_dir
 
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     g = list(group or [])
     probs = [float(p) for p in probs]
+    if known_rows is not None and known_rows <= SMALL_EXACT_ROWS:
+        arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs]))
+        out = df.groupBy(*g).agg(arr.alias("_qs"))
+        return out.select(*g, *[F.col("_qs")[i].alias(f"{prefix}{i}") for i in range(len(probs))])
+    spark = df.sparkSession
+    checkpoint_dir(spark)
     n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
 

@@ -95,3 +95,13 @@ def test_sequential_ids_and_sample(spark, ledger):
     a = {r[0] for r in sample_exact(txn, 100, seed=7).select("transaction_id").collect()}
     b = {r[0] for r in sample_exact(txn.repartition(3), 100, seed=7).select("transaction_id").collect()}
     assert len(a) == 100 and a == b
+
+
+def test_exact_quantiles_small_path_agrees(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 500), rng.random(500))],
+                               "g long, v double")
+    probs = [0.03, 0.5, 0.97]
+    a = {r["g"]: tuple(r)[1:] for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    b = {r["g"]: tuple(r)[1:] for r in exact_quantiles(df, "v", probs, ["g"], known_rows=500).collect()}
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
