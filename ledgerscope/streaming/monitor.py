@@ -4,8 +4,10 @@
   round amount, large cash, night activity, round large amount) as a plain
   projection, so they run on any stream.
 * E2 ``daily_alert_counts``: a tumbling one-day window of transfers and
-  row-rule alerts with a watermark; rows later than the watermark are dropped
-  by the engine and the day is emitted once it closes (append mode).
+  row-rule alerts with a watermark. A day is emitted once the watermark
+  passes its end (append mode) and its state is dropped; rows for an emitted
+  day are discarded. Spark's guarantee is one-directional: a row behind the
+  watermark whose day is still open may still be counted.
 * E3 ``sender_gap_state``: seconds since the sender's previous transfer and
   the rapid flag from per-sender state (last event time). Rows inside one
   micro-batch are ordered; a row older than the state is a straggler: it is
