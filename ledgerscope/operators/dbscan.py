@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.operators.sampling import sequential_ids
 from ledgerscope.operators.scale import standardize
-from ledgerscope.session import checkpoint_dir
+from ledgerscope.session import checkpoint_dir, pin
 
 NOISE = -1
 NOT_SAMPLED = -2
@@ -63,7 +63,7 @@ def connected_min_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     ``edges`` (a, b) must be symmetric."""
     spark = nodes.sparkSession
     checkpoint_dir(spark)
-    lab = nodes.select(F.col("id"), F.col("id").alias("comp")).checkpoint(eager=True)
+    lab = pin(nodes.select(F.col("id"), F.col("id").alias("comp")))
     for _ in range(max_rounds):
         nb = (edges.join(lab, edges.b == lab.id).groupBy("a").agg(F.min("comp").alias("nmin"))
               .withColumnRenamed("a", "id"))
@@ -73,7 +73,7 @@ def connected_min_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
         hop = new.select(F.col("id").alias("_j"), F.col("comp").alias("_jc"))
         new = (new.join(hop, new.comp == hop._j, "left")
                .select("id", F.least("comp", F.coalesce("_jc", "comp")).alias("comp")))
-        new = new.checkpoint(eager=True)
+        new = pin(new)
         changed = new.join(lab.withColumnRenamed("comp", "_old"), "id").filter(
             F.col("comp") != F.col("_old")).limit(1).count()
         lab = new
@@ -88,7 +88,7 @@ def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float = 0.5,
     checkpoint_dir(df.sparkSession)
     x = standardize(df, cols)[0] if scale else df
     # The pair table feeds degrees, the core graph and border attachment.
-    pairs = eps_pairs(x, id_col, cols, eps, grid_dims).checkpoint(eager=True)
+    pairs = pin(eps_pairs(x, id_col, cols, eps, grid_dims))
     deg = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     core = deg.filter(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
     ce = (pairs.join(core.withColumnRenamed("id", "a"), "a")

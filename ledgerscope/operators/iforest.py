@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from ledgerscope.session import pin
 
 from ledgerscope.operators.quantiles import exact_quantiles
 from ledgerscope.operators.sampling import hash_unit
@@ -187,7 +188,7 @@ def isolation_forest_scores(df: DataFrame, id_col: str, cols: list[str], n_estim
     flipped score ``if_score`` in [0, 1] (1 = most suspicious)."""
     model = model or fit_isolation_forest(df, id_col, cols, n_estimators, contamination, seed)
     # Pinned once: the label offset, the normaliser and the caller all read it.
-    raw = model.raw_scores(df).checkpoint(eager=True)
+    raw = pin(model.raw_scores(df))
     if model.offset is None:  # offset from the training scores, as the reference
         model.offset = exact_quantiles(raw, "if_raw", [model.contamination],
                                        known_rows=raw.count()).first()[0]

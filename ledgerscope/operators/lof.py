@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from ledgerscope.session import pin
 
 from ledgerscope.operators.knn import DEFAULT_BLOCK_ROWS, knn_edges
 from ledgerscope.operators.quantiles import exact_quantiles
@@ -35,17 +36,16 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
     """Transductive LOF. Returns (id, negative_outlier_factor, lof_label,
     lof_score) with label -1 below the contamination percentile of the
     negative factor and score the min-max flip of it (1 = most outlying)."""
-    x = standardize(df, cols)[0].checkpoint(eager=True) if scale else df
+    x = pin(standardize(df, cols)[0]) if scale else df
     n = x.count()
     k_eff = max(1, min(k, n - 1))
     # The edge table feeds three joins: compute it once.
-    knn = knn_edges(x, x, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
-                    counts=(n, n)).checkpoint(eager=True)
+    knn = pin(knn_edges(x, x, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
+                        counts=(n, n)))
     # Pinned: the label offset, the normaliser and the output must see the
     # same doubles (aggregation order can differ between recomputations).
-    f = lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
-                                        (-F.col("lof")).alias("negative_outlier_factor")
-                                        ).checkpoint(eager=True)
+    f = pin(lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
+                                            (-F.col("lof")).alias("negative_outlier_factor")))
     off = exact_quantiles(f, "negative_outlier_factor", [contamination], known_rows=n).first()[0]
     f = f.withColumn("lof_label", F.when(F.col("negative_outlier_factor") < F.lit(off), -1)
                      .otherwise(1))
@@ -61,14 +61,14 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
     density). Standardisation is fitted on the full input."""
     # ``df`` is read a few times (moments, sample): pass a pinned frame.
     x = standardize(df, cols)[0]
-    s = sample_exact(x, sample_size, seed, id_col).checkpoint(eager=True)
+    s = pin(sample_exact(x, sample_size, seed, id_col))
     fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
     if not score_all:
         return attach_sampled(df, fit.select(id_col, "lof_score"), "lof_score", 0.0, id_col)
     n = s.count()
     k_eff = max(1, min(k, n - 1))
-    knn_s = knn_edges(s, s, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
-                      counts=(n, n)).checkpoint(eager=True)
+    knn_s = pin(knn_edges(s, s, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
+                          counts=(n, n)))
     model = lof_from_knn(knn_s, k_eff).select("id", "kdist", "lrd")
     rest = x.join(s.select(id_col), id_col, "left_anti")
     kq = knn_edges(rest, s, id_col, cols, k_eff, exclude_self=False, block_rows=block_rows)
@@ -80,6 +80,6 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
                        (-(F.col("lrd_o") / F.col("lrd_q"))).alias("negative_outlier_factor"))
     fitted = lof_from_knn(knn_s, k_eff).select(F.col("id").alias(id_col),
                                                (-F.col("lof")).alias("negative_outlier_factor"))
-    allf = minmax_flip(fitted.unionByName(new).checkpoint(eager=True),
+    allf = minmax_flip(pin(fitted.unionByName(new)),
                        "negative_outlier_factor", "lof_score")
     return df.join(allf.select(id_col, "lof_score"), id_col, "left").na.fill(0.0, ["lof_score"])

@@ -28,7 +28,7 @@ def exact_quantiles(df: DataFrame, value: str, probs, group=None,
     When the caller knows the input has at most ``SMALL_EXACT_ROWS`` rows,
     Spark's exact ``percentile`` aggregate is used instead: its per-group
     buffer is then bounded by that count."""
-    from ledgerscope.session import checkpoint_dir
+    from ledgerscope.session import checkpoint_dir, pin
 
     g = list(group or [])
     probs = [float(p) for p in probs]
@@ -45,7 +45,7 @@ def exact_quantiles(df: DataFrame, value: str, probs, group=None,
     s = (base.repartitionByRange(n_part, *g, "_v").sortWithinPartitions(*g, "_v")
          .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
     # Partition ids and row ids must stay fixed between the two reads below.
-    s = s.checkpoint(eager=True)
+    s = pin(s)
 
     per = s.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     wo = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \

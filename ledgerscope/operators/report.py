@@ -185,7 +185,7 @@ def country_risk(risk: DataFrame) -> DataFrame:
     alerts; marked when strictly above the median of the country means.
     The country table is small by nature (one row per country), so its
     median is a scalar computed from it."""
-    from ledgerscope.session import checkpoint_dir
+    from ledgerscope.session import checkpoint_dir, pin
 
     checkpoint_dir(risk.sparkSession)
     c = (risk.filter(F.col("country").isNotNull()).groupBy("country")
@@ -194,7 +194,7 @@ def country_risk(risk: DataFrame) -> DataFrame:
               F.sum("flagged_count").cast("long").alias("total_flagged")))
     # Pin the (small) country table so the scored input is computed once for
     # both the median and the result.
-    c = c.checkpoint(eager=True)
+    c = pin(c)
     med = c.agg(F.median("avg_score")).first()[0]
     above = (F.col("avg_score") > F.lit(med)) if med is not None else F.lit(False)
     return c.withColumn("above_median", above.cast("int")).orderBy(F.desc("avg_score"), "country")

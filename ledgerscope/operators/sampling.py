@@ -59,14 +59,14 @@ def sequential_ids(df: DataFrame, order_cols=("timestamp", "transaction_id"),
     """0-based position in (timestamp, id) order without a single-partition
     window: range partition and sort, then add the row counts of earlier
     partitions (a table of partitions, broadcast by size)."""
-    from ledgerscope.session import checkpoint_dir
+    from ledgerscope.session import checkpoint_dir, pin
 
     spark = df.sparkSession
     checkpoint_dir(spark)
     n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n_part, *order_cols).sortWithinPartitions(*order_cols)
          .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
-    s = s.checkpoint(eager=True)
+    s = pin(s)
     per = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     # One row per partition: bounded by the partition count, so one window is fine.
     per = per.withColumn("_off", F.coalesce(F.sum("_c").over(

@@ -16,7 +16,7 @@ from ledgerscope.operators import sampling as SA
 from ledgerscope.plans.oracle_sql import ACCT_VEC_VIEW, TXN_VIEW, US, VEC_DIST, with_views
 from ledgerscope.plans.q_features import TXN_SPEC
 from ledgerscope.plans.registry import register, sql_cols, table, views
-from ledgerscope.session import checkpoint_dir
+from ledgerscope.session import checkpoint_dir, pin
 from ledgerscope.sources import io as IO
 
 VEC = FE.ACCOUNT_VECTOR_COLUMNS
@@ -185,7 +185,7 @@ def _features(spark, sf):
     runs several actions over it."""
     checkpoint_dir(spark)
     txn, _ = views(spark, sf)
-    f = FE.engineer_all_features(txn).checkpoint(eager=True)
+    f = pin(FE.engineer_all_features(txn))
     return f, FE.feature_columns(f)
 
 

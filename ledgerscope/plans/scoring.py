@@ -18,7 +18,7 @@ from ledgerscope.operators import lof as LO
 from ledgerscope.operators import rules as RU
 from ledgerscope.operators.sampling import attach_sampled, sample_exact
 from ledgerscope.operators.scale import standardize
-from ledgerscope.session import checkpoint_dir
+from ledgerscope.session import checkpoint_dir, pin
 
 OUTPUT_COLUMNS = ["transaction_id", "timestamp", "sender_account", "receiver_account", "amount",
                   "transaction_type", "currency", "is_suspicious", "pattern_type", "hour",
@@ -33,7 +33,7 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
                        dbscan_min_samples: int = 10, seed: int = 42) -> DataFrame:
     spark = txn.sparkSession
     checkpoint_dir(spark)
-    f = FE.engineer_all_features(txn).checkpoint(eager=True)
+    f = pin(FE.engineer_all_features(txn))
     cols = FE.feature_columns(f)
 
     # Forest: fitted on standardised inputs, scored in Arrow batches (narrow).
@@ -42,7 +42,7 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
 
     # LOF and DBSCAN on the same seeded sample; unsampled rows get 0.0 / -2.
     x, _m = standardize(f.select(id_col, *cols), cols)
-    sample = sample_exact(x, lof_sample, seed, id_col).checkpoint(eager=True)
+    sample = pin(sample_exact(x, lof_sample, seed, id_col))
     lof = LO.local_outlier_factor(sample, id_col, cols, lof_k, contamination, scale=False)
     db = DB.dbscan(sample, id_col, cols, dbscan_eps, dbscan_min_samples, scale=False)
     s = attach_sampled(s, lof.select(id_col, "lof_score"), "lof_score", 0.0, id_col)

@@ -67,3 +67,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
             "checkpoint folder (set it on the session or cluster)")
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def pin(df):
+    """Materialise ``df`` into the shared checkpoint folder and cut its lineage,
+    computing it once: an eager checkpoint of an unpersisted frame computes
+    it twice (the triggering count, then the reliable write), so the frame is
+    persisted for the duration of the checkpoint and released after."""
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
