@@ -63,7 +63,7 @@ def connected_min_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     ``edges`` (a, b) must be symmetric."""
     spark = nodes.sparkSession
     checkpoint_dir(spark)
-    lab = pin(nodes.select(F.col("id"), F.col("id").alias("comp")))
+    lab = pin(nodes.select(F.col("id"), F.col("id").alias("comp")), cache=False)
     for _ in range(max_rounds):
         nb = (edges.join(lab, edges.b == lab.id).groupBy("a").agg(F.min("comp").alias("nmin"))
               .withColumnRenamed("a", "id"))
@@ -73,7 +73,7 @@ def connected_min_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
         hop = new.select(F.col("id").alias("_j"), F.col("comp").alias("_jc"))
         new = (new.join(hop, new.comp == hop._j, "left")
                .select("id", F.least("comp", F.coalesce("_jc", "comp")).alias("comp")))
-        new = pin(new)
+        new = pin(new, cache=False)  # inputs are pinned: cheap to recompute
         changed = new.join(lab.withColumnRenamed("comp", "_old"), "id").filter(
             F.col("comp") != F.col("_old")).limit(1).count()
         lab = new

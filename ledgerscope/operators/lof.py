@@ -45,7 +45,8 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
     # Pinned: the label offset, the normaliser and the output must see the
     # same doubles (aggregation order can differ between recomputations).
     f = pin(lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
-                                            (-F.col("lof")).alias("negative_outlier_factor")))
+                                            (-F.col("lof")).alias("negative_outlier_factor")),
+            cache=False)
     off = exact_quantiles(f, "negative_outlier_factor", [contamination], known_rows=n).first()[0]
     f = f.withColumn("lof_label", F.when(F.col("negative_outlier_factor") < F.lit(off), -1)
                      .otherwise(1))
@@ -61,7 +62,7 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
     density). Standardisation is fitted on the full input."""
     # ``df`` is read a few times (moments, sample): pass a pinned frame.
     x = standardize(df, cols)[0]
-    s = pin(sample_exact(x, sample_size, seed, id_col))
+    s = pin(sample_exact(x, sample_size, seed, id_col), cache=False)
     fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
     if not score_all:
         return attach_sampled(df, fit.select(id_col, "lof_score"), "lof_score", 0.0, id_col)
@@ -80,6 +81,6 @@ def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int =
                        (-(F.col("lrd_o") / F.col("lrd_q"))).alias("negative_outlier_factor"))
     fitted = lof_from_knn(knn_s, k_eff).select(F.col("id").alias(id_col),
                                                (-F.col("lof")).alias("negative_outlier_factor"))
-    allf = minmax_flip(pin(fitted.unionByName(new)),
+    allf = minmax_flip(pin(fitted.unionByName(new), cache=False),
                        "negative_outlier_factor", "lof_score")
     return df.join(allf.select(id_col, "lof_score"), id_col, "left").na.fill(0.0, ["lof_score"])

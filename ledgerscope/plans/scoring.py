@@ -42,7 +42,7 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
 
     # LOF and DBSCAN on the same seeded sample; unsampled rows get 0.0 / -2.
     x, _m = standardize(f.select(id_col, *cols), cols)
-    sample = pin(sample_exact(x, lof_sample, seed, id_col))
+    sample = pin(sample_exact(x, lof_sample, seed, id_col), cache=False)
     lof = LO.local_outlier_factor(sample, id_col, cols, lof_k, contamination, scale=False)
     db = DB.dbscan(sample, id_col, cols, dbscan_eps, dbscan_min_samples, scale=False)
     s = attach_sampled(s, lof.select(id_col, "lof_score"), "lof_score", 0.0, id_col)

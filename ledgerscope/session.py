@@ -69,14 +69,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def pin(df):
-    """Materialise ``df`` into the shared checkpoint folder and cut its lineage,
-    computing it once: an eager checkpoint of an unpersisted frame computes
-    it twice (the triggering count, then the reliable write), so the frame is
-    persisted for the duration of the checkpoint and released after."""
+def pin(df, cache: bool = True):
+    """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
+
+    An eager checkpoint of an unpersisted frame computes it twice (the
+    triggering count, then the reliable write). With ``cache`` the frame is
+    persisted for the duration of the checkpoint, so an expensive upstream
+    (shuffles, Python kernels) runs once; callers whose upstream is cheap
+    (already pinned inputs, small tables) pass ``cache=False``."""
     from pyspark import StorageLevel
 
     checkpoint_dir(df.sparkSession)
+    if not cache:
+        return df.checkpoint(eager=True)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cached.checkpoint(eager=True)
