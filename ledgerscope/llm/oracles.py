@@ -113,4 +113,21 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN a USING (rid)
 """
 
-ORACLES = {"op3_curriculum_mix": OP3, "op6_wu_manber": OP6, "op10_ownership_secrets": OP10}
+OP4 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                   AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN embedding::DOUBLE[] END AS e
+  FROM embeddings),
+l AS (
+  SELECT a.rid AS a, b.rid AS b FROM v a JOIN v b ON a.rid <> b.rid
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (
+  SELECT rid, rid FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT r.a AS rid, min(v.vec_id) AS component_id FROM r JOIN v ON v.rid = r.b GROUP BY r.a),
+n AS (SELECT a AS rid, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""
+
+ORACLES = {"op4_cover_tree": OP4, "op3_curriculum_mix": OP3, "op6_wu_manber": OP6, "op10_ownership_secrets": OP10}

@@ -15,6 +15,16 @@ def _held_out(mod: int, rest: int):
     return (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % mod) == rest
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.substrings import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op2_nearest_url_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.html_diff import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerscope.llm.mixing import mix
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -23,6 +33,16 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("copies", F.lit(0))["position"].alias("position")).orderBy("position", "doc_id")
 
 
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.cover_tree import embedding_groups
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op5_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.pitman_yor import score_documents
+    return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), _held_out(10, 0))
+
+
 def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerscope.llm.decontaminate import is_contaminated, with_hits
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,6 +99,6 @@ def _configured(fn):
 
 
 QUERIES = {f.__name__: _configured(f) for f in (
-    op3_curriculum_mix, op6_wu_manber,
+    op1_suffix_array_dedup, op2_nearest_url_text, op3_curriculum_mix, op4_cover_tree, op5_pitman_yor_scores, op6_wu_manber,
     op7_kneser_ney_toxicity, op8_covering_simhash, op9_positive_unlabelled_quality, op10_ownership_secrets,
     pipeline)}
