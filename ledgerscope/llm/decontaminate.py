@@ -92,15 +92,15 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _search(block: list[tuple[str, str]], window: int):
-    """A UDF over (text, spans and items found by earlier blocks)."""
+    """A UDF over (text, what earlier blocks have found)."""
     state: dict = {}
 
     @F.pandas_udf(RESULT)
-    def search(texts: pd.Series, spans: pd.Series, items: pd.Series) -> pd.DataFrame:
+    def search(texts: pd.Series, earlier: pd.DataFrame) -> pd.DataFrame:
         if "scan" not in state:
             state["scan"] = scanners(block, window)
         rows = []
-        for text, before, found in zip(texts, spans, items):
+        for text, before, found in zip(texts, earlier["spans"], earlier["items"]):
             words = words_of(text)
             got = list(zip(before[::2], before[1::2]))
             ids = set(found)
@@ -128,7 +128,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out
     for i in range(blocks):
         part = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
         found = _search([(r.item_id, r.text) for r in part.collect()], window)
-        res = res.withColumn(out, found(F.col(text_col), F.col(f"{out}.spans"), F.col(f"{out}.items")))
+        res = res.withColumn(out, found(F.col(text_col), F.col(out)))
     return res
 
 
