@@ -24,7 +24,7 @@ __all__ = [
     "ROUND_UNIT", "RAPID_SECONDS", "NIGHT_START_HOUR", "NIGHT_END_HOUR", "CASH_TYPES",
     "DAY_NAMES", "col_", "epoch_micros", "day_of_week", "is_weekend", "is_night",
     "near_threshold", "is_round_amount", "is_self_transfer", "pair_low", "pair_high",
-    "clip01", "flag", "rate_band", "safe_div", "round6",
+    "clip01", "flag", "rate_band",
 ]
 
 
@@ -71,11 +71,12 @@ def is_self_transfer(sender="sender_account", receiver="receiver_account") -> Co
 
 
 def pair_low(a="sender_account", b="receiver_account") -> Column:
-    return F.least(col_(a), col_(b))
+    """Smaller side of an unordered pair; null unless both sides are known."""
+    return F.when(col_(a).isNotNull() & col_(b).isNotNull(), F.least(col_(a), col_(b)))
 
 
 def pair_high(a="sender_account", b="receiver_account") -> Column:
-    return F.greatest(col_(a), col_(b))
+    return F.when(col_(a).isNotNull() & col_(b).isNotNull(), F.greatest(col_(a), col_(b)))
 
 
 def clip01(c) -> Column:
@@ -86,12 +87,3 @@ def rate_band(rate, low=0.5, high=0.8) -> Column:
     """PF10: band a detection rate as 'low' (< low), 'medium' (< high) or 'high'."""
     r = col_(rate)
     return F.when(r < low, "low").when(r < high, "medium").otherwise("high")
-
-
-def safe_div(num, den, default=0.0) -> Column:
-    d = col_(den)
-    return F.when(d > 0, col_(num) / d).otherwise(F.lit(default))
-
-
-def round6(c) -> Column:
-    return F.round(col_(c).cast("double"), 6)

@@ -58,13 +58,13 @@ def eps_pairs(x: DataFrame, id_col: str, cols: list[str], eps: float,
     return j.filter(F.sqrt(d2) <= F.lit(eps)).select("a", "b")
 
 
-def connected_min_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_min_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, comp) with comp = smallest id in the node's component.
-    ``edges`` (a, b) must be symmetric."""
+    ``edges`` (a, b) must be symmetric. Labels only fall, so the loop ends."""
     spark = nodes.sparkSession
     checkpoint_dir(spark)
     lab = pin(nodes.select(F.col("id"), F.col("id").alias("comp")), cache=False)
-    for _ in range(max_rounds):
+    while True:
         nb = (edges.join(lab, edges.b == lab.id).groupBy("a").agg(F.min("comp").alias("nmin"))
               .withColumnRenamed("a", "id"))
         new = (lab.join(nb, "id", "left")

@@ -184,40 +184,28 @@ def velocity_features(df: DataFrame, windows=DEFAULT_WINDOWS, sender: str = "sen
 # Amount features (A1-A4)
 # ---------------------------------------------------------------------------
 
-HOT_GROUP_ROWS = 1_000_000  # a sender above this is "hot" for the exact median
-
-
-def _exact_median_by(df: DataFrame, key: str, value: str, hot_group_rows: int | None) -> DataFrame:
-    """Exact median per key without one task holding a hot key's values.
-
-    Spark's ``median`` buffers every distinct value of a group in one task.
-    One count aggregate finds the largest group; when it exceeds
-    ``hot_group_rows``, the hot keys (at most rows / hot_group_rows of them,
-    so their list is small and broadcast) go through the range-partitioned
-    exact quantile operator and the rest through ``median``."""
-    med = F.median(F.col(value)).cast("double").alias("acct_median_amount")
-    if hot_group_rows is None:
-        return df.groupBy(key).agg(med)
-    counts = df.groupBy(key).agg(F.count(F.col(value)).alias("_n"))
-    top = counts.agg(F.max("_n")).first()[0] or 0
-    if top <= hot_group_rows:
-        return df.groupBy(key).agg(med)
-    from ledgerscope.operators.quantiles import exact_quantiles
-
-    hot = F.broadcast(counts.filter(F.col("_n") > hot_group_rows).select(key))
-    cold = df.join(hot, key, "left_anti").groupBy(key).agg(med)
-    hot_med = exact_quantiles(df.join(hot, key, "left_semi"), value, [0.5], [key])
-    return cold.unionByName(hot_med.select(key, F.col("q0").alias("acct_median_amount")))
+def _exact_median_by(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Exact median per key from value counts: equal values of a key collapse
+    on the map side, a running count over the distinct values finds the middle
+    ranks. The window streams and spills; no group is buffered whole, as
+    ``median`` would, and every size takes the same path."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(key).orderBy(value)
+    ranked = counts.withColumns({"_upto": F.sum("_n").over(w),
+                                 "_all": F.sum("_n").over(Window.partitionBy(key))})
+    lo, hi = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    v = F.col(value).cast("double")
+    return ranked.groupBy(key).agg(
+        ((F.min(F.when(F.col("_upto") > lo, v)) + F.min(F.when(F.col("_upto") > hi, v))) / 2)
+        .alias("acct_median_amount"))
 
 
 def sender_amount_stats(df: DataFrame, sender: str = "sender_account", amount: str = "amount",
-                        approx_median: bool = False, with_min_max: bool = True,
-                        hot_group_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+                        approx_median: bool = False, with_min_max: bool = True) -> DataFrame:
     """A1: mean, sample std, median, min, max and count of amounts per sender.
 
     Mean, std, min, max and count aggregate partially on the map side. The
-    median is exact (hot senders split across tasks, see
-    :func:`_exact_median_by`); ``approx_median=True`` uses a bounded-memory
+    median is exact (see :func:`_exact_median_by`); ``approx_median=True`` uses a bounded-memory
     quantile sketch instead."""
     a = F.col(amount)
     aggs = [F.avg(a).alias("acct_avg_amount"), F.stddev_samp(a).alias("acct_std_amount")]
@@ -228,7 +216,7 @@ def sender_amount_stats(df: DataFrame, sender: str = "sender_account", amount: s
     aggs.append(F.count(a).alias("acct_total_txns"))
     stats = df.groupBy(sender).agg(*aggs)
     if not approx_median:
-        stats = stats.join(_exact_median_by(df, sender, amount, hot_group_rows), sender, "left")
+        stats = stats.join(_exact_median_by(df, sender, amount), sender, "left")
     cols = ["acct_avg_amount", "acct_std_amount", "acct_median_amount"]
     cols += ["acct_min_amount", "acct_max_amount"] if with_min_max else []
     return stats.select(sender, *cols, "acct_total_txns")
@@ -268,8 +256,9 @@ def distinct_senders(df: DataFrame, sender="sender_account", receiver="receiver_
 
 
 def pair_counts(df: DataFrame, sender="sender_account", receiver="receiver_account") -> DataFrame:
-    """Transfers per unordered account pair (both directions together)."""
-    return (df.groupBy(pair_low(sender, receiver).alias("_pair_lo"),
+    """Transfers per unordered account pair (both directions together);
+    a transfer with an unknown side belongs to no pair."""
+    return (df.filter(F.col(sender).isNotNull() & F.col(receiver).isNotNull()).groupBy(pair_low(sender, receiver).alias("_pair_lo"),
                        pair_high(sender, receiver).alias("_pair_hi"))
             .agg(F.count(F.lit(1)).alias("pair_txn_count")))
 

@@ -116,35 +116,36 @@ class IsolationForestModel:
         zc = [c + "__z" for c in self.cols]
         trees = self._arrays()
         cpsi = float(average_path_length([self.psi])[0])
-        schema = T.StructType(x.schema.fields + [T.StructField(out, T.DoubleType())])
-
-        def score(batches):
-            for pdf in batches:
-                X = pdf[zc].to_numpy(float)
-                n = X.shape[0]
-                total = np.zeros(n)
-                rows = np.arange(n)
-                for feat, thr, left, right, leafval in trees:
-                    node = np.zeros(n, np.int64)
-                    while True:
-                        f = feat[node]
-                        inner = f >= 0
-                        if not inner.any():
-                            break
-                        fi = np.where(inner, f, 0)
-                        go_left = X[rows, fi] <= thr[node]
-                        node = np.where(inner, np.where(go_left, left[node], right[node]), node)
-                    total += leafval[node]
-                pdf[out] = -np.power(2.0, -(total / len(trees)) / cpsi) if cpsi > 0 else -1.0
-                yield pdf
-
-        return x.mapInPandas(score, schema).drop(*zc)
+
+        # Only the model's inputs travel to Python and one number comes back.
+        @F.pandas_udf(T.DoubleType())
+        def score(*inputs: pd.Series) -> pd.Series:
+            X = np.column_stack([c.to_numpy(float) for c in inputs])
+            n = X.shape[0]
+            total = np.zeros(n)
+            rows = np.arange(n)
+            for feat, thr, left, right, leafval in trees:
+                node = np.zeros(n, np.int64)
+                while True:
+                    f = feat[node]
+                    inner = f >= 0
+                    if not inner.any():
+                        break
+                    fi = np.where(inner, f, 0)
+                    go_left = X[rows, fi] <= thr[node]
+                    node = np.where(inner, np.where(go_left, left[node], right[node]), node)
+                total += leafval[node]
+            return pd.Series(-np.power(2.0, -(total / len(trees)) / cpsi) if cpsi > 0 else np.full(n, -1.0))
+
+        return x.withColumn(out, score(*zc)).drop(*zc)
 
 
 def fit_isolation_forest(df: DataFrame, id_col: str, cols: list[str], n_estimators: int = 200,
                          contamination: float = 0.03, seed: int = 42,
-                         max_samples: int = MAX_SAMPLES) -> IsolationForestModel:
-    """Fit on the standardised input (moments kept with the model)."""
+                         max_samples: int = MAX_SAMPLES, with_offset: bool = True) -> IsolationForestModel:
+    """Fit on the standardised input (moments kept with the model). The
+    label offset is the contamination quantile of the training scores and is
+    stored with the model; ``with_offset=False`` leaves it to the caller."""
     x, moments = standardize(df, cols, suffix="__z")
     zc = [c + "__z" for c in cols]
     n = x.count()
@@ -152,21 +153,14 @@ def fit_isolation_forest(df: DataFrame, id_col: str, cols: list[str], n_estimato
     height = int(math.ceil(math.log2(max(psi, 2))))
     p = min(1.0, 3.0 * psi / max(n, 1))
     base = x.select(F.col(id_col).alias("_id"), *zc)
-    if n >= 3 * psi * n_estimators:
-        # Large inputs: one hash per row picks at most one tree (disjoint
-        # subsamples), about 3 * psi candidates per tree.
-        u = hash_unit("_id", seed)
-        cand = (base.withColumn("_u", u).filter(F.col("_u") < F.lit(p * n_estimators))
-                .withColumn("tree", F.floor(F.col("_u") / F.lit(p)).cast("long")))
-    else:
-        # Smaller inputs: a row is a candidate of tree t when its tree-salted
-        # hash is below p; only those (row, tree) pairs are emitted.
-        def unit(t):
-            h = F.xxhash64(F.col("_id"), F.lit(int(seed)), t)
-            return F.when(h < 0, -(h + F.lit(1))).otherwise(h).cast("double") / F.lit(float(2 ** 63))
-        trees = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_estimators - 1).cast("long")),
-                         lambda t: unit(t) < F.lit(p))
-        cand = base.withColumn("tree", F.explode(trees))
+    # One rule for every size: a row is a candidate of tree t when its tree-salted
+    # hash is below p; only those (row, tree) pairs are emitted, about 3 * psi a tree.
+    def unit(t):
+        h = F.xxhash64(F.col("_id"), F.lit(int(seed)), t)
+        return F.when(h < 0, -(h + F.lit(1))).otherwise(h).cast("double") / F.lit(float(2 ** 63))
+    trees = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_estimators - 1).cast("long")),
+                     lambda t: unit(t) < F.lit(p))
+    cand = base.withColumn("tree", F.explode(trees))
     cand = cand.withColumn("_h", hash_unit("_id", seed + 1, F.col("tree")))
     from pyspark.sql import Window
     w = Window.partitionBy("tree").orderBy("_h", "_id")
@@ -177,20 +171,31 @@ def fit_isolation_forest(df: DataFrame, id_col: str, cols: list[str], n_estimato
 
     nodes = (sample.select("tree", "_id", *zc).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
              .toPandas())
-    return IsolationForestModel(list(cols), moments, nodes, psi, n_estimators,
-                                contamination=contamination)
+    model = IsolationForestModel(list(cols), moments, nodes, psi, n_estimators,
+                                 contamination=contamination)
+    if with_offset:
+        model.offset = _offset(pin(model.raw_scores(df.select(*cols)).select("if_raw")), contamination)
+    return model
+
+
+def _offset(raw: DataFrame, contamination: float) -> float:
+    return exact_quantiles(raw, "if_raw", [contamination]).first()[0]
 
 
 def isolation_forest_scores(df: DataFrame, id_col: str, cols: list[str], n_estimators: int = 200,
                             contamination: float = 0.03, seed: int = 42,
                             model: IsolationForestModel | None = None) -> DataFrame:
     """D3 + D4: raw score, label (-1 anomaly / 1 normal) and the min-max
-    flipped score ``if_score`` in [0, 1] (1 = most suspicious)."""
-    model = model or fit_isolation_forest(df, id_col, cols, n_estimators, contamination, seed)
+    flipped score ``if_score`` in [0, 1] (1 = most suspicious). Without a
+    ``model``, one is fitted on ``df``, whose scores then give the label offset; a
+    given model brings the offset of its own training frame."""
+    fitted_here = model is None
+    model = model or fit_isolation_forest(df, id_col, cols, n_estimators, contamination, seed, with_offset=False)
+    if model.offset is None and not fitted_here:
+        raise ValueError("the model has no label offset: fit it with with_offset=True")
     # Pinned once: the label offset, the normaliser and the caller all read it.
     raw = pin(model.raw_scores(df))
-    if model.offset is None:  # offset from the training scores, as the reference
-        model.offset = exact_quantiles(raw, "if_raw", [model.contamination],
-                                       known_rows=raw.count()).first()[0]
+    if model.offset is None:
+        model.offset = _offset(raw, model.contamination)
     lab = F.when(F.col("if_raw") < F.lit(model.offset), -1).otherwise(1)
     return minmax_flip(raw.withColumn("if_label", lab), "if_raw", "if_score")

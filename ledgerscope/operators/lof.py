@@ -47,7 +47,7 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
     f = pin(lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
                                             (-F.col("lof")).alias("negative_outlier_factor")),
             cache=False)
-    off = exact_quantiles(f, "negative_outlier_factor", [contamination], known_rows=n).first()[0]
+    off = exact_quantiles(f, "negative_outlier_factor", [contamination]).first()[0]
     f = f.withColumn("lof_label", F.when(F.col("negative_outlier_factor") < F.lit(off), -1)
                      .otherwise(1))
     return minmax_flip(f, "negative_outlier_factor", "lof_score")
@@ -55,32 +55,31 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
 
 def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int = 50000,
                 seed: int = 42, k: int = 20, contamination: float = 0.03,
-                score_all: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """LOF fitted on an exact-size seeded sample. Rows outside the sample
-    get 0.0 (the reference default) or, with ``score_all``, are scored
-    against the fitted sample (k nearest sample rows, their k-distance and
-    density). Standardisation is fitted on the full input."""
+                score_all: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """LOF fitted on an exact-size seeded sample (``sample_size``, a
+    documented bound on the fit). Every other row is scored against the fitted
+    sample (k nearest sample rows, their k-distance and density); with
+    ``score_all=False`` it gets 0.0. Standardisation is fitted on the full input."""
     # ``df`` is read a few times (moments, sample): pass a pinned frame.
     x = standardize(df, cols)[0]
     s = pin(sample_exact(x, sample_size, seed, id_col), cache=False)
-    fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
     if not score_all:
+        fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
         return attach_sampled(df, fit.select(id_col, "lof_score"), "lof_score", 0.0, id_col)
     n = s.count()
     k_eff = max(1, min(k, n - 1))
     knn_s = pin(knn_edges(s, s, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
                           counts=(n, n)))
-    model = lof_from_knn(knn_s, k_eff).select("id", "kdist", "lrd")
+    fitted = pin(lof_from_knn(knn_s, k_eff), cache=False)
     rest = x.join(s.select(id_col), id_col, "left_anti")
     kq = knn_edges(rest, s, id_col, cols, k_eff, exclude_self=False, block_rows=block_rows)
-    j = kq.join(model, kq.rid == model.id)
+    j = kq.join(fitted.select("id", "kdist", "lrd"), kq.rid == F.col("id"))
     lrd_q = j.groupBy("qid").agg(
         (F.lit(1.0) / (F.avg(F.greatest("kdist", "dist")) + F.lit(LRD_EPS))).alias("lrd_q"),
         F.avg("lrd").alias("lrd_o"))
     new = lrd_q.select(F.col("qid").alias(id_col),
                        (-(F.col("lrd_o") / F.col("lrd_q"))).alias("negative_outlier_factor"))
-    fitted = lof_from_knn(knn_s, k_eff).select(F.col("id").alias(id_col),
-                                               (-F.col("lof")).alias("negative_outlier_factor"))
-    allf = minmax_flip(pin(fitted.unionByName(new), cache=False),
-                       "negative_outlier_factor", "lof_score")
+    own = fitted.select(F.col("id").alias(id_col), (-F.col("lof")).alias("negative_outlier_factor"))
+    # The normaliser's bounds and the output read it: the rest's kernel runs once.
+    allf = minmax_flip(pin(own.unionByName(new)), "negative_outlier_factor", "lof_score")
     return df.join(allf.select(id_col, "lof_score"), id_col, "left").na.fill(0.0, ["lof_score"])

@@ -2,11 +2,12 @@
 
 ``percentile``/``median`` aggregates keep every distinct value of a group in
 one buffer, so a label or pattern group that holds most rows lands in one
-task. Here the values are range-partitioned on (group, value), each row gets
-its rank from per-partition counts (a table of partitions x groups), and
-only the rows at the needed ranks are kept. Interpolation is linear between
+task. Here equal values collapse first (``groupBy(group, value).count()``, with
+map-side combine, so a value that most rows share is one row); the counts are
+range-partitioned on (group, value) and each value gets the range of ranks it
+covers from per-partition totals (a table of partitions x groups). Interpolation is linear between
 the ranks floor/ceil of p * (n - 1), as in numpy's default and DuckDB's
-``quantile_cont``.
+``quantile_cont``. One path for every size.
 """
 
 from __future__ import annotations
@@ -15,39 +16,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-SMALL_EXACT_ROWS = 1_000_000
-
-
 def exact_quantiles(df: DataFrame, value: str, probs, group=None,
-                    num_partitions: int | None = None, prefix: str = "q",
-                    known_rows: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, prefix: str = "q") -> DataFrame:
     """One row per group with columns ``{prefix}0 .. {prefix}{k-1}`` for the
     k probabilities (nulls ignored). Uses the session checkpoint folder to
-    pin the ranked order (see :func:`ledgerscope.session.checkpoint_dir`).
-
-    When the caller knows the input has at most ``SMALL_EXACT_ROWS`` rows,
-    Spark's exact ``percentile`` aggregate is used instead: its per-group
-    buffer is then bounded by that count."""
+    pin the counted values (see :func:`ledgerscope.session.checkpoint_dir`)."""
     from ledgerscope.session import checkpoint_dir, pin
 
     g = list(group or [])
     probs = [float(p) for p in probs]
-    if known_rows is not None and known_rows <= SMALL_EXACT_ROWS:
-        arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs]))
-        out = df.groupBy(*g).agg(arr.alias("_qs"))
-        return out.select(*g, *[F.col("_qs")[i].alias(f"{prefix}{i}") for i in range(len(probs))])
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    counts = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
 
     # Range partition on (group, value): a hot group spreads over many tasks.
-    s = (base.repartitionByRange(n_part, *g, "_v").sortWithinPartitions(*g, "_v")
-         .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
-    # Partition ids and row ids must stay fixed between the two reads below.
-    s = pin(s)
+    dealt = (counts.repartitionByRange(num_partitions, *g, "_v") if num_partitions
+             else counts.repartitionByRange(*g, "_v"))
+    # Partition ids must stay fixed between the two reads below.
+    s = pin(dealt.withColumn("_pid", F.spark_partition_id()))
 
-    per = s.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    per = s.groupBy("_pid", *g).agg(F.sum("_c").alias("_c"))
     wo = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) \
         if g else Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumns({"_off": F.coalesce(F.sum("_c").over(wo), F.lit(0)),
@@ -63,15 +52,30 @@ def exact_quantiles(df: DataFrame, value: str, probs, group=None,
     tgt = tgt.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos"),
                            "_frac": F.col("_pos") - F.floor("_pos")})
     need = (tgt.select(*g, F.col("_lo").alias("_rank"))
-            .union(tgt.select(*g, F.col("_hi").alias("_rank"))).distinct())
+            .union(tgt.select(*g, F.col("_hi").alias("_rank"))).distinct()
+            .groupBy(*g).agg(F.collect_set("_rank").alias("_ranks")))  # at most 2 x len(probs) a group
+
+    # A null group is a group too, so keys compare null-safe.
+    def same(a, b, keys):
+        cond = F.lit(True)
+        for k in keys:
+            cond &= a[k].eqNullSafe(b[k])
+        return cond
 
-    ranked = (s.join(per.select("_pid", *g, "_off", "_m0"), ["_pid", *g])
-              .withColumn("_rank", F.col("_off") + F.col("_mid") - F.col("_m0")))
-    hit = ranked.join(need, [*g, "_rank"], "left_semi").select(*g, "_rank", "_v")
+    offs = per.select("_pid", *g, "_off")
+    wi = Window.partitionBy("_pid", *g).orderBy("_v")
+    upto = s.withColumn("_upto", F.sum("_c").over(wi))
+    ranked = upto.join(offs, same(upto, offs, ["_pid", *g])).select(
+        *[upto[c] for c in g], "_v", (F.col("_off") + F.col("_upto") - F.col("_c")).alias("_from"),
+        (F.col("_off") + F.col("_upto")).alias("_to"))
+    hit = ranked.join(need, same(ranked, need, g)).select(
+        *[ranked[c] for c in g], "_v", F.explode(F.filter(
+            "_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_to")))).alias("_rank"))
 
     lo = hit.select(*g, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = hit.select(*g, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    q = (tgt.join(lo, [*g, "_lo"]).join(hi, [*g, "_hi"])
+    first = tgt.join(lo, same(tgt, lo, [*g, "_lo"])).select(*[tgt[c] for c in [*g, "_qi", "_hi", "_frac"]], "_vlo")
+    q = (first.join(hi, same(first, hi, [*g, "_hi"])).select(*[first[c] for c in [*g, "_qi", "_frac"]], "_vlo", "_vhi")
          .withColumn("_qv", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")))
     out = q.groupBy(*g).pivot("_qi", list(range(len(probs)))).agg(F.first("_qv"))
     return out.select(*g, *[F.col(str(i)).alias(f"{prefix}{i}") for i in range(len(probs))])

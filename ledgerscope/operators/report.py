@@ -14,8 +14,6 @@ from ledgerscope.functions.exprs import DAY_NAMES, day_of_week, rate_band
 from ledgerscope.operators.ensemble import alert_flag
 from ledgerscope.operators.quantiles import exact_quantiles
 
-AMOUNT_SLIDER_MAX = 500000.0  # the dashboard's amount slider stops here
-ACCOUNT_TYPES = ["personal", "business", "corporate"]
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 HOURS = list(range(24))
 
@@ -26,14 +24,17 @@ def _hour_cols(prefix="h"):
 
 # -- filters -----------------------------------------------------------------
 
-def filter_view(df: DataFrame, start=None, end=None, amount_min: float = 0.0,
+def filter_view(df: DataFrame, start=None, end=None, amount_min: float | None = None,
                 amount_max: float | None = None, pattern: str | None = None,
                 threshold: float = 0.5, score: str = "ensemble_score") -> DataFrame:
     """PF3: inclusive date and amount ranges, optional pattern equality, and
-    the alert flag recomputed at ``threshold`` (PF4). The upper amount bound
-    defaults to the slider maximum."""
-    hi = AMOUNT_SLIDER_MAX if amount_max is None else amount_max
-    cond = (F.col("amount") >= F.lit(float(amount_min))) & (F.col("amount") <= F.lit(float(hi)))
+    the alert flag recomputed at ``threshold`` (PF4). A bound that is not
+    passed drops no row, null amounts included."""
+    cond = F.lit(True)
+    if amount_min is not None:
+        cond &= F.col("amount") >= F.lit(float(amount_min))
+    if amount_max is not None:
+        cond &= F.col("amount") <= F.lit(float(amount_max))
     d = F.to_date("timestamp")
     if start is not None:
         cond &= d >= F.lit(_as_date(start))
@@ -173,11 +174,11 @@ def top_risky_accounts(risk: DataFrame, n: int = 30) -> DataFrame:
 
 
 def country_type_risk(risk: DataFrame) -> DataFrame:
-    """Mean account score by country x account type, missing 0; rows
-    without a country are dropped (as a pivot index drops them)."""
-    r = risk.filter(F.col("country").isNotNull())
-    p = r.groupBy("country").pivot("account_type", ACCOUNT_TYPES).agg(F.avg("avg_score"))
-    return p.select("country", *[F.coalesce(F.col(t), F.lit(0.0)).alias(t) for t in ACCOUNT_TYPES])
+    """Mean account score by country x account type as one row per cell,
+    for whatever types occur; a pair without accounts has no row (the panel
+    shows 0 there). Rows without a country or type are dropped (as a pivot drops them)."""
+    r = risk.filter(F.col("country").isNotNull() & F.col("account_type").isNotNull())
+    return r.groupBy("country", "account_type").agg(F.avg("avg_score").alias("avg_score"))
 
 
 def country_risk(risk: DataFrame) -> DataFrame:

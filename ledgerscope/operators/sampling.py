@@ -37,12 +37,6 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, id_col: str = "transacti
     return cand.orderBy("_u", id_col).limit(n).drop("_u")
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int = 42,
-                    id_col: str = "transaction_id") -> DataFrame:
-    """S5 (approximate size): Bernoulli sample by hash threshold."""
-    return df.filter(hash_unit(id_col, seed) < F.lit(float(fraction)))
-
-
 def attach_sampled(full: DataFrame, sampled: DataFrame, cols, default,
                    id_col: str = "transaction_id") -> DataFrame:
     """Left-join per-row results computed on a sample back to every row;

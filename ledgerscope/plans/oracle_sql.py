@@ -82,8 +82,9 @@ FEAT_VIEW = f"""feat AS (
              FROM txn GROUP BY receiver_account) q USING (receiver_account)
   LEFT JOIN (SELECT least(sender_account, receiver_account) AS lo,
                greatest(sender_account, receiver_account) AS hi, count(*) AS pair_txn_count
-             FROM txn GROUP BY 1, 2) p
-    ON p.lo = least(t.sender_account, t.receiver_account)
+             FROM txn WHERE sender_account IS NOT NULL AND receiver_account IS NOT NULL GROUP BY 1, 2) p
+    ON t.sender_account IS NOT NULL AND t.receiver_account IS NOT NULL
+   AND p.lo = least(t.sender_account, t.receiver_account)
    AND p.hi = greatest(t.sender_account, t.receiver_account)
 ), featr AS (
   SELECT *, CASE WHEN time_since_last_txn > 0 AND time_since_last_txn < 300 THEN 1 ELSE 0 END AS is_rapid

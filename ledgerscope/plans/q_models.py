@@ -199,11 +199,9 @@ def c1(spark, sf):
 
 @register("c5_optimal_k")
 def c5(spark, sf):
-    """Silhouette for k = 3..10 on one sample; the best k is flagged
-    (2 seeded starts per k here, 5 in the operator default, to bound the
-    check's run time)."""
+    """Silhouette for k = 3..10 on one sample; the best k is flagged."""
     f, cols = _features(spark, sf)
-    best, scores = CL.find_optimal_k(f, "transaction_id", cols, range(3, 11), n_init=2)
+    best, scores = CL.find_optimal_k(f, "transaction_id", cols, range(3, 11))
     return spark.createDataFrame([(k, float(v), int(k == best)) for k, v in scores.items()],
                                  "k long, silhouette double, is_best long")
 
@@ -220,7 +218,7 @@ def c8(spark, sf):
 def d2(spark, sf):
     """The fitted forest's node table (200 trees)."""
     f, cols = _features(spark, sf)
-    m = IF.fit_isolation_forest(f, "transaction_id", cols)
+    m = IF.fit_isolation_forest(f, "transaction_id", cols, with_offset=False)
     return spark.createDataFrame(m.nodes, IF.NODE_SCHEMA)
 
 
@@ -234,17 +232,16 @@ def d3(spark, sf):
 
 @register("d7_sampled_lof")
 def d7(spark, sf):
-    """LOF on a seeded 2,000-row sample, 0.0 elsewhere."""
+    """LOF fitted on the default 50,000-row sample, every other row scored against it."""
     f, cols = _features(spark, sf)
-    return LO.sampled_lof(f, "transaction_id", cols, sample_size=2000).select("transaction_id", "lof_score")
+    return LO.sampled_lof(f, "transaction_id", cols).select("transaction_id", "lof_score")
 
 
 @register("d7b_sampled_lof_score_all")
 def d7b(spark, sf):
-    """D7 with every row scored against the fitted 2,000-row sample."""
+    """D7 with a small fitted sample (2,000 rows): every other row scored against it."""
     f, cols = _features(spark, sf)
-    return LO.sampled_lof(f, "transaction_id", cols, sample_size=2000,
-                          score_all=True).select("transaction_id", "lof_score")
+    return LO.sampled_lof(f, "transaction_id", cols, sample_size=2000).select("transaction_id", "lof_score")
 
 
 @register("d15_scoring_end_to_end")
@@ -276,7 +273,7 @@ def a24(spark, sf):
 def c9(spark, sf):
     """Seeded scatter sample with amount, score and truth."""
     from ledgerscope.plans.q_scoring import scored_table
-    return CL.scatter_extract(scored_table(spark, sf), n=2000)
+    return CL.scatter_extract(scored_table(spark, sf))
 
 
 # -- IO round trips -------------------------------------------------------------------

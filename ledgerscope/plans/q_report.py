@@ -14,7 +14,7 @@ from ledgerscope.plans.registry import memo_plan, register, sql_cols, views
 
 DISP_VIEW = """disp AS (
   SELECT * REPLACE (CASE WHEN ensemble_score >= 0.5 THEN 1 ELSE 0 END AS is_alert)
-  FROM scored WHERE amount >= 0 AND amount <= 500000
+  FROM scored
 )"""
 RISK_VIEW = """risk AS (
   SELECT r.*, a.account_type, a.country, a.risk_rating, a.opening_balance
@@ -23,6 +23,7 @@ RISK_VIEW = """risk AS (
         FROM disp GROUP BY sender_account) r
   LEFT JOIN acct a ON r.sender_account = a.account_id
 )"""
+FLAGGED_VIEW = """flagged AS (SELECT * FROM disp WHERE is_alert = 1)"""
 TOP_VIEW = """top AS (
   SELECT * FROM disp WHERE is_alert = 1 ORDER BY ensemble_score DESC, transaction_id ASC LIMIT 200
 )"""
@@ -172,9 +173,9 @@ def s2(spark, sf):
 
 
 @register("a18_country_type_risk", _sql(
-    "country:s, " + ", ".join(f"{t}:d=coalesce(avg(avg_score) FILTER (WHERE account_type = '{t}'), 0.0)"
-                              for t in RP.ACCOUNT_TYPES),
-    "FROM risk WHERE country IS NOT NULL GROUP BY country", ACCT_VIEW, RISK_VIEW))
+    "country:s, account_type:s, avg_score:d=avg(avg_score)",
+    "FROM risk WHERE country IS NOT NULL AND account_type IS NOT NULL GROUP BY country, account_type",
+    ACCT_VIEW, RISK_VIEW))
 def a18(spark, sf):
     """Mean account score by country x account type."""
     return RP.country_type_risk(_risk(spark, sf))
@@ -271,31 +272,32 @@ def s3(spark, sf):
 
 
 def _edges(spark, sf):
-    return GR.flagged_edges(RP.top_flagged(display(spark, sf), 200))
+    """Edges of every flagged transfer; a display that wants fewer takes S3 first."""
+    return GR.flagged_edges(display(spark, sf).filter(F.col("is_alert") == 1))
 
 
 @register("g1_flagged_edges", _sql(
     "transaction_id:i, src:i=sender_account, dst:i=receiver_account, amount:d, score:d=ensemble_score",
-    "FROM top", TOP_VIEW))
+    "FROM flagged", FLAGGED_VIEW))
 def g1(spark, sf):
-    """G1: network edges of the top flagged transfers."""
+    """G1: network edges of the flagged transfers."""
     return _edges(spark, sf)
 
 
 @register("g2_node_table", _sql(
     "node:i, avg_score:d, degree:i, node_size:i=least(greatest(degree * 3, 6), 30)",
     "FROM (SELECT node, avg(score) AS avg_score, count(*) AS degree FROM ("
-    "SELECT sender_account AS node, ensemble_score AS score FROM top UNION ALL "
-    "SELECT receiver_account, ensemble_score FROM top WHERE receiver_account IS DISTINCT FROM sender_account) "
-    "GROUP BY node)", TOP_VIEW))
+    "SELECT sender_account AS node, ensemble_score AS score FROM flagged UNION ALL "
+    "SELECT receiver_account, ensemble_score FROM flagged WHERE receiver_account IS DISTINCT FROM sender_account) "
+    "GROUP BY node)", FLAGGED_VIEW))
 def g2(spark, sf):
     """G2 + G3: node scores, degrees and sizes."""
     return GR.node_table(_edges(spark, sf))
 
 
 @register("u2_edge_accounts", _sql(
-    "account:i", "FROM (SELECT sender_account AS account FROM top UNION SELECT receiver_account FROM top)",
-    TOP_VIEW))
+    "account:i", "FROM (SELECT sender_account AS account FROM flagged UNION SELECT receiver_account FROM flagged)",
+    FLAGGED_VIEW))
 def u2(spark, sf):
     """Distinct accounts in the flagged network."""
     return GR.edge_accounts(_edges(spark, sf))
@@ -314,13 +316,12 @@ def u1(spark, sf):
 
 @register("j6_attach_sampled", _sql(
     "transaction_id:i, queue_score:d=coalesce(q.ensemble_score, 0.0)",
-    "FROM txn t LEFT JOIN (SELECT transaction_id, ensemble_score FROM disp WHERE is_alert = 1 "
-    "ORDER BY ensemble_score DESC, transaction_id LIMIT 500) q USING (transaction_id)"))
+    "FROM txn t LEFT JOIN flagged q USING (transaction_id)", FLAGGED_VIEW))
 def j6(spark, sf):
-    """Scores computed on a subset (the alert queue) attached to every
+    """Scores computed on a subset (all alerts) attached to every
     transfer; transfers outside the subset get the default 0.0."""
     from ledgerscope.operators.sampling import attach_sampled
     txn, _ = views(spark, sf)
-    q = RP.alert_queue(display(spark, sf), 500).select(
+    q = display(spark, sf).filter(F.col("is_alert") == 1).select(
         "transaction_id", F.col("ensemble_score").alias("queue_score"))
     return attach_sampled(txn.select("transaction_id"), q, "queue_score", 0.0)

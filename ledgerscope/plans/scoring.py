@@ -16,8 +16,7 @@ from ledgerscope.operators import features as FE
 from ledgerscope.operators import iforest as IF
 from ledgerscope.operators import lof as LO
 from ledgerscope.operators import rules as RU
-from ledgerscope.operators.sampling import attach_sampled, sample_exact
-from ledgerscope.operators.scale import standardize
+from ledgerscope.operators.sampling import attach_sampled
 from ledgerscope.session import checkpoint_dir, pin
 
 OUTPUT_COLUMNS = ["transaction_id", "timestamp", "sender_account", "receiver_account", "amount",
@@ -37,15 +36,12 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
     cols = FE.feature_columns(f)
 
     # Forest: fitted on standardised inputs, scored in Arrow batches (narrow).
-    model = IF.fit_isolation_forest(f, id_col, cols, n_estimators, contamination, seed)
-    s = IF.isolation_forest_scores(f, id_col, cols, model=model).drop("if_raw", "if_label")
-
-    # LOF and DBSCAN on the same seeded sample; unsampled rows get 0.0 / -2.
-    x, _m = standardize(f.select(id_col, *cols), cols)
-    sample = pin(sample_exact(x, lof_sample, seed, id_col), cache=False)
-    lof = LO.local_outlier_factor(sample, id_col, cols, lof_k, contamination, scale=False)
-    db = DB.dbscan(sample, id_col, cols, dbscan_eps, dbscan_min_samples, scale=False)
-    s = attach_sampled(s, lof.select(id_col, "lof_score"), "lof_score", 0.0, id_col)
+    s = IF.isolation_forest_scores(f, id_col, cols, n_estimators, contamination, seed).drop("if_raw", "if_label")
+
+    # LOF is fitted on at most ``lof_sample`` rows and scores every row; DBSCAN clusters every row.
+    lof = LO.sampled_lof(f.select(id_col, *cols), id_col, cols, lof_sample, seed, lof_k, contamination)
+    s = s.join(lof.select(id_col, "lof_score"), id_col)
+    db = DB.dbscan(f.select(id_col, *cols), id_col, cols, dbscan_eps, dbscan_min_samples)
     s = attach_sampled(s, db.select(id_col, F.col("cluster").alias("db_cluster")),
                        "db_cluster", DB.NOT_SAMPLED, id_col)
 

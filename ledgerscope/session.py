@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -19,16 +17,17 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "ledgerscope", extra: dict | None = None) -> SparkSession:
-    """Session for local runs and tests. On a cluster, pass nothing for master
-    and let spark-submit decide; the conf below is still applied."""
+    """Session for local runs and tests. On a cluster, pass nothing and let
+    spark-submit decide on master, memory and shuffle partitions; only the conf
+    below is applied."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("LEDGERSCOPE_DRIVER_MEM", "8g"))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
