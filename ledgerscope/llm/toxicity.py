@@ -54,12 +54,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, max_docs: in
              .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("__y2")).filter("y = __y2")
              .filter(fold(F.col("doc_id")) != 1).select("doc_id", "y"))
     rate = clean.agg(F.avg("y")).first()[0]
-    pool = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .filter(F.length("text") <= max_chars)
-            .join(clean, "doc_id").withColumn("h", F.xxhash64(F.col("doc_id"), F.lit(17))))
-    rows = [r for y in (0, 1) for r in
-            pool.filter(F.col("y") == y).orderBy("h", "doc_id", "text").limit(max_docs).select("text", "y").collect()]
-    return rows, rate
+    narrow = docs.select("doc_id").filter(F.length(F.coalesce("text", F.lit(""))) <= max_chars).join(clean, "doc_id").distinct()
+    picked = [r for y in (0, 1) for r in narrow.filter(F.col("y") == y)
+              .orderBy(F.xxhash64(F.col("doc_id"), F.lit(17)), "doc_id").limit(max_docs).collect()]
+    y_of = {r.doc_id: r.y for r in picked}
+    return [{"text": t, "y": y_of[i]} for i, t in texts_of(docs, list(y_of), max_chars)], rate
+
+
+def texts_of(docs: DataFrame, ids: list, max_chars: int) -> list:
+    """(doc_id, text) of the given ids (a bounded list, so they are broadcast and no text is
+    shuffled), in the list's order; of rows with one id the smallest text."""
+    if not ids:
+        return []
+    spark = docs.sparkSession
+    wanted = F.broadcast(spark.createDataFrame([(i,) for i in ids], docs.select("doc_id").schema))
+    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
+            .join(wanted, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect())
+    found = {r.doc_id: r.text for r in rows}
+    return [(i, found[i]) for i in ids]
 
 
 class KneserNey:
