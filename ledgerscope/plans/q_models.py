@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerscope.operators import clustering as CL
 from ledgerscope.operators import dbscan as DB
@@ -13,7 +14,7 @@ from ledgerscope.operators import features as FE
 from ledgerscope.operators import iforest as IF
 from ledgerscope.operators import lof as LO
 from ledgerscope.operators import sampling as SA
-from ledgerscope.plans.oracle_sql import ACCT_VEC_VIEW, TXN_VIEW, US, VEC_DIST, with_views
+from ledgerscope.plans.oracle_sql import ACCT_VEC_VIEW, ACCT_VIEW, TXN_VIEW, US, VEC_DIST, with_views
 from ledgerscope.plans.q_features import TXN_SPEC
 from ledgerscope.plans.registry import register, sql_cols, table, views
 from ledgerscope.session import checkpoint_dir, pin
@@ -285,10 +286,40 @@ def io4(spark, sf):
     txn, _ = views(spark, sf)
     path = f"{checkpoint_dir(spark).rstrip('/')}/io4-{uuid.uuid4().hex}"
     IO.write_table(txn, path, fmt="csv")
-    back = IO.read_transactions(spark, path, fmt="csv")
+    back = IO.read_transactions(spark, path, fmt="csv", id_type=T.LongType())
     return back.select(*[c for c in txn.columns])
 
 
+_TEXT_IDS = ("transaction_id:s=concat('TXN', lpad(CAST(transaction_id AS VARCHAR), 8, '0')), timestamp:t, "
+             "sender_account:s=concat('ACC', lpad(CAST(sender_account AS VARCHAR), 6, '0')), "
+             "receiver_account:s=concat('ACC', lpad(CAST(receiver_account AS VARCHAR), 6, '0')), amount:d")
+
+
+@register("io1b_text_ids", with_views(f"SELECT {sql_cols(_TEXT_IDS)} FROM txn", TXN_VIEW))
+def io1b(spark, sf):
+    """IO1 with text identifiers: the ledger with TXN.../ACC... ids landed as
+    CSV and read back by the default (text) schema."""
+    txn, _ = views(spark, sf)
+    pad = lambda c, prefix, n: F.concat(F.lit(prefix), F.lpad(F.col(c).cast("string"), n, "0"))
+    named = txn.withColumns({"transaction_id": pad("transaction_id", "TXN", 8),
+                             "sender_account": pad("sender_account", "ACC", 6),
+                             "receiver_account": pad("receiver_account", "ACC", 6)})
+    path = f"{checkpoint_dir(spark).rstrip('/')}/io1b-{uuid.uuid4().hex}"
+    IO.write_table(named, path, fmt="csv")
+    back = IO.read_transactions(spark, path, fmt="csv")
+    return back.select("transaction_id", "timestamp", "sender_account", "receiver_account", "amount")
+
+
+@register("io2b_accounts_file", with_views(
+    "SELECT " + sql_cols("account_id:i, account_type:s, country:s, risk_rating:s, opening_balance:d") + " FROM acct", ACCT_VIEW))
+def io2b(spark, sf):
+    """IO2: the account dimension landed as parquet and read by its reader."""
+    _, acct = views(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/io2b-{uuid.uuid4().hex}"
+    IO.write_table(acct, path, partition_by_month=False)
+    return IO.read_accounts(spark, path, id_type=T.LongType()).select(*acct.columns)
+
+
 @register("io3_parquet_roundtrip", with_views(f"SELECT {sql_cols(TXN_SPEC)} FROM txn", TXN_VIEW))
 def io3(spark, sf):
     """IO4 + IO3: land as month-partitioned parquet and reload typed."""

@@ -1,13 +1,15 @@
-"""Readers and writers (IO1-IO5). Schemas are explicit; nothing is inferred."""
+"""Readers and writers (IO1-IO5). Schemas are explicit; nothing is inferred.
 
-from __future__ import annotations
+Identifiers are text unless the caller passes another type; a CSV or JSON row that
+does not fit the schema is an error, never a silent null."""
 
-import os
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerscope.sources.schema import ACCT_SCHEMA, TXN_SCHEMA
+from ledgerscope.sources.schema import acct_schema, txn_schema
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -24,14 +26,16 @@ def _fmt(path: str, fmt: str | None) -> str:
 
 
 def _require(spark: SparkSession, path: str, what: str) -> None:
-    # Only local paths can be checked cheaply; remote stores fail at read time.
-    if "://" not in path and not os.path.exists(path):
+    # Asked of the path's own file system, which on a cluster is not the driver's disk.
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not (fs.globStatus(p) or ()):
         raise FileNotFoundError(f"{what} not found: {path}")
 
 
 def _read(spark: SparkSession, path: str, schema, fmt: str | None) -> DataFrame:
     f = _fmt(path, fmt)
-    r = spark.read.schema(schema)
+    r = spark.read.schema(schema).option("mode", "FAILFAST")
     # Partition directories (e.g. txn_month=...) are discovered as extra
     # columns; return exactly the declared schema.
     if f == "csv":
@@ -44,16 +48,18 @@ def _read(spark: SparkSession, path: str, schema, fmt: str | None) -> DataFrame:
     return df.select([F.col(fl.name).cast(fl.dataType).alias(fl.name) for fl in schema.fields])
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """IO1: transfer ledger, timestamp parsed; a missing path is an error."""
+def read_transactions(spark: SparkSession, path: str, fmt: str | None = None,
+                      id_type: T.DataType = T.StringType()) -> DataFrame:
+    """IO1: transfer ledger, timestamp parsed; a missing path or a malformed row is an error."""
     _require(spark, path, "Transaction file")
-    return _read(spark, path, TXN_SCHEMA, fmt)
+    return _read(spark, path, txn_schema(id_type), fmt)
 
 
-def read_accounts(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_accounts(spark: SparkSession, path: str, fmt: str | None = None,
+                  id_type: T.DataType = T.StringType()) -> DataFrame:
     """IO2: account dimension. The path is explicit (no string substitution)."""
     _require(spark, path, "Account file")
-    return _read(spark, path, ACCT_SCHEMA, fmt)
+    return _read(spark, path, acct_schema(id_type), fmt)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
