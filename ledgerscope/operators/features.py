@@ -2,13 +2,15 @@
 
 Shuffle plan of :func:`engineer_all_features`:
 
-* one exchange on (sender, time bucket) for the time and velocity features;
-  a sender with a third of all rows is split across its buckets;
+* the ledger's wide rows are shuffled once for the time and velocity features,
+  on (sender, time bucket), so a sender with a third of all rows is split across
+  its buckets; the buckets' totals come from a narrow scan with map-side
+  aggregation;
 * per-sender, per-receiver and per-pair aggregates with map-side partial
   aggregation, joined back on their key. AQE turns the joins into broadcasts
-  when the aggregate is measured small at run time, otherwise sort-merge with
-  skew-split of hot keys (one row per key on the aggregate side makes the
-  split valid).
+  when the aggregate is measured small at run time. Where it is not, the join is
+  sort-merge on the key, and the rows of a hot sender meet in one task, since
+  Spark does not split a join side that a final aggregate feeds.
 """
 
 from __future__ import annotations
@@ -81,37 +83,33 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
                       sender: str, ts: str, amount: str, id_col: str,
                       bucket_days: float) -> DataFrame:
     bucket_us = int(bucket_days * MICROS_PER_DAY)
-    us = epoch_micros(ts)
-    has_amt = F.col(amount).isNotNull()
-    amt_dec = F.coalesce(F.col(amount).cast(SUM_TYPE), F.lit(0).cast(SUM_TYPE))
-    zero_dec = F.lit(0).cast(SUM_TYPE)
     windows = list(windows) if with_velocity else []
-
-    # Entry rows carry every input column; exit rows only what the sums need.
-    # Internal columns are indexed by window position; outputs use labels.
     idx = list(range(len(windows)))
-    entry_cols = {"_us": us, "_k": F.lit(0)}
-    for i in idx:
-        entry_cols[f"_dc{i}"] = has_amt.cast("long")
-        entry_cols[f"_ds{i}"] = amt_dec
-    entries = df.withColumns(entry_cols)
-    parts = [entries]
-    for i, n in enumerate(windows):
-        shift = int(round(float(n) * MICROS_PER_DAY))
-        ex = {sender: F.col(sender), "_us": us + F.lit(shift), "_k": F.lit(i + 1)}
-        for m in idx:
-            ex[f"_dc{m}"] = -has_amt.cast("long") if m == i else F.lit(0).cast("long")
-            ex[f"_ds{m}"] = -amt_dec if m == i else zero_dec
-        parts.append(df.select([c.alias(k) for k, c in ex.items()]))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
-    # One partition key for windows, bucket totals and the join back, so the
-    # ledger is shuffled once. A struct key compares nulls as equal, which
-    # keeps null senders together without a null-safe (re-shuffling) join.
-    b = F.floor(F.col("_us") / F.lit(bucket_us))
-    u = u.withColumns({"_key": F.struct(F.col(sender).alias("s"), b.alias("b")),
-                       "_kk": F.when(F.col("_k") == 0, 1).otherwise(0)})
+    zero_dec = F.lit(0).cast(SUM_TYPE)
+    # A transfer enters every window at t (event 0) and leaves window i at t + N_i
+    # (event i + 1). One explode makes the events, so the ledger is scanned once here.
+    shifts = [0, *[int(round(float(n) * MICROS_PER_DAY)) for n in windows]]
+
+    def events(rows: DataFrame) -> DataFrame:
+        e = rows.withColumn("_e", F.explode(F.array(*[
+            F.struct(F.lit(k).alias("k"), F.lit(x).cast("long").alias("shift")) for k, x in enumerate(shifts)])))
+        k, has = F.col("_e.k"), F.col(amount).isNotNull().cast("long")
+        amt = F.coalesce(F.col(amount).cast(SUM_TYPE), zero_dec)
+        at = epoch_micros(ts) + F.col("_e.shift")
+        out = {"_us": at, "_k": k, "_kk": F.when(k == 0, 1).otherwise(0),
+               "_key": F.struct(F.col(sender).alias("s"), F.floor(at / F.lit(bucket_us)).alias("b"))}
+        for i in idx:
+            out[f"_dc{i}"] = F.when(k == 0, has).when(k == i + 1, -has).otherwise(0)
+            out[f"_ds{i}"] = F.when(k == 0, amt).when(k == i + 1, -amt).otherwise(zero_dec)
+        return e.withColumns(out).drop("_e")
+
+    # One partition key for the windows and the join with the totals, so the wide rows
+    # are shuffled once. A struct key compares nulls as equal, which keeps null
+    # senders together without a null-safe (re-shuffling) join. Leaving events travel
+    # without the input columns.
+    u = events(df)
+    own = [c for c in df.columns if c != sender]
+    u = u.withColumns({c: F.when(F.col("_k") == 0, F.col(c)) for c in own})
 
     # Exits sort before entries at the same instant, so a row exactly N days
     # old has already left the window; entries tied at t are RANGE peers.
@@ -129,14 +127,14 @@ def _sender_time_pass(df: DataFrame, windows, with_gap: bool, with_velocity: boo
     if sums:
         u = u.withColumns(sums)
 
-    # Per-bucket totals carried forward as offsets: a small table with one
-    # row per sender and active bucket, aggregated on the existing partitioning.
+    # Per-bucket totals carried forward as offsets: one row per sender and active
+    # bucket, from a narrow scan with map-side aggregation.
     aggs = []
     for i in idx:
         aggs += [F.sum(f"_dc{i}").alias(f"_tc{i}"), F.sum(f"_ds{i}").alias(f"_ts{i}")]
     if with_gap:
         aggs.append(F.max(F.when(F.col("_k") == 0, F.col("_us"))).alias("_bmax"))
-    tot = u.groupBy("_key").agg(*aggs)
+    tot = events(df.select(*dict.fromkeys([sender, ts, amount]))).groupBy("_key").agg(*aggs)
     wb = (Window.partitionBy(F.col("_key.s")).orderBy(F.col("_key.b"))
           .rowsBetween(Window.unboundedPreceding, -1))
     offs = {}
@@ -201,12 +199,14 @@ def _exact_median_by(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def sender_amount_stats(df: DataFrame, sender: str = "sender_account", amount: str = "amount",
-                        approx_median: bool = False, with_min_max: bool = True) -> DataFrame:
+                        approx_median: bool = False, with_min_max: bool = True,
+                        receiver: str | None = None) -> DataFrame:
     """A1: mean, sample std, median, min, max and count of amounts per sender.
 
     Mean, std, min, max and count aggregate partially on the map side. The
     median is exact (see :func:`_exact_median_by`); ``approx_median=True`` uses a bounded-memory
-    quantile sketch instead."""
+    quantile sketch instead. With ``receiver``, A5 (distinct receivers) comes out
+    of the same aggregate."""
     a = F.col(amount)
     aggs = [F.avg(a).alias("acct_avg_amount"), F.stddev_samp(a).alias("acct_std_amount")]
     if approx_median:
@@ -214,12 +214,15 @@ def sender_amount_stats(df: DataFrame, sender: str = "sender_account", amount: s
     if with_min_max:
         aggs += [F.min(a).alias("acct_min_amount"), F.max(a).alias("acct_max_amount")]
     aggs.append(F.count(a).alias("acct_total_txns"))
+    if receiver:
+        count = F.approx_count_distinct if approx_median else F.count_distinct
+        aggs.append(count(receiver).alias("n_unique_receivers"))
     stats = df.groupBy(sender).agg(*aggs)
     if not approx_median:
         stats = stats.join(_exact_median_by(df, sender, amount), sender, "left")
     cols = ["acct_avg_amount", "acct_std_amount", "acct_median_amount"]
     cols += ["acct_min_amount", "acct_max_amount"] if with_min_max else []
-    return stats.select(sender, *cols, "acct_total_txns")
+    return stats.select(sender, *cols, "acct_total_txns", *(["n_unique_receivers"] if receiver else []))
 
 
 def amount_features(df: DataFrame, sender: str = "sender_account", amount: str = "amount",
@@ -303,9 +306,7 @@ def _fused_frame(df: DataFrame, windows, with_velocity: bool, with_pairs: bool,
     derived column and the null fill (few DataFrame operations, so plan
     analysis stays cheap)."""
     t = _sender_time_pass(df, windows, True, with_velocity, sender, ts, amount, id_col, bucket_days)
-    t = t.join(sender_amount_stats(df, sender, amount, approx, with_min_max), on=sender, how="left")
-    net = distinct_receivers(df, sender, receiver, approx)
-    t = t.join(net, on=sender, how="left")
+    t = t.join(sender_amount_stats(df, sender, amount, approx, with_min_max, receiver), on=sender, how="left")
     t = t.join(distinct_senders(df, sender, receiver, approx), on=receiver, how="left")
     if with_pairs:
         pc = pair_counts(df, sender, receiver)
