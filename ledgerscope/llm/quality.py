@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerscope.llm.common import utf8
-from ledgerscope.llm.toxicity import fold
+from ledgerscope.llm.toxicity import fold, texts_of
 
 MAX_DOCS = 6000
 MAX_CHARS = 20_000
@@ -146,10 +146,11 @@ def scorer(spark, model):
 def quality_scores(docs: DataFrame, labels: DataFrame, out: str = "score",
                    max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
     """``docs`` plus a score in 0..1."""
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
-    by_hash = lambda d, salt: d.orderBy(F.xxhash64(F.col("doc_id"), F.lit(salt)), "doc_id", "text").limit(max_docs)
+    short = (docs.filter(F.col("doc_id").isNotNull() & (F.length(F.coalesce("text", F.lit(""))) <= max_chars))
+             .select("doc_id").distinct())
+    first = lambda d, salt: [r.doc_id for r in d.orderBy(F.xxhash64(F.col("doc_id"), F.lit(salt)), "doc_id").limit(max_docs).collect()]
     trusted = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
                .agg(F.min("quality").alias("__lo")).filter("__lo = 1").filter(fold(F.col("doc_id")) != 1).select("doc_id"))
-    positive = [r.text for r in by_hash(text.join(trusted, "doc_id", "left_semi"), 3).select("text").collect()]
-    unlabelled = [r.text for r in by_hash(text, 5).select("text").collect()]
+    positive = [t for _, t in texts_of(docs, first(short.join(trusted, "doc_id", "left_semi"), 3), max_chars)]
+    unlabelled = [t for _, t in texts_of(docs, first(short, 5), max_chars)]
     return docs.withColumn(out, scorer(docs.sparkSession, fit(positive, unlabelled))(F.col("text")))
