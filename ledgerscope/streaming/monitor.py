@@ -9,17 +9,15 @@
   day are discarded. Spark's guarantee is one-directional: a row behind the
   watermark whose day is still open may still be counted.
 * E3 ``sender_gap_state``: seconds since the sender's previous transfer and
-  the rapid flag from per-sender state (last event time). Rows inside one
-  micro-batch are ordered; a row older than the state is a straggler: it is
-  flagged and gets gap 0. State of a sender idle for ``state_ttl`` of event
-  time is dropped.
+  the rapid flag from per-sender state (last event time, transfers that wait
+  for the watermark). The result does not depend on how the input is cut into
+  batches. State of a sender idle for ``state_ttl`` of event time is dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,50 +73,57 @@ def daily_alert_counts(df: DataFrame, watermark: str = "1 day", threshold: float
             .select(F.to_date(F.col("w.start")).alias("date"), "n_txns", "n_alerts"))
 
 
-GAP_OUTPUT = ("transaction_id long, sender_account long, timestamp timestamp, "
-              "time_since_last_txn double, is_rapid int, is_straggler int")
-GAP_STATE = "last_us long"
+GAP_STATE = "last_us long, us array<long>, ids array<{id}>"
 
 
 def sender_gap_state(df: DataFrame, watermark: str = "1 day", state_ttl_ms: int = 30 * 86_400_000) -> DataFrame:
-    """Gap to the sender's previous transfer from per-sender state."""
+    """Gap to the sender's previous transfer from per-sender state.
+
+    A sender's transfers wait in its state until the watermark passes them, are
+    then ordered by (event time, id) and emitted, so the result does not depend on
+    how the input falls into batches. Transfers later than the last watermark stay
+    in the state; ones older than it when they arrive are dropped by the watermark."""
+    id_type = df.schema["transaction_id"].dataType.simpleString()
+    who_type = df.schema["sender_account"].dataType.simpleString()
     f = (df.select("transaction_id", "sender_account", F.col("timestamp").cast("timestamp").alias("timestamp"))
          .withWatermark("timestamp", watermark))
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
+        last, us, ids = state.get if state.exists else (None, [], [])
+        us, ids = list(us), list(ids)
+        for pdf in batches:
+            us += pdf["timestamp"].astype("datetime64[us]").astype("int64").tolist()
+            ids += pdf["transaction_id"].tolist()
+        if state.hasTimedOut and not us:
             state.remove()
             return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
+        passed = state.getCurrentWatermarkMs() * 1000
+        order = sorted(range(len(us)), key=lambda i: (us[i], ids[i]))
+        out = [i for i in order if us[i] < passed]
+        wait = [i for i in order if us[i] >= passed]
+        gaps = []
+        for i in out:
+            gaps.append(0.0 if last is None else (us[i] - last) / 1e6)
+            last = us[i]
+        state.update((last, [us[i] for i in wait], [ids[i] for i in wait]))
+        # Wake when the watermark passes the earliest waiting row, or to forget an idle sender.
+        wake = us[wait[0]] // 1000 + 1 if wait else (last if last is not None else passed) // 1000 + state_ttl_ms
+        state.setTimeoutTimestamp(max(int(wake), state.getCurrentWatermarkMs() + 1))
+        if not out:
             return
-        us = pdf["timestamp"].astype("datetime64[us]").astype("int64")
-        pdf = pdf.assign(_us=us).sort_values(["_us", "transaction_id"], kind="stable")
-        u = pdf["_us"].to_numpy()
-        first_ever = not state.exists
-        last = state.get[0] if state.exists else int(u[0])
-        # previous event time seen before each row = running max (state first)
-        prev = np.maximum.accumulate(np.concatenate([[last], u[:-1]]))
-        strag = (u < prev).astype("int32")
-        gaps = np.where(strag == 1, 0.0, (u - prev) / 1e6)
-        if first_ever:
-            gaps[0] = 0.0
-        last = int(max(last, u.max()))
-        state.update((int(last),))
-        state.setTimeoutTimestamp(int(last // 1000) + state_ttl_ms)
-        g = pd.Series(gaps, index=pdf.index)
-        strag = pd.Series(strag, index=pdf.index)
+        g = pd.Series(gaps, dtype="float64")
         yield pd.DataFrame({
-            "transaction_id": pdf["transaction_id"].astype("int64"),
-            "sender_account": pdf["sender_account"].astype("int64"),
-            "timestamp": pdf["timestamp"],
+            "transaction_id": [ids[i] for i in out],
+            "sender_account": [key[0]] * len(out),
+            "timestamp": pd.to_datetime([us[i] for i in out], unit="us"),
             "time_since_last_txn": g,
             "is_rapid": ((g > 0) & (g < RAPID_SECONDS)).astype("int32"),
-            "is_straggler": strag.astype("int32"),
         })
 
+    output = (f"transaction_id {id_type}, sender_account {who_type}, timestamp timestamp, "
+              "time_since_last_txn double, is_rapid int")
     return f.groupBy("sender_account").applyInPandasWithState(
-        step, GAP_OUTPUT, GAP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        step, output, GAP_STATE.format(id=id_type), "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataFrame:

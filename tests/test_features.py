@@ -114,3 +114,14 @@ def test_exact_median_hot_senders(spark, ledger):
     got = FE.sender_amount_stats(txn).collect()
     assert len(got) == len(want)
     assert all(abs(r.acct_median_amount - want[r.sender_account]) < 1e-9 for r in got)
+
+
+def test_time_pass_scans(spark, ledger):
+    """The wide ledger is scanned once for all events, and once narrowly for the bucket totals."""
+    import re
+
+    def scans(df):
+        df.write.format("noop").mode("overwrite").save()
+        return len(re.findall("FileScan", df._jdf.queryExecution().executedPlan().toString()))
+    assert scans(FE.velocity_features(ledger[0])) <= 2
+    assert scans(FE.engineer_all_features(ledger[0], windows=(1, 8))) <= 6  # not the cached fixture
