@@ -9,6 +9,8 @@ reference plants in its synthetic ledger; all are arguments.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,31 +62,46 @@ def _edges(df: DataFrame) -> DataFrame:
 
 
 def layering_chains(df: DataFrame, hops: int = LAYERING_HOPS, band: float = LAYERING_BAND,
-                    span_hours: float = LAYERING_SPAN_HOURS, ordered: bool = False) -> DataFrame:
+                    span_hours: float = LAYERING_SPAN_HOURS, ordered: bool = False,
+                    base_range: tuple[float, float] | None = None) -> DataFrame:
     """Chains of ``hops`` transfers a0 -> a1 -> ... -> a_hops over distinct
     accounts, all within ``span_hours`` of each other and every amount at
     least ``band`` x the chain's largest. ``ordered=True`` also requires hop
-    times to increase along the chain (planted chains need not be ordered).
+    times to increase along the chain (planted chains need not be ordered);
+    ``base_range`` keeps chains whose largest amount lies in it (planted chains
+    start from 50,000 to 200,000).
+
+    Next hops are joined on (account, time bucket, log-amount bucket), each as wide
+    as its band, so a hub account's transfers meet only those close in time and amount.
 
     One row per chain: txn_1..txn_h, account_0..account_h, span_seconds,
     min_amount, max_amount."""
     span_us = int(span_hours * HOUR_US)
     e = _edges(df).filter(F.col("src") != F.col("dst"))
-    e = e.withColumn("tb", F.floor(F.col("us") / F.lit(span_us)))
+    if base_range is not None:
+        e = e.filter((F.col("amount") >= F.lit(band * base_range[0])) & (F.col("amount") <= F.lit(float(base_range[1]))))
+    # Amounts of one chain differ by a factor of 1 / band at most: one bucket up or down.
+    width = -math.log(band) * (1 + 1e-9) if 0 < band < 1 else 1.0
+
+    def amount_bucket(a):
+        return F.when(a > 0, F.floor(F.ln(a) / F.lit(width))).otherwise(F.lit(-(1 << 40)))
+    e = e.withColumns({"tb": F.floor(F.col("us") / F.lit(span_us)), "ab": amount_bucket(F.col("amount"))})
 
     cur = e.select(F.col("transaction_id").alias("txn_1"), F.col("src").alias("account_0"),
                    F.col("dst").alias("account_1"), F.col("us").alias("_us_last"),
-                   F.col("tb").alias("_tb"), F.col("amount").alias("_amt_last"),
+                   F.col("tb").alias("_tb"), F.col("ab").alias("_ab"), F.col("amount").alias("_amt_last"),
                    F.col("us").alias("_us_min"), F.col("us").alias("_us_max"),
                    F.col("amount").alias("min_amount"), F.col("amount").alias("max_amount"),
                    F.array(F.col("src"), F.col("dst")).alias("_accts"))
     for h in range(2, hops + 1):
         # Next hop: starts at the current chain end, within +-span in time.
         nxt = (e.withColumn("_nb", F.explode(F.array(F.col("tb") - 1, F.col("tb"), F.col("tb") + 1)))
+               .withColumn("_na", F.explode(F.array(F.col("ab") - 1, F.col("ab"), F.col("ab") + 1)))
                .select(F.col("transaction_id").alias(f"txn_{h}"), F.col("src").alias("_src"),
                        F.col("dst").alias(f"account_{h}"), F.col("us").alias("_us"),
-                       F.col("amount").alias("_amt"), F.col("_nb")))
-        j = cur.join(nxt, (cur[f"account_{h - 1}"] == nxt["_src"]) & (cur["_tb"] == nxt["_nb"]))
+                       F.col("amount").alias("_amt"), F.col("ab").alias("_nab"), F.col("_nb"), F.col("_na")))
+        j = cur.join(nxt, (cur[f"account_{h - 1}"] == nxt["_src"]) & (cur["_tb"] == nxt["_nb"])
+                     & (cur["_ab"] == nxt["_na"]))
         cond = (F.abs(F.col("_us") - F.col("_us_last")) <= span_us) \
             & (F.col("_amt") >= F.lit(band) * F.col("_amt_last")) \
             & (F.col("_amt_last") >= F.lit(band) * F.col("_amt")) \
@@ -96,6 +113,7 @@ def layering_chains(df: DataFrame, hops: int = LAYERING_HOPS, band: float = LAYE
         cur = j.select(
             *keep, f"txn_{h}", f"account_{h}",
             F.col("_us").alias("_us_last"), F.floor(F.col("_us") / F.lit(span_us)).alias("_tb"),
+            F.col("_nab").alias("_ab"),
             F.col("_amt").alias("_amt_last"),
             F.least("_us_min", "_us").alias("_us_min"), F.greatest("_us_max", "_us").alias("_us_max"),
             F.least("min_amount", "_amt").alias("min_amount"),
@@ -103,6 +121,8 @@ def layering_chains(df: DataFrame, hops: int = LAYERING_HOPS, band: float = LAYE
             F.concat(F.col("_accts"), F.array(F.col(f"account_{h}"))).alias("_accts"))
         cur = cur.filter((F.col("_us_max") - F.col("_us_min")) <= span_us)
     cur = cur.filter(F.col("min_amount") >= F.lit(band) * F.col("max_amount"))
+    if base_range is not None:
+        cur = cur.filter((F.col("max_amount") >= F.lit(float(base_range[0]))) & (F.col("max_amount") <= F.lit(float(base_range[1]))))
     return cur.select(
         *[f"txn_{i}" for i in range(1, hops + 1)], *[f"account_{i}" for i in range(hops + 1)],
         ((F.col("_us_max") - F.col("_us_min")) / F.lit(float(MICROS_PER_SECOND))).alias("span_seconds"),
