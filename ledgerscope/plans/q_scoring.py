@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerscope.operators import ensemble as EN
@@ -12,6 +14,8 @@ from ledgerscope.operators import rules as RU
 from ledgerscope.operators import scale as SC
 from ledgerscope.plans.oracle_sql import FEAT_VIEW, SCORED_VIEW, TXN_VIEW, with_views
 from ledgerscope.plans.registry import memo_plan, register, sql_cols, views
+from ledgerscope.session import checkpoint_dir
+from ledgerscope.sources import io as IO
 
 THRESHOLD = 0.5
 
@@ -202,3 +206,17 @@ def io5(spark, sf):
     """IO5: the nested one-row report (struct / array / map columns), as
     written to JSON by :func:`ledgerscope.sources.io.write_report`."""
     return EV.run_summary(scored_table(spark, sf), threshold=THRESHOLD, n_clusters=8)
+
+
+@register("io5b_report_file", _sql(
+    "total_transactions:i, suspicious_transactions:i, suspicious_rate:d, " + _EVAL_SPEC + ", n_thresholds:i=9, n_clusters:i=8",
+    "FROM (SELECT count(*) AS total_transactions, sum(is_suspicious) AS suspicious_transactions, "
+    "avg(CAST(is_suspicious AS DOUBLE)) AS suspicious_rate FROM scored), " + _EVAL_SQL[5:]))
+def io5b(spark, sf):
+    """IO5: the report written as one JSON document, read back and flattened."""
+    report = EV.run_summary(scored_table(spark, sf), threshold=THRESHOLD, n_clusters=8)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/io5-{uuid.uuid4().hex}"
+    IO.write_report(report, path)
+    back = spark.read.schema(report.schema).json(path)
+    return back.select("total_transactions", "suspicious_transactions", "suspicious_rate", "detection_metrics.*",
+                       F.size("alert_volume").alias("n_thresholds"), "n_clusters")
