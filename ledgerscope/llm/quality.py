@@ -96,7 +96,10 @@ def _sigmoid(z):
 
 def estimate_prior(xp, xu, seed: int) -> float:
     """Share of positives among the unlabelled: cross-fitted scores of a positive-versus-unlabelled
-    classifier, then the smallest upper bound of unlabelled over positive upper tails."""
+    classifier, then the smallest upper bound of unlabelled over positive upper tails. A half
+    where either set is too small to split."""
+    if min(len(xp), len(xu)) < 2:
+        return 0.5
     sp, su = np.zeros(len(xp)), np.zeros(len(xu))
     for f in (0, 1):
         a, b = np.arange(len(xp)) % 2 == f, np.arange(len(xu)) % 2 == f
