@@ -10,7 +10,8 @@ their anchor. Consecutive strings with one anchor form a run, and a document is
 Runs travel as (anchor, content hash, document, start), never as text. Copies
 of a run fall together by hash: all but the first are removed whole, already
 inside each map batch, so a passage that a third of all documents share reaches
-a task once per batch. Runs that share the anchor but not the content (a copy's
+a task once per batch; k-grams common to a bounded sample of documents are anchors
+only where a string holds no other (see ``Common``). Runs that share the anchor but not the content (a copy's
 edited spots, a passage's ends) send their bytes to the anchor's task.
 
 There, the runs' words form one integer text, and its suffix array is built by
@@ -45,6 +46,8 @@ LENGTH = 100
 GRAM = 28
 WORD_END = 64  # a word ends (a byte up to 0x20) among so many first bytes, or the anchor's runs are sorted by bytes
 PIECE = 1 << 19  # strings looked at together
+COMMON_DOCS = 20  # k-grams of so many sampled texts (and 1 % of them) are common
+SAMPLE_DOCS, SAMPLE_CHARS = 2000, 20_000
 SORT_BYTES = 1 << 22  # run bytes sorted together; one anchor's runs may exceed it
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15
@@ -87,7 +90,39 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n - w + 1], ahead[w - 1:n])
 
 
-def runs_of(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+class Common:
+    """k-gram hashes that are anchors only where a string holds no other: the ends of a
+    passage that very many documents share are then anchored in the text around it,
+    which differs, and do not all meet in the passage's task."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.bloom = np.zeros(1 << 20, bool)
+        self.bloom[self.hashes >> _U(44)] = True
+
+    def among(self, grams: np.ndarray) -> np.ndarray:
+        out = self.bloom[grams >> _U(44)]
+        at = np.flatnonzero(out)
+        if len(at):
+            near = np.minimum(np.searchsorted(self.hashes, grams[at]), len(self.hashes) - 1)
+            out[at] = self.hashes[near] == grams[at]
+        return out
+
+
+def common_grams(texts: list, gram: int = GRAM) -> Common:
+    """The k-grams of at least 1 % (and COMMON_DOCS) of these texts."""
+    found = []
+    for t in texts:
+        b = np.frombuffer(utf8(t), np.uint8)
+        if len(b) >= gram:
+            found.append(np.unique(_Rolling(b).at(np.arange(len(b) - gram + 1), gram)))
+    if not found:
+        return Common(np.zeros(0, _U))
+    hashes, n = np.unique(np.concatenate(found), return_counts=True)
+    return Common(hashes[n >= max(COMMON_DOCS, len(texts) // 100)])
+
+
+def runs_of(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM, common: Common | None = None):
     """(anchor hash, content hash, start, strings) of the runs of concatenated texts that end at ``ends``."""
     empty = (np.zeros(0, np.int64),) * 4
     if len(data) < length:
@@ -95,7 +130,9 @@ def runs_of(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     roll = _Rolling(data)
     grams = roll.at(np.arange(len(data) - gram + 1), gram)
     bits = int(len(grams)).bit_length()
-    key = ((grams >> _U(bits + 1)) << _U(bits)).astype(np.int64) | np.arange(len(grams))
+    key = ((grams >> _U(bits + 2)) << _U(bits)).astype(np.int64) | np.arange(len(grams))
+    if common is not None and len(common.hashes):
+        key |= common.among(grams).astype(np.int64) << 62
     pos = _sliding_min(key, length - gram + 1) & ((1 << bits) - 1)
     owner = np.searchsorted(ends, np.arange(len(pos)), side="right")
     whole = np.arange(len(pos)) + length <= ends[owner]
@@ -155,12 +192,13 @@ def _merge_by_doc(did, start, stop):
     return did[first][k], s - k * reach, e - k * reach
 
 
-def _map_runs(length, gram):
+def _map_runs(length, gram, common):
     def run(batches):
+        shared = common.value
         for pdf in batches:
             parts = []
             for data, ends, who, offs in _pieces(pdf["text"], pdf["did"].tolist(), length):
-                a, c, first, n = runs_of(data, ends, length, gram)
+                a, c, first, n = runs_of(data, ends, length, gram, shared)
                 own = np.searchsorted(ends, first, side="right")
                 begin = np.r_[0, ends[:-1]]
                 parts.append((a, c, who[own], first - begin[own] + offs[own]))
@@ -439,12 +477,24 @@ def _ordered(docs: DataFrame) -> DataFrame:
             .select("doc_id", "text", F.coalesce(F.col("__rank") + (1 << 62), F.col("doc_id").cast("long")).alias("did")))
 
 
+def _sample(src: DataFrame) -> list:
+    """Texts of at most SAMPLE_DOCS documents in hash order (each of at most SAMPLE_CHARS
+    characters). They only choose anchors: every anchor choice gives the same result."""
+    short = src.filter(F.length("text") <= SAMPLE_CHARS)
+    ids = short.select("did").distinct().orderBy(F.xxhash64("did"), "did").limit(SAMPLE_DOCS).collect()
+    if not ids:
+        return []
+    wanted = F.broadcast(src.sparkSession.createDataFrame([(r.did,) for r in ids], "did long"))
+    return [r.text for r in short.join(wanted, "did").groupBy("did").agg(F.min("text").alias("text")).collect()]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                    keep_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256
     and, with ``keep_text``, kept: the bytes that remain."""
     src = _ordered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    runs = src.select("did", "text").mapInPandas(_map_runs(length, gram), _RUNS)
+    common = docs.sparkSession.sparkContext.broadcast(common_grams(_sample(src), gram))
+    runs = src.select("did", "text").mapInPandas(_map_runs(length, gram, common), _RUNS)
     found = stage(runs.repartition("anchor").sortWithinPartitions("anchor", "content", "did", "start")
                   .mapInPandas(_meet(length), _FOUND), "found")
     packed = src.select("doc_id", "did", _pack("text").alias("blob"))
