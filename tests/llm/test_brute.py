@@ -159,6 +159,21 @@ def test_pitman_yor_is_a_distribution(spark):
     assert np.allclose((10 ** logp).sum(axis=1), 1)
 
 
+def test_pitman_yor_learns_bigrams_of_rare_words(spark):
+    """Rare words are contexts of their own: a pair that always follows beats the same words in the other order."""
+    from pyspark.sql import functions as F
+    from ledgerscope.llm.pitman_yor import score_documents
+    rng = random.Random(4)
+    vocab = [f"w{k:03d}" for k in range(120)]
+    pairs = [(vocab[2 * k], vocab[2 * k + 1]) for k in range(60)]
+    rows = [(i, " ".join(f"the of {a} {b}" for a, b in rng.choices(pairs, k=20))) for i in range(60)]
+    rows += [(90_000 + k, f"{a} {b}") for k, (a, b) in enumerate(pairs)] + [(91_000 + k, f"{b} {a}") for k, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.score for r in score_documents(df, F.col("doc_id") >= 10_000, symbols=3, dictionary=40).collect()}
+    gain = [got[90_000 + k] - got[91_000 + k] for k in range(60)]
+    assert sum(g > 1 for g in gain) >= 57
+
+
 def test_seating_has_the_right_mean():
     """Mean tables of a Pitman-Yor restaurant of one dish under a certain parent: the number of classes in closed form."""
     import numpy as np
