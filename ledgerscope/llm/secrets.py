@@ -2,8 +2,9 @@
 
 Three patterns find base spans (assignments, access key ids, long hexadecimal
 runs); a fourth finds credential-shaped tokens. All values are hashed and
-counted by distinct owner (``source``) and document. A value that several owners hold is a copied
-example; one that at most ``max_owners`` hold looks live. Base spans always
+counted by distinct owner (``source``) and by distinct document. A value that
+several owners or many documents hold is a copied example; one that at most
+``max_owners`` and at most ``max_documents`` hold looks live. Base spans always
 stay and carry this verdict; credential-shaped tokens count only when live and
 clear of base spans (kind ``live``).
 
@@ -33,6 +34,7 @@ WIDE = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "live")
 MIN_ASSIGN = 12
 MAX_OWNERS = 1
+MAX_DOCUMENTS = 2
 SALT = 16
 _STEP = 128
 
@@ -95,12 +97,16 @@ def _found(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataF
     return stage(rows.select("__id", "__th", "doc_id", "owner", hashed.alias("found")), "spans")
 
 
-def _judged(found: DataFrame, max_owners: int) -> DataFrame:
+def _judged(found: DataFrame, max_owners: int, max_documents: int) -> DataFrame:
     """(__id, __th, spans) of the documents that keep any span: array<struct<start, rank, end, live>>."""
     some = found.filter(F.size("found") > 0)
     cand = some.select("__id", "__th", "owner", F.explode("found").alias("s"))
-    freq = (cand.select(F.col("s.hash").alias("hash"), "owner").distinct()
-            .groupBy("hash").agg((F.count("*") <= max_owners).alias("live")))
+    held = cand.select(F.col("s.hash").alias("hash"), "owner", "__id", "__th")
+    # Distinct pairs first, then partial counts: a value that many documents hold is no task of its own.
+    owners = held.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
+    documents = held.select("hash", "__id", "__th").distinct().groupBy("hash").agg(F.count("*").alias("documents"))
+    freq = owners.join(documents, "hash").select(
+        "hash", ((F.col("owners") <= max_owners) & (F.col("documents") <= max_documents)).alias("live"))
     salted = stage(freq.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), "frequency")
     one = cand.select("__id", "__th", "s.start", "s.rank", "s.end", "s.hash",
                       F.pmod(F.xxhash64("__id", "__th"), F.lit(SALT)).cast("int").alias("salt"))
@@ -110,10 +116,10 @@ def _judged(found: DataFrame, max_owners: int) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 max_owners: int = MAX_OWNERS) -> DataFrame:
+                 max_owners: int = MAX_OWNERS, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """One row per row of ``docs``: doc_id and spans, sorted by start and kind."""
     found = _found(docs, id_col, text_col, owner_col)
-    return (found.select("__id", "__th", "doc_id").join(_judged(found, max_owners), ["__id", "__th"], "left")
+    return (found.select("__id", "__th", "doc_id").join(_judged(found, max_owners, max_documents), ["__id", "__th"], "left")
             .select("doc_id", F.coalesce("spans", F.array().cast(
                 "array<struct<start:bigint,rank:int,end:bigint,live:boolean>>")).alias("spans")))
 
@@ -124,10 +130,10 @@ def listed(spans: Column) -> Column:
         ":", kind(s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def redact(docs: DataFrame, max_owners: int = MAX_OWNERS, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """``docs`` with every span masked: live-looking ones as [SECRET], widely
     copied ones as [EXAMPLE_SECRET]; n_chars follows. All rows and columns stay."""
-    judged = _judged(_found(docs, "doc_id", "text", "source"), max_owners)
+    judged = _judged(_found(docs, "doc_id", "text", "source"), max_owners, max_documents)
     text = F.coalesce(F.col("text"), F.lit(""))
     joined = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                                "__th": F.xxhash64(text)}).join(judged.withColumnRenamed("spans", "__spans"),

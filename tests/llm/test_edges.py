@@ -144,3 +144,16 @@ def test_secrets(docs, empty):
     assert (8, "[SECRET]", 8) in clean and (1, TEXTS[0][1], len(TEXTS[0][1])) in clean and (2, None, None) in clean
     assert redact(docs).columns == docs.columns and redact(docs).count() == len(TEXTS)
     assert scan_secrets(empty).count() == 0 and redact(empty).count() == 0
+
+
+def test_secrets_of_one_owner_in_many_documents(spark):
+    """A value that many documents of one source hold is a copied example; repeated rows are one document."""
+    from ledgerscope.llm.secrets import redact, scan_secrets
+    copied, own = "Zx9Qw8Er7Ty6Ui5Op4As3", "Mn1Bv2Cx3Za4Sd5Fg6Hj7"
+    rows = [(i, f"page {i} password = {copied} and {copied}Q", "hot") for i in range(40)] + [(99, f"token: {own}", "hot")] * 5
+    df = spark.createDataFrame([(i, t, s, len(t)) for i, t, s in rows], "doc_id long, text string, source string, n_chars long")
+    got = scan_secrets(df).collect()
+    assert len(got) == 45
+    assert all([(s["rank"], s["live"]) for s in r.spans] == [(0, r.doc_id == 99)] for r in got)
+    texts = {r.doc_id: r.text for r in redact(df).collect()}
+    assert texts[99] == "[SECRET]" and texts[3] == f"page 3 [EXAMPLE_SECRET] and {copied}Q"
