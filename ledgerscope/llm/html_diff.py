@@ -9,9 +9,14 @@ Mark-up decides what differencing cannot: lines inside navigation, headers,
 footers, sidebars, adverts, notices, forms, scripts and reader comments are
 never main text; where a page marks its main text (``article``, else ``main``),
 only lines inside count and its prose (paragraphs, headings, lists, quotations)
-is exempt from deletion, since articles may quote the same passage. A
-neighbour that shares at least half of a page's candidate text is a copy
-of the page, not its template, and deletes nothing.
+is exempt from deletion, since articles may quote the same passage.
+
+Where aligned lines make up half of a page's text or more, what is not aligned
+tells a template from a copy. A neighbour is a copy if either page has less than
+``FEW`` of its text to itself; its lines prove nothing, and the neighbour on the
+other side stands in, unless it is a copy too. Otherwise both pages were poured
+into one template, and if the other side holds no copy, a line goes only where
+that page has it as well.
 
 Only line hashes travel to the neighbour search: host and path order come from
 range partitions, so one host with a third of all pages is spread over many
@@ -48,6 +53,7 @@ FURNITURE = frozenset(
     "advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup social share sharing related recommended "
     "comment comments reply replies respond disqus form search login pagination pager toolbar skip".split())
+FEW = 0.05
 IN_ARTICLE = frozenset("comment comments reply ad ads advert promo related teaser sponsored".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|title|iframe)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
@@ -166,13 +172,34 @@ def _lines(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=_LINES.names)
 
 
+def template_of(lines: list, sizes: list, near: tuple | None, other: tuple | None) -> list[int]:
+    """Indices of the template among ``lines``; a neighbour is (lines, sizes), the nearest one first."""
+    total = sum(sizes)
+
+    def compare(page):
+        """Aligned lines, whether they make up half of the text, whether the page is a copy."""
+        if page is None:
+            return [], False, True
+        found = aligned(lines, page[0])
+        shared = sum(sizes[i] for i in found)
+        most = 2 * shared >= total
+        return found, most, most and (total - shared < FEW * total or sum(page[1]) - shared < FEW * sum(page[1]) or not shared)
+    found, most, copy = compare(near)
+    if not most:
+        return found
+    second, most, copied = compare(other)
+    if copy:
+        return [] if copied else second
+    return found if copied else sorted(set(found) & set(second))
+
+
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _deletions(hashes: pd.Series, sizes: pd.Series, open_: pd.Series, other: pd.Series) -> pd.Series:
+def _deletions(hashes: pd.Series, sizes: pd.Series, open_: pd.Series, near: pd.Series, near_sizes: pd.Series,
+               other: pd.Series, other_sizes: pd.Series) -> pd.Series:
     out = []
-    for h, s, o, n in zip(hashes, sizes, open_, other):
-        gone = [] if n is None else [i for i in aligned(list(h), list(n))]
-        copy = 2 * sum(int(s[i]) for i in gone) >= sum(map(int, s))
-        out.append([] if copy else [i for i in gone if o[i]])
+    for h, s, o, n, ns, m, ms in zip(hashes, sizes, open_, near, near_sizes, other, other_sizes):
+        pages = [None if x is None else (list(x), [int(k) for k in xs]) for x, xs in ((n, ns), (m, ms))]
+        out.append([i for i in template_of(list(h), [int(k) for k in s], *pages) if o[i]])
     return pd.Series(out)
 
 
@@ -202,16 +229,19 @@ def template_lines(pages: DataFrame) -> DataFrame:
                          lines.alias("l")).select("__id", "__ph", "host", "path", "l.*")
     order = [F.col(c) for c in ("host", "path", "__id", "__ph")]
     ranked = stage(running(keyed, order, {"at": F.lit(1).cast("long")}), "ranked")
-    some = ranked.select("at", "host", "path", "hashes")
+    some = ranked.select("at", "host", "path", "hashes", "sizes")
 
     def beside(step, name):
         return some.select((F.col("at") + step).alias("at"), F.col("host").alias(f"{name}_host"),
-                           F.col("path").alias(f"{name}_path"), F.col("hashes").alias(name))
+                           F.col("path").alias(f"{name}_path"), F.struct("hashes", "sizes").alias(name))
     both = ranked.join(beside(1, "before"), "at", "left").join(beside(-1, "after"), "at", "left")
     back = F.when(F.col("before_host") == F.col("host"), _near(F.col("path"), F.col("before_path"))).otherwise(-1)
     ahead = F.when(F.col("after_host") == F.col("host"), _near(F.col("path"), F.col("after_path"))).otherwise(-1)
-    chosen = both.withColumn("near", F.when((back >= 0) & (back >= ahead), F.col("before")).when(ahead >= 0, F.col("after")))
-    marked = chosen.select("__id", "__ph", _deletions("hashes", "sizes", "open", "near").alias("gone")).filter(F.size("gone") > 0)
+    first = (back >= 0) & (back >= ahead)
+    chosen = (both.withColumn("near", F.when(first, F.col("before")).when(ahead >= 0, F.col("after")))
+              .withColumn("other", F.when(first & (ahead >= 0), F.col("after")).when(~first & (back >= 0), F.col("before"))))
+    marked = chosen.select("__id", "__ph", _deletions(
+        "hashes", "sizes", "open", "near.hashes", "near.sizes", "other.hashes", "other.sizes").alias("gone")).filter(F.size("gone") > 0)
     return marked.groupBy("__id", "__ph").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 

@@ -95,6 +95,25 @@ def test_page_differencing_removes_the_template(spark):
     assert got[1] == "a/two first line. a/two second — line." and got[2] == "b/three first line. b/three second — line."
 
 
+def test_page_differencing_tells_templates_from_copies(spark):
+    """A template of 80 % of the text goes; a copy, exact or edited in one line, deletes nothing of its own accord."""
+    from ledgerscope.llm.html_diff import extract_main_text
+    frame = "".join(f"<div>Template line {k:02d} of the shop, the same on every page of it.</div>" for k in range(12))
+    own = "".join(f"<div>{{0}} tells what only page {{0}} tells, part {k} of the page.</div>" for k in range(3))
+    rows = [(i, f"https://shop.example/{p}", frame + own.format(p)) for i, p in enumerate(("a/one", "a/two", "b/three", "b/four"))]
+    story = [f"<div>Sentence {k:02d} of a long story that two addresses hold.</div>" for k in range(30)]
+    rows += [(10, "https://news.example/x/1", "".join(story)), (11, "https://news.example/x/1?print", "".join(story)),
+             (12, "https://news.example/x/2", "".join([*story[:29], "<div>Sentence 29 was edited later.</div>"]))]
+    two = [(20 + i, f"https://two.example/{p}", frame + own.format(p)) for i, p in enumerate(("one", "two"))]
+    got = {r.page_id: r.text for r in extract_main_text(
+        spark.createDataFrame(rows + two, "page_id long, url string, html string")).collect()}
+    for i, url, page in [*rows[:4], *two]:
+        p = url.split("example/")[1]
+        assert 0.75 < len(frame) / len(page) < 0.85
+        assert got[i] == " ".join(f"{p} tells what only page {p} tells, part {k} of the page." for k in range(3))
+    assert all(got[i].startswith("Sentence 00 of") and got[i].count("Sentence") == 30 for i in (10, 11, 12))
+
+
 def test_pages_keep_the_whole_article(spark):
     import html
     from ledgerscope.llm.queries import QUERIES
