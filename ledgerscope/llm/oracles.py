@@ -130,4 +130,75 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id
 FROM v JOIN c USING (rid) LEFT JOIN n USING (rid)
 """
 
-ORACLES = {"op4_cover_tree": OP4, "op3_curriculum_mix": OP3, "op6_wu_manber": OP6, "op10_ownership_secrets": OP10}
+OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (
+  SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '')) >= 2),
+m AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.first AS gone FROM k LEFT JOIN r USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid
+"""
+
+
+def _field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+_CRC32 = ("xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen({0}) + 1), "
+          "lambda i: ascii(substr({0}, i, 1))::BIGINT)), lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), "
+          "lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))))")
+_LEVELS = 12  # 8 ** 12 rows a language
+
+
+def _merkle(levels: int = _LEVELS) -> str:
+    """Levels one by one: a tree of one node stops; afterwards the proof and the folded digest climb along."""
+    parts = [f"""
+WITH d AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS grp, sha256({" || ".join(_field(c) for c in FIELDS)}) AS leaf,
+         CASE WHEN ({_CRC32.format("doc_id::VARCHAR")}) % 3 = 0
+              THEN sha256({" || ".join(_field(_LOWER.format("text") if c == "text" else c) for c in FIELDS)}) END AS tampered
+  FROM documents),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY grp) AS n
+  FROM d),
+v0 AS (SELECT grp, rank, leaf AS node, n FROM l),
+f0 AS (SELECT grp, rank AS leaf_rank, rank AS at, coalesce(tampered, leaf) AS node, '' AS proof FROM l)"""]
+
+    def climb(h: int, v: str, f: str, key: str) -> str:
+        return f""",
+{v}{h + 1} AS (
+  SELECT grp, rank // 8 AS rank, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(node, '' ORDER BY rank)) ELSE any_value(node) END AS node,
+         (any_value(n) + 7) // 8 AS n FROM {v}{h} GROUP BY grp, rank // 8),
+{f}{h + 1} AS (
+  SELECT f.grp, {key}, f.at // 8 AS at,
+         CASE WHEN any_value(v.n) > 1 THEN sha256(string_agg(CASE WHEN v.rank = f.at THEN f.node ELSE v.node END, '' ORDER BY v.rank))
+              ELSE any_value(f.node) END AS node,
+         any_value(f.proof) || coalesce(string_agg(v.node, '' ORDER BY v.rank) FILTER (WHERE v.rank <> f.at), '') AS proof
+  FROM {f}{h} f JOIN {v}{h} v ON v.grp = f.grp AND v.rank // 8 = f.at // 8 GROUP BY f.grp, {key}, f.at)"""
+
+    parts += [climb(h, "v", "f", "f.leaf_rank") for h in range(levels)]
+    parts.append(f""",
+t AS (SELECT grp AS g, node AS subroot, row_number() OVER (ORDER BY grp) - 1 AS rank, count(*) OVER () AS n FROM v{levels}),
+w0 AS (SELECT '' AS grp, rank, subroot AS node, n FROM t),
+g0 AS (SELECT '' AS grp, f.grp AS g, f.leaf_rank, t.rank AS at, f.node, f.proof FROM f{levels} f JOIN t ON t.g = f.grp)""")
+    parts += [climb(h, "w", "g", "f.g, f.leaf_rank") for h in range(4)]
+    parts.append("""
+SELECT l.doc_id, l.leaf, t.subroot, w4.node AS root, sha256(g4.proof) AS proof_sha256, g4.node AS folded_root,
+       g4.node = w4.node AS verified
+FROM l JOIN t ON t.g = l.grp JOIN g4 ON g4.g = l.grp AND g4.leaf_rank = l.rank CROSS JOIN w4
+""")
+    return "".join(parts)
+
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+OP13 = _merkle()
+
+ORACLES = {"op4_cover_tree": OP4, "op3_curriculum_mix": OP3, "op6_wu_manber": OP6, "op10_ownership_secrets": OP10,
+           "op11_line_dedup": OP11, "op13_merkle_manifest": OP13}

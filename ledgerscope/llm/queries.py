@@ -86,6 +86,24 @@ def op10_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_example"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.line_dedup import deduplicated_lines
+    return deduplicated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.token_align import aligned_documents
+    return aligned_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerscope.llm.merkle import audited
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3) == 0
+    return audited(table(spark, sf_dir, "documents"), tampered).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -101,4 +119,4 @@ def _configured(fn):
 QUERIES = {f.__name__: _configured(f) for f in (
     op1_suffix_array_dedup, op2_nearest_url_text, op3_curriculum_mix, op4_cover_tree, op5_pitman_yor_scores, op6_wu_manber,
     op7_kneser_ney_toxicity, op8_covering_simhash, op9_positive_unlabelled_quality, op10_ownership_secrets,
-    pipeline)}
+    op11_line_dedup, op12_token_alignment, op13_merkle_manifest, pipeline)}
