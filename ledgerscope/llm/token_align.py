@@ -40,9 +40,9 @@ from ledgerscope.llm.common import stage
 
 FOLDER = "/opt/tokenizers"
 VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PIECE = 1 << 16       # ends merged by one piece
-LINKS_AT_ONCE = 1 << 21
+LINKS_AT_ONCE = 1 << 19
 # Fixed value: the pattern that cuts text before the merges of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -57,7 +57,7 @@ def _byte_of_char() -> dict:
 
 
 class Vocabulary:
-    """``encode(texts)`` gives lists of ids; ``pieces`` each id's bytes."""
+    """``encode(text)`` gives a list of ids; ``pieces`` each id's bytes."""
 
     def __init__(self, pieces, encode):
         self.pieces, self.encode = pieces, encode
@@ -74,7 +74,7 @@ def byte_level(spec: bytes) -> Vocabulary:
     pieces = [b""] * (max(max(ranks.values()), max(special, default=0)) + 1)
     for p, i in ranks.items():
         pieces[i] = p
-    return Vocabulary(pieces, lambda texts: [coder.encode_ordinary(" " + t) for t in texts])
+    return Vocabulary(pieces, lambda text: coder.encode_ordinary(" " + text))
 
 
 def sentence_pieces(model: bytes) -> Vocabulary:
@@ -82,7 +82,7 @@ def sentence_pieces(model: bytes) -> Vocabulary:
     coder = sentencepiece.SentencePieceProcessor(model_proto=model)
     pieces = [bytes([int(coder.id_to_piece(i)[3:5], 16)]) if coder.is_byte(i)
               else coder.id_to_piece(i).replace("▁", " ").encode() for i in range(coder.get_piece_size())]
-    return Vocabulary(pieces, lambda texts: coder.encode(texts, num_threads=1))
+    return Vocabulary(pieces, coder.encode)
 
 
 # -- merge path --------------------------------------------------------------------
@@ -123,6 +123,9 @@ def common_ends(a: np.ndarray, b: np.ndarray, piece: int = PIECE):
 
 # -- one block of documents ----------------------------------------------------------
 
+_NONE = np.zeros(0, np.int32)
+
+
 class Aligner:
     def __init__(self, a: Vocabulary, b: Vocabulary):
         self.a, self.b = a, b
@@ -130,23 +133,24 @@ class Aligner:
         marks = [[f"{m}{i}".encode() for i in range(n)] for n, signs in ((self.n_a, ";,"), (self.n_b, "|,")) for m in signs]
         words = np.array([w for part in marks for w in part])
         self.marks = words.view(np.uint8).reshape(len(words), -1)
-        self.mark_lengths = (self.marks != 0).sum(axis=1)
+        self.mark_lengths = (self.marks != 0).sum(axis=1).astype(np.int8)
 
-    def _tokens(self, texts):
-        """Ids of both tokenizers per text; nothing where their bytes are not space + text."""
-        some = [t if t else "" for t in texts]
-        for t, x, y in zip(some, self.a.encode(some), self.b.encode(some)):
-            want = b" " + t.encode("utf-8", "surrogatepass")
-            ok = t and b"".join([self.a.pieces[i] for i in x]) == want and b"".join([self.b.pieces[i] for i in y]) == want
-            yield (x, y, len(want)) if ok else ([], [], 0)
+    def _tokens(self, text):
+        """Ids of both tokenizers; none where their bytes are not space + text."""
+        if not text:
+            return _NONE, _NONE
+        x, y, want = self.a.encode(text), self.b.encode(text), b" " + text.encode("utf-8", "surrogatepass")
+        if b"".join([self.a.pieces[i] for i in x]) != want or b"".join([self.b.pieces[i] for i in y]) != want:
+            return _NONE, _NONE
+        return np.array(x, np.int32), np.array(y, np.int32)
 
     def block(self, texts) -> dict:
         """Per document its counts and digest; the block's pairs and, per document, its own among them."""
-        found = list(self._tokens(texts))
+        found = [self._tokens(t) for t in texts]
         n = len(found)
-        ta, tb = np.array([len(f[0]) for f in found], np.int64), np.array([len(f[1]) for f in found], np.int64)
-        ids_a = np.concatenate([np.array(f[0], np.int64) for f in found] or [np.zeros(0, np.int64)])
-        ids_b = np.concatenate([np.array(f[1], np.int64) for f in found] or [np.zeros(0, np.int64)])
+        ta, tb = np.array([len(x) for x, _ in found], np.int64), np.array([len(y) for _, y in found], np.int64)
+        ids_a, ids_b = np.concatenate([_NONE] + [x for x, _ in found]), np.concatenate([_NONE] + [y for _, y in found])
+        del found
         # Each document's tokens cover all its bytes, so running lengths are offsets over the block.
         cut_a, cut_b = common_ends(np.cumsum(self.a.lengths[ids_a]), np.cumsum(self.b.lengths[ids_b]))
         size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
@@ -160,16 +164,18 @@ class Aligner:
 
     def _digests(self, ids_a, ids_b, cut_a, cut_b, size_a, size_b, tokens):
         """SHA-256 of each document's groups as text: A ids, a bar, B ids; semicolons between groups."""
-        groups = np.arange(len(cut_a))
+        cut_a, cut_b, size_a, size_b = (x.astype(np.int32) for x in (cut_a, cut_b, size_a, size_b))  # a block's tokens
+        groups = np.arange(len(cut_a), dtype=np.int32)
         of_a, of_b = np.repeat(groups, size_a), np.repeat(groups, size_b)
         start_a, start_b = cut_a - size_a, cut_b - size_b
-        at_a, at_b = np.arange(len(ids_a)), np.arange(len(ids_b))
-        order = np.empty(len(ids_a) + len(ids_b), np.int64)
+        at_a, at_b = np.arange(len(ids_a), dtype=np.int32), np.arange(len(ids_b), dtype=np.int32)
+        order = np.empty(len(ids_a) + len(ids_b), np.int32)
         order[at_a + start_b[of_a]] = ids_a + self.n_a * (at_a != start_a[of_a])
         order[at_b + cut_a[of_b]] = 2 * self.n_a + ids_b + self.n_b * (at_b != start_b[of_b])
+        del of_a, of_b, at_a, at_b
         text = self.marks[order].ravel()
         text = text[text != 0]
-        upto = np.concatenate([[0], np.cumsum(self.mark_lengths[order])])
+        upto = np.concatenate([[0], np.cumsum(self.mark_lengths[order], dtype=np.int64)])
         ends = np.cumsum(tokens)
         return [hashlib.sha256(text[upto[e - k] + 1:upto[e]]).hexdigest() if k else "" for e, k in zip(ends, tokens)]
 
@@ -184,12 +190,12 @@ class Aligner:
             if end == g + 1:  # maybe a group of very many links: distinct ids first
                 a, na = np.unique(ids_a[cut_a[g] - size_a[g]:cut_a[g]], return_counts=True)
                 b, nb = np.unique(ids_b[cut_b[g] - size_b[g]:cut_b[g]], return_counts=True)
-                keys.append((doc[g] * room + a[:, None] * self.n_b + b).ravel())
+                keys.append((doc[g] * room + a[:, None].astype(np.int64) * self.n_b + b).ravel())
                 counts.append((na[:, None] * nb).ravel())
             else:
                 of = np.repeat(np.arange(g, end), links[g:end])
                 i = np.arange(len(of)) - np.repeat(upto[g:end] - links[g:end] - (upto[g - 1] if g else 0), links[g:end])
-                a = ids_a[(cut_a - size_a)[of] + i // size_b[of]]
+                a = ids_a[(cut_a - size_a)[of] + i // size_b[of]].astype(np.int64)
                 b = ids_b[(cut_b - size_b)[of] + i % size_b[of]]
                 k, c = np.unique(doc[of] * room + a * self.n_b + b, return_counts=True)
                 keys.append(k)
