@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from ledgerscope.session import pin
 
-from ledgerscope.operators.knn import DEFAULT_BLOCK_ROWS, knn_edges
+from ledgerscope.operators.knn import nearest_rows
 from ledgerscope.operators.quantiles import exact_quantiles
 from ledgerscope.operators.sampling import attach_sampled, sample_exact
 from ledgerscope.operators.scale import minmax_flip, standardize
@@ -31,17 +31,16 @@ def lof_from_knn(knn: DataFrame, k: int) -> DataFrame:
 
 
 def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 20,
-                         contamination: float = 0.03, scale: bool = True,
-                         block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                         contamination: float = 0.03, scale: bool = True, neighbours=nearest_rows) -> DataFrame:
     """Transductive LOF. Returns (id, negative_outlier_factor, lof_label,
     lof_score) with label -1 below the contamination percentile of the
-    negative factor and score the min-max flip of it (1 = most outlying)."""
+    negative factor and score the min-max flip of it (1 = most outlying).
+    ``neighbours`` joins the rows with themselves (any number of them by default)."""
     x = pin(standardize(df, cols)[0]) if scale else df
     n = x.count()
     k_eff = max(1, min(k, n - 1))
     # The edge table feeds three joins: compute it once.
-    knn = pin(knn_edges(x, x, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
-                        counts=(n, n)))
+    knn = pin(neighbours(x, x, id_col, cols, k_eff))
     # Pinned: the label offset, the normaliser and the output must see the
     # same doubles (aggregation order can differ between recomputations).
     f = pin(lof_from_knn(knn, k_eff).select(F.col("id").alias(id_col),
@@ -54,25 +53,27 @@ def local_outlier_factor(df: DataFrame, id_col: str, cols: list[str], k: int = 2
 
 
 def sampled_lof(df: DataFrame, id_col: str, cols: list[str], sample_size: int = 50000,
-                seed: int = 42, k: int = 20, contamination: float = 0.03,
-                score_all: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                seed: int = 42, k: int = 20, contamination: float = 0.03, score_all: bool = True) -> DataFrame:
     """LOF fitted on an exact-size seeded sample (``sample_size``, a
     documented bound on the fit). Every other row is scored against the fitted
     sample (k nearest sample rows, their k-distance and density); with
-    ``score_all=False`` it gets 0.0. Standardisation is fitted on the full input."""
+    ``score_all=False`` it gets 0.0. Standardisation is fitted on the full input.
+
+    The sample's metric index is broadcast (its size is bounded and checked) and the
+    other rows stream past it; only their k edges go on."""
     # ``df`` is read a few times (moments, sample): pass a pinned frame.
     x = standardize(df, cols)[0]
-    s = pin(sample_exact(x, sample_size, seed, id_col), cache=False)
+    # An ordered take ends in one partition: spread the sample again, its search is the costly part.
+    spread = max(int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")), x.sparkSession.sparkContext.defaultParallelism)
+    s = pin(sample_exact(x.select(id_col, *cols), sample_size, seed, id_col).repartition(spread, id_col), cache=False)
     if not score_all:
-        fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False, block_rows=block_rows)
+        fit = local_outlier_factor(s, id_col, cols, k, contamination, scale=False)
         return attach_sampled(df, fit.select(id_col, "lof_score"), "lof_score", 0.0, id_col)
     n = s.count()
     k_eff = max(1, min(k, n - 1))
-    knn_s = pin(knn_edges(s, s, id_col, cols, k_eff, exclude_self=True, block_rows=block_rows,
-                          counts=(n, n)))
+    knn_s = pin(nearest_rows(s, s, id_col, cols, k_eff))
     fitted = pin(lof_from_knn(knn_s, k_eff), cache=False)
-    rest = x.join(s.select(id_col), id_col, "left_anti")
-    kq = knn_edges(rest, s, id_col, cols, k_eff, exclude_self=False, block_rows=block_rows)
+    kq = nearest_rows(x, s, id_col, cols, k_eff, skip_known=True)
     j = kq.join(fitted.select("id", "kdist", "lrd"), kq.rid == F.col("id"))
     lrd_q = j.groupBy("qid").agg(
         (F.lit(1.0) / (F.avg(F.greatest("kdist", "dist")) + F.lit(LRD_EPS))).alias("lrd_q"),

@@ -36,28 +36,67 @@ def test_lof_range_and_outlier(spark):
     pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(400, 2)))]
     pts.append((999, 9.0, 9.0))
     df = spark.createDataFrame(pts, "id long, a double, b double")
-    s = LO.local_outlier_factor(df, "id", ["a", "b"], k=20, block_rows=64)  # many blocks
+    s = LO.local_outlier_factor(df, "id", ["a", "b"], k=20)
     r = s.agg(F.min("lof_score"), F.max("lof_score"), F.count("*")).first()
     assert r[0] == 0.0 and r[1] == 1.0 and r[2] == 401
     assert s.orderBy(F.desc("lof_score")).first()["id"] == 999
 
 
-def test_knn_blocking_invariant(spark):
-    from ledgerscope.operators.knn import knn_edges
+def _nearest(query, ref, k, exclude_self=True):
+    """Brute force: {(query id, rank): (reference id, distance)}, ties by the smaller id."""
+    out = {}
+    for qid, *q in query:
+        d = sorted((float(np.sqrt(sum((np.float64(a) - np.float64(b)) ** 2 for a, b in zip(q, r)))), rid)
+                   for rid, *r in ref if not (exclude_self and rid == qid))
+        out.update({(qid, n + 1): (rid, round(dist, 9)) for n, (dist, rid) in enumerate(d[:k])})
+    return out
+
+
+def _found(edges):
+    rows = edges.collect()
+    got = {(r.qid, r["rank"]): (r.rid, round(r.dist, 9)) for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def test_knn_is_exact_for_any_cells_and_chunks(spark):
+    from ledgerscope.operators.knn import knn_edges, nearest_rows
     rng = np.random.default_rng(2)
     pts = [(i, *map(float, v)) for i, v in enumerate(rng.integers(0, 5, size=(200, 3)))]  # many ties
-    df = spark.createDataFrame(pts, "id long, a double, b double, c double")
-    one = knn_edges(df, df, "id", ["a", "b", "c"], 7, block_rows=10_000).collect()
-    many = knn_edges(df, df, "id", ["a", "b", "c"], 7, block_rows=16).collect()
-    key = lambda r: (r["qid"], r["rank"])
-    assert sorted(map(tuple, one), key=lambda t: (t[0], t[3])) == sorted(map(tuple, many), key=lambda t: (t[0], t[3]))
-    # brute force
-    X = np.array([p[1:] for p in pts])
-    d = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
-    np.fill_diagonal(d, np.inf)
-    for r in sorted(one, key=key)[:70]:
-        order = sorted(range(200), key=lambda j: (d[r["qid"], j], j))
-        assert order[r["rank"] - 1] == r["rid"]
+    pts += [(500 + i, 1.0, 1.0, 1.0) for i in range(60)]  # many equal rows
+    pts += [(800 + i, *map(float, v)) for i, v in enumerate(rng.normal(200, 0.01, size=(40, 3)))]  # a far cluster
+    df = spark.createDataFrame(pts, "id long, a double, b double, c double").cache()
+    cols, want = ["a", "b", "c"], _nearest(pts, pts, 7)
+    for cell_rows, chunk_rows in ((10_000, 10_000), (16, 10_000), (20, 6)):
+        assert _found(knn_edges(df, df, "id", cols, 7, cell_rows=cell_rows, chunk_rows=chunk_rows)) == want
+    assert _found(nearest_rows(df, df, "id", cols, 7)) == want
+    assert _found(nearest_rows(df, df, "id", cols, 7, broadcast_bytes=0)) == want
+
+
+def test_knn_of_other_queries_and_text_ids(spark):
+    from ledgerscope.operators.knn import knn_edges, nearest_rows
+    rng = np.random.default_rng(4)
+    pts = [(f"p{i:03d}", *map(float, v)) for i, v in enumerate(rng.normal(size=(150, 4)) * [1, 5, 0.1, 0])]
+    asked = [(f"q{i}", *map(float, v)) for i, v in enumerate(rng.normal(size=(30, 4)) * 8)] + pts[:10]
+    schema, cols = "id string, a double, b double, c double, d double", ["a", "b", "c", "d"]
+    ref, query = spark.createDataFrame(pts, schema).cache(), spark.createDataFrame(asked, schema).cache()
+    for same in (True, False):
+        want = _nearest(asked, pts, 5, same)
+        assert _found(knn_edges(query, ref, "id", cols, 5, same, cell_rows=10, chunk_rows=7)) == want
+        assert _found(nearest_rows(query, ref, "id", cols, 5, same)) == want
+    few = ref.limit(3)
+    assert len(_found(knn_edges(few, few, "id", cols, 5))) == 6 and knn_edges(query, ref.limit(0), "id", cols, 5).count() == 0
+
+
+def test_sampled_lof_scores_the_rest_as_new_rows(spark):
+    rng = np.random.default_rng(8)
+    pts = [(i, *map(float, v)) for i, v in enumerate(rng.normal(size=(300, 3)))] + [(999, 30.0, 30.0, -30.0)]
+    df = spark.createDataFrame(pts, "id long, a double, b double, c double").cache()
+    whole = {r.id: r.lof_score for r in LO.sampled_lof(df, "id", ["a", "b", "c"], sample_size=1000).collect()}
+    plain = {r.id: r.lof_score for r in LO.local_outlier_factor(df, "id", ["a", "b", "c"]).collect()}
+    assert whole.keys() == plain.keys() and all(abs(whole[i] - plain[i]) < 1e-9 for i in plain)
+    part = {r.id: r.lof_score for r in LO.sampled_lof(df, "id", ["a", "b", "c"], sample_size=120).collect()}
+    assert part[999] == 1.0 and len(part) == 301 and min(part.values()) == 0.0
 
 
 def test_rule_scores_range_and_details(features):
