@@ -7,10 +7,9 @@ Shuffle plan of :func:`engineer_all_features`:
   its buckets; the buckets' totals come from a narrow scan with map-side
   aggregation;
 * per-sender, per-receiver and per-pair aggregates with map-side partial
-  aggregation, joined back on their key. AQE turns the joins into broadcasts
-  when the aggregate is measured small at run time. Where it is not, the join is
-  sort-merge on the key, and the rows of a hot sender meet in one task, since
-  Spark does not split a join side that a final aggregate feeds.
+  aggregation, joined back on their key by :func:`attach_by_key`: a measured list of heavy
+  keys is salted and only their statistics are replicated, so no key is hot in
+  the join. AQE turns it into a broadcast when the aggregate is measured small.
 """
 
 from __future__ import annotations
@@ -182,16 +181,81 @@ def velocity_features(df: DataFrame, windows=DEFAULT_WINDOWS, sender: str = "sen
 # Amount features (A1-A4)
 # ---------------------------------------------------------------------------
 
-def _exact_median_by(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Exact median per key from value counts: equal values of a key collapse
-    on the map side, a running count over the distinct values finds the middle
-    ranks. The window streams and spills; no group is buffered whole, as
-    ``median`` would, and every size takes the same path."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(key).orderBy(value)
-    ranked = counts.withColumns({"_upto": F.sum("_n").over(w),
-                                 "_all": F.sum("_n").over(Window.partitionBy(key))})
+HEAVY_ROWS = 100_000  # rows of one key that one task may take
+HEAVY_SHARE = 2000    # and a heavy key has 1/2000 of all rows, so there are at most 2000 of them
+
+
+def heavy_keys(df: DataFrame, keys: dict, heavy_rows: int = HEAVY_ROWS, heavy_share: int = HEAVY_SHARE) -> dict:
+    """Measured heavy hitters: {name: [(key hash, salts)]} for each ``name: [key expressions]`` over ``df``.
+    One narrow scan counts all of them; a key gets a salt per ``heavy_rows`` rows (or per
+    1/20000 of the table, if that is more)."""
+    n = df.count()
+    least, chunk = max(heavy_rows, n // heavy_share), max(heavy_rows, n // 20000)
+    names = list(keys)
+    each = F.explode(F.array(*[F.when(_known(keys[k]), F.struct(F.lit(i).alias("k"), F.xxhash64(*keys[k]).alias("h")))
+                               for i, k in enumerate(names)]))
+    found = (df.select(each.alias("e")).filter("e is not null").groupBy("e.k", "e.h").agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") >= least).collect())
+    out = {k: [] for k in names}
+    for r in found:
+        out[names[r.k]].append((r.h, -(-r.n // chunk)))
+    return out
+
+
+def _known(exprs: list):
+    cond = exprs[0].isNotNull()
+    for e in exprs[1:]:
+        cond &= e.isNotNull()
+    return cond
+
+
+def attach_by_key(facts: DataFrame, stats: DataFrame, keys: dict, heavy: list, spread: str = "transaction_id") -> DataFrame:
+    """Left join of per-key ``stats`` to the rows they came from. ``keys`` maps a column of
+    ``stats`` to the matching expression over ``facts``; ``heavy`` is that key's list of :func:`heavy_keys`.
+
+    Rows of a heavy key are salted and only its statistics are replicated, once per salt. Rows
+    without a key match nothing and are dealt by a salt alone."""
+    exprs = list(keys.values())
+    own = F.pmod(F.xxhash64(spread), F.col("_salts"))
+    right = stats.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    if heavy:
+        table = F.broadcast(facts.sparkSession.createDataFrame(heavy, "_hh long, _salts long"))  # HEAVY_SHARE rows at most
+        j = facts.join(table, F.xxhash64(*exprs) == F.col("_hh"), "left")
+        salt = F.when(~_known(exprs), F.pmod(F.xxhash64(spread), F.lit(1 << 16))).when(F.col("_salts").isNull(), 0).otherwise(own)
+        right = right.join(table, F.xxhash64(*[F.col(f"_r_{k}") for k in keys]) == F.col("_hh"), "left")
+        right = right.withColumn("_r_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1))) \
+            .drop("_hh", "_salts")
+    else:
+        j, right = facts, right.withColumn("_r_salt", F.lit(0).cast("long"))
+        salt = F.when(~_known(exprs), F.pmod(F.xxhash64(spread), F.lit(1 << 16))).otherwise(0)
+    j = j.withColumns({"_salt": salt.cast("long"), **{f"_k_{k}": e for k, e in keys.items()}})
+    on = F.col("_salt") == F.col("_r_salt")
+    for k in keys:
+        on &= F.col(f"_k_{k}") == F.col(f"_r_{k}")
+    return j.join(right, on, "left").select(*facts.columns, *[c for c in stats.columns if c not in keys])
+
+
+MEDIAN_PIECES = 64
+
+
+def _exact_median_by(df: DataFrame, key: str, value: str, pieces: int = MEDIAN_PIECES) -> DataFrame:
+    """Exact median per key from value counts: equal values of a key collapse on the map side.
+    The value range is cut at the ledger's own quantiles, so a piece holds about 1/``pieces`` of all
+    rows and a key's rows in it no more: a sender with most rows is counted in as many tasks.
+    Totals of the pieces (at most ``pieces`` rows a key) show which of them hold the middle ranks;
+    only their values are ranked. One scalar job for the cuts; every size takes the same path."""
+    known = df.filter(F.col(value).isNotNull())
+    cuts = known.agg(F.percentile_approx(value, [i / pieces for i in range(1, pieces)], 10000)).first()[0] or []
+    piece = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(value).cast("double"))) if cuts else F.lit(0)
+    counts = known.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_piece", piece)
+    w = Window.partitionBy(key)
+    totals = counts.groupBy(key, "_piece").agg(F.sum("_n").alias("_t")).withColumns({
+        "_before": F.coalesce(F.sum("_t").over(w.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_all": F.sum("_t").over(w)})
     lo, hi = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    middle = totals.filter((F.col("_before") <= hi) & (F.col("_before") + F.col("_t") > lo))
+    ranked = counts.join(middle, [key, "_piece"]).withColumn(
+        "_upto", F.col("_before") + F.sum("_n").over(Window.partitionBy(key, "_piece").orderBy(value)))
     v = F.col(value).cast("double")
     return ranked.groupBy(key).agg(
         ((F.min(F.when(F.col("_upto") > lo, v)) + F.min(F.when(F.col("_upto") > hi, v))) / 2)
@@ -226,11 +290,12 @@ def sender_amount_stats(df: DataFrame, sender: str = "sender_account", amount: s
 
 
 def amount_features(df: DataFrame, sender: str = "sender_account", amount: str = "amount",
-                    approx_median: bool = False, with_min_max: bool = True) -> DataFrame:
-    """A4: A1 joined back (J1) plus z-score (A2), ratio to mean (A3), round
+                    approx_median: bool = False, with_min_max: bool = True, id_col: str = "transaction_id") -> DataFrame:
+    """A4: A1 joined back (J1, see :func:`attach_by_key`) plus z-score (A2), ratio to mean (A3), round
     flag (PF6) and near-threshold flag (PF5)."""
     stats = sender_amount_stats(df, sender, amount, approx_median, with_min_max)
-    j = df.join(stats, on=sender, how="left")
+    heavy = heavy_keys(df, {"sender": [F.col(sender)]})
+    j = attach_by_key(df, stats, {sender: F.col(sender)}, heavy["sender"], id_col)
     a, avg, std = F.col(amount), F.col("acct_avg_amount"), F.col("acct_std_amount")
     return j.withColumns({
         "amount_zscore": F.when(std > 0, (a - avg) / std).otherwise(F.lit(0.0)),
@@ -266,20 +331,27 @@ def pair_counts(df: DataFrame, sender="sender_account", receiver="receiver_accou
             .agg(F.count(F.lit(1)).alias("pair_txn_count")))
 
 
+def _pair_keys(sender, receiver) -> dict:
+    """The pair as join key, null for a transfer with an unknown side."""
+    both = F.col(sender).isNotNull() & F.col(receiver).isNotNull()
+    return {"_pair_lo": F.when(both, pair_low(sender, receiver)), "_pair_hi": F.when(both, pair_high(sender, receiver))}
+
+
+def _account_heavy(df: DataFrame, sender, receiver, with_pairs: bool) -> dict:
+    keys = {"sender": [F.col(sender)], "receiver": [F.col(receiver)]}
+    return heavy_keys(df, keys | ({"pair": list(_pair_keys(sender, receiver).values())} if with_pairs else {}))
+
+
 def network_features(df: DataFrame, sender="sender_account", receiver="receiver_account",
-                     with_pairs: bool = True, approx: bool = False) -> DataFrame:
+                     with_pairs: bool = True, approx: bool = False, id_col: str = "transaction_id") -> DataFrame:
     """Distinct counterparties both ways (J2, J3), pair count (J4) and
-    self-transfer flag (PF7)."""
-    j = df.join(distinct_receivers(df, sender, receiver, approx), on=sender, how="left")
-    j = j.join(distinct_senders(df, sender, receiver, approx), on=receiver, how="left")
+    self-transfer flag (PF7); the joins are those of :func:`attach_by_key`."""
+    heavy = _account_heavy(df, sender, receiver, with_pairs)
+    j = attach_by_key(df, distinct_receivers(df, sender, receiver, approx), {sender: F.col(sender)}, heavy["sender"], id_col)
+    j = attach_by_key(j, distinct_senders(df, sender, receiver, approx), {receiver: F.col(receiver)}, heavy["receiver"], id_col)
     if with_pairs:
-        pc = pair_counts(df, sender, receiver)
-        j = (j.withColumns({"_pair_lo": pair_low(sender, receiver),
-                            "_pair_hi": pair_high(sender, receiver)})
-             .join(pc, on=["_pair_lo", "_pair_hi"], how="left")
-             .drop("_pair_lo", "_pair_hi")
-             .withColumn("pair_txn_count",
-                         F.coalesce(F.col("pair_txn_count"), F.lit(0)).cast("long")))
+        j = attach_by_key(j, pair_counts(df, sender, receiver), _pair_keys(sender, receiver), heavy["pair"], id_col).withColumn(
+            "pair_txn_count", F.coalesce(F.col("pair_txn_count"), F.lit(0)).cast("long"))
     return j.withColumn("is_self_transfer", is_self_transfer(sender, receiver))
 
 
@@ -306,12 +378,12 @@ def _fused_frame(df: DataFrame, windows, with_velocity: bool, with_pairs: bool,
     derived column and the null fill (few DataFrame operations, so plan
     analysis stays cheap)."""
     t = _sender_time_pass(df, windows, True, with_velocity, sender, ts, amount, id_col, bucket_days)
-    t = t.join(sender_amount_stats(df, sender, amount, approx, with_min_max, receiver), on=sender, how="left")
-    t = t.join(distinct_senders(df, sender, receiver, approx), on=receiver, how="left")
+    heavy = _account_heavy(df, sender, receiver, with_pairs)
+    stats = sender_amount_stats(df, sender, amount, approx, with_min_max, receiver)
+    t = attach_by_key(t, stats, {sender: F.col(sender)}, heavy["sender"], id_col)
+    t = attach_by_key(t, distinct_senders(df, sender, receiver, approx), {receiver: F.col(receiver)}, heavy["receiver"], id_col)
     if with_pairs:
-        pc = pair_counts(df, sender, receiver)
-        t = t.join(pc, (pair_low(sender, receiver) == pc._pair_lo) &
-                   (pair_high(sender, receiver) == pc._pair_hi), "left")
+        t = attach_by_key(t, pair_counts(df, sender, receiver), _pair_keys(sender, receiver), heavy["pair"], id_col)
     a, avg, std = F.col(amount), F.col("acct_avg_amount"), F.col("acct_std_amount")
     derived = {
         "hour": F.hour(ts), "day_of_week": day_of_week(ts), "is_weekend": is_weekend(ts),

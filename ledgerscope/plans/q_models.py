@@ -14,7 +14,7 @@ from ledgerscope.operators import features as FE
 from ledgerscope.operators import iforest as IF
 from ledgerscope.operators import lof as LO
 from ledgerscope.operators import sampling as SA
-from ledgerscope.plans.oracle_sql import ACCT_VEC_VIEW, ACCT_VIEW, TXN_VIEW, US, VEC_DIST, with_views
+from ledgerscope.plans.oracle_sql import ACCT_VEC_VIEW, ACCT_VIEW, FEAT_VIEW, TXN_VIEW, US, VEC_DIST, with_views
 from ledgerscope.plans.q_features import TXN_SPEC
 from ledgerscope.plans.registry import register, sql_cols, table, views
 from ledgerscope.session import checkpoint_dir, pin
@@ -231,9 +231,27 @@ def d3(spark, sf):
     return s.select("transaction_id", "if_raw", "if_label", "if_score")
 
 
-@register("d7_sampled_lof")
+_LOF_COLUMNS = ["amount", *FE.TIME_COLUMNS, *FE.AMOUNT_COLUMNS, *FE.NETWORK_COLUMNS, *FE.velocity_columns(FE.DEFAULT_WINDOWS)]
+_Z = ", ".join(f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN (coalesce({c}, 0) - avg({c}) OVER ()) / stddev_pop({c}) OVER () "
+               "ELSE 0.0 END" for c in _LOF_COLUMNS)
+# Up to 50,000 transfers the sample is the whole ledger, so the whole-ledger LOF is the answer.
+_LOF_ALL = (f"zed AS MATERIALIZED (SELECT transaction_id AS id, [{_Z}]::DOUBLE[{len(_LOF_COLUMNS)}] AS e FROM featr), "
+            f"near AS MATERIALIZED (SELECT a.id AS qid, min({{'dist': array_distance(a.e, b.e), 'rid': b.id}}, {LOF_K}) AS ns "
+            "FROM zed a JOIN zed b ON a.id <> b.id GROUP BY a.id), "
+            "knn AS MATERIALIZED (SELECT qid, n.rid AS rid, n.dist AS dist FROM (SELECT qid, unnest(ns) AS n FROM near)), "
+            "kd AS (SELECT qid AS id, max(dist) AS kdist FROM knn GROUP BY qid), "
+            "lrd AS MATERIALIZED (SELECT k.qid AS id, 1.0 / (avg(greatest(kd.kdist, k.dist)) + 1e-10) AS lrd "
+            "FROM knn k JOIN kd ON kd.id = k.rid GROUP BY k.qid), "
+            "lof AS (SELECT k.qid AS id, -avg(o.lrd / p.lrd) AS nof FROM knn k JOIN lrd o ON o.id = k.rid "
+            "JOIN lrd p ON p.id = k.qid GROUP BY k.qid)")
+
+
+@register("d7_sampled_lof", with_views(
+    "SELECT " + sql_cols("transaction_id:i=id, lof_score:d=1.0 - (nof - min(nof) OVER ()) / (max(nof) OVER () - min(nof) OVER ())")
+    + " FROM lof", TXN_VIEW, FEAT_VIEW, _LOF_ALL))
 def d7(spark, sf):
-    """LOF fitted on the default 50,000-row sample, every other row scored against it."""
+    """LOF fitted on the default 50,000-row sample, every other row scored against it.
+    A ledger of no more rows is its own sample."""
     f, cols = _features(spark, sf)
     return LO.sampled_lof(f, "transaction_id", cols).select("transaction_id", "lof_score")
 
