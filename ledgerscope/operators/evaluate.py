@@ -149,6 +149,9 @@ def _combine_rows(*parts: DataFrame) -> DataFrame:
     return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
+NO_PATTERN = "(none)"
+
+
 def run_summary(df: DataFrame, score: str = "ensemble_score", truth: str = "is_suspicious",
                 pred: str = "is_alert", threshold: float = 0.5, thresholds=None,
                 n_clusters: int | None = None) -> DataFrame:
@@ -163,7 +166,9 @@ def run_summary(df: DataFrame, score: str = "ensemble_score", truth: str = "is_s
     vol = alert_volume(df, score, thresholds).agg(
         F.sort_array(F.collect_list(F.struct("threshold", "n_alerts", "alert_rate",
                                              "daily_alerts_est"))).alias("alert_volume"))
-    pat = evaluate_by_pattern(df, score, threshold, truth).agg(
+    # A map key cannot be null: suspicious rows without a pattern go by a name of their own.
+    named = evaluate_by_pattern(df, score, threshold, truth).withColumn("pattern_type", F.coalesce("pattern_type", F.lit(NO_PATTERN)))
+    pat = named.agg(
         F.map_from_entries(F.collect_list(F.struct("pattern_type", F.col("total").cast("double")))).alias("total"),
         F.map_from_entries(F.collect_list(F.struct("pattern_type", F.col("detected").cast("double")))).alias("detected"),
         F.map_from_entries(F.collect_list(F.struct("pattern_type", "avg_score"))).alias("avg_score"),

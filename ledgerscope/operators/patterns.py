@@ -61,6 +61,49 @@ def _edges(df: DataFrame) -> DataFrame:
                     "amount"))
 
 
+def _hops(df: DataFrame, band: float, span_us: int, base_range):
+    """(edges, first frontier): transfers with their time and log-amount buckets, and chains of one hop."""
+    e = _edges(df).filter(F.col("src") != F.col("dst"))
+    if base_range is not None:
+        e = e.filter((F.col("amount") >= F.lit(band * base_range[0])) & (F.col("amount") <= F.lit(float(base_range[1]))))
+    # Amounts of one chain differ by a factor of 1 / band at most: one bucket up or down.
+    width = -math.log(band) * (1 + 1e-9) if 0 < band < 1 else 1.0
+    bucket = F.when(F.col("amount") > 0, F.floor(F.ln("amount") / F.lit(width))).otherwise(F.lit(-(1 << 40)))
+    e = e.withColumns({"tb": F.floor(F.col("us") / F.lit(span_us)), "ab": bucket})
+    first = e.select(F.array("transaction_id").alias("txns"), F.array("src", "dst").alias("accounts"),
+                     F.col("dst").alias("_end"), F.col("us").alias("_us_last"), F.col("tb").alias("_tb"), F.col("ab").alias("_ab"),
+                     F.col("amount").alias("_amt_last"), F.col("us").alias("_us_min"), F.col("us").alias("_us_max"),
+                     F.col("amount").alias("min_amount"), F.col("amount").alias("max_amount"))
+    return e, first
+
+
+def _next_hop(cur: DataFrame, e: DataFrame, band: float, span_us: int, ordered: bool) -> DataFrame:
+    """Chains one hop longer. A next hop starts at the chain's end, within +-span of its last hop in
+    time and one amount bucket; a chain that has left the span or the band goes no further."""
+    nxt = (e.withColumn("_nb", F.explode(F.array(F.col("tb") - 1, F.col("tb"), F.col("tb") + 1)))
+           .withColumn("_na", F.explode(F.array(F.col("ab") - 1, F.col("ab"), F.col("ab") + 1)))
+           .select(F.col("transaction_id").alias("_txn"), F.col("src").alias("_src"), F.col("dst").alias("_dst"),
+                   F.col("us").alias("_us"), F.col("amount").alias("_amt"), F.col("tb").alias("_ntb"), F.col("ab").alias("_nab"),
+                   "_nb", "_na"))
+    j = cur.join(nxt, (cur["_end"] == nxt["_src"]) & (cur["_tb"] == nxt["_nb"]) & (cur["_ab"] == nxt["_na"]))
+    us_min, us_max = F.least("_us_min", "_us"), F.greatest("_us_max", "_us")
+    lo, hi = F.least("min_amount", "_amt"), F.greatest("max_amount", "_amt")
+    cond = (us_max - us_min <= span_us) & (lo >= F.lit(band) * hi) & ~F.array_contains(F.col("accounts"), F.col("_dst"))
+    if ordered:
+        cond &= F.col("_us") >= F.col("_us_last")
+    return j.filter(cond).select(
+        F.concat("txns", F.array("_txn")).alias("txns"), F.concat("accounts", F.array("_dst")).alias("accounts"),
+        F.col("_dst").alias("_end"), F.col("_us").alias("_us_last"), F.col("_ntb").alias("_tb"), F.col("_nab").alias("_ab"),
+        F.col("_amt").alias("_amt_last"), us_min.alias("_us_min"), us_max.alias("_us_max"), lo.alias("min_amount"), hi.alias("max_amount"))
+
+
+def _chains(cur: DataFrame, base_range) -> DataFrame:
+    if base_range is not None:
+        cur = cur.filter((F.col("max_amount") >= F.lit(float(base_range[0]))) & (F.col("max_amount") <= F.lit(float(base_range[1]))))
+    return cur.select("txns", "accounts", ((F.col("_us_max") - F.col("_us_min")) / F.lit(float(MICROS_PER_SECOND))).alias("span_seconds"),
+                      "min_amount", "max_amount")
+
+
 def layering_chains(df: DataFrame, hops: int = LAYERING_HOPS, band: float = LAYERING_BAND,
                     span_hours: float = LAYERING_SPAN_HOURS, ordered: bool = False,
                     base_range: tuple[float, float] | None = None) -> DataFrame:
@@ -77,56 +120,32 @@ def layering_chains(df: DataFrame, hops: int = LAYERING_HOPS, band: float = LAYE
     One row per chain: txn_1..txn_h, account_0..account_h, span_seconds,
     min_amount, max_amount."""
     span_us = int(span_hours * HOUR_US)
-    e = _edges(df).filter(F.col("src") != F.col("dst"))
-    if base_range is not None:
-        e = e.filter((F.col("amount") >= F.lit(band * base_range[0])) & (F.col("amount") <= F.lit(float(base_range[1]))))
-    # Amounts of one chain differ by a factor of 1 / band at most: one bucket up or down.
-    width = -math.log(band) * (1 + 1e-9) if 0 < band < 1 else 1.0
+    e, cur = _hops(df, band, span_us, base_range)
+    for _ in range(2, hops + 1):
+        cur = _next_hop(cur, e, band, span_us, ordered)
+    return _chains(cur, base_range).select(
+        *[F.col("txns")[i].alias(f"txn_{i + 1}") for i in range(hops)],
+        *[F.col("accounts")[i].alias(f"account_{i}") for i in range(hops + 1)], "span_seconds", "min_amount", "max_amount")
+
+
+def layering_chains_between(df: DataFrame, min_hops: int = LAYERING_HOPS, max_hops: int = 5, band: float = LAYERING_BAND,
+                            span_hours: float = LAYERING_SPAN_HOURS, ordered: bool = False,
+                            base_range: tuple[float, float] | None = None) -> DataFrame:
+    """T2 for every length from ``min_hops`` to ``max_hops`` in one pass: the frontier of chains grows hop by
+    hop, and each length is kept on the way. Frontiers are pinned, so a hop is computed once and its
+    join reads two tables, whose crowded keys (hubs) Spark can split. Rows: hops, txns, accounts,
+    span_seconds, min_amount, max_amount."""
+    from ledgerscope.session import pin
 
-    def amount_bucket(a):
-        return F.when(a > 0, F.floor(F.ln(a) / F.lit(width))).otherwise(F.lit(-(1 << 40)))
-    e = e.withColumns({"tb": F.floor(F.col("us") / F.lit(span_us)), "ab": amount_bucket(F.col("amount"))})
-
-    cur = e.select(F.col("transaction_id").alias("txn_1"), F.col("src").alias("account_0"),
-                   F.col("dst").alias("account_1"), F.col("us").alias("_us_last"),
-                   F.col("tb").alias("_tb"), F.col("ab").alias("_ab"), F.col("amount").alias("_amt_last"),
-                   F.col("us").alias("_us_min"), F.col("us").alias("_us_max"),
-                   F.col("amount").alias("min_amount"), F.col("amount").alias("max_amount"),
-                   F.array(F.col("src"), F.col("dst")).alias("_accts"))
-    for h in range(2, hops + 1):
-        # Next hop: starts at the current chain end, within +-span in time.
-        nxt = (e.withColumn("_nb", F.explode(F.array(F.col("tb") - 1, F.col("tb"), F.col("tb") + 1)))
-               .withColumn("_na", F.explode(F.array(F.col("ab") - 1, F.col("ab"), F.col("ab") + 1)))
-               .select(F.col("transaction_id").alias(f"txn_{h}"), F.col("src").alias("_src"),
-                       F.col("dst").alias(f"account_{h}"), F.col("us").alias("_us"),
-                       F.col("amount").alias("_amt"), F.col("ab").alias("_nab"), F.col("_nb"), F.col("_na")))
-        j = cur.join(nxt, (cur[f"account_{h - 1}"] == nxt["_src"]) & (cur["_tb"] == nxt["_nb"])
-                     & (cur["_ab"] == nxt["_na"]))
-        cond = (F.abs(F.col("_us") - F.col("_us_last")) <= span_us) \
-            & (F.col("_amt") >= F.lit(band) * F.col("_amt_last")) \
-            & (F.col("_amt_last") >= F.lit(band) * F.col("_amt")) \
-            & ~F.array_contains(F.col("_accts"), F.col(f"account_{h}"))
-        if ordered:
-            cond &= F.col("_us") >= F.col("_us_last")
-        j = j.filter(cond)
-        keep = [c for c in cur.columns if not c.startswith("_") and c not in ("min_amount", "max_amount")]
-        cur = j.select(
-            *keep, f"txn_{h}", f"account_{h}",
-            F.col("_us").alias("_us_last"), F.floor(F.col("_us") / F.lit(span_us)).alias("_tb"),
-            F.col("_nab").alias("_ab"),
-            F.col("_amt").alias("_amt_last"),
-            F.least("_us_min", "_us").alias("_us_min"), F.greatest("_us_max", "_us").alias("_us_max"),
-            F.least("min_amount", "_amt").alias("min_amount"),
-            F.greatest("max_amount", "_amt").alias("max_amount"),
-            F.concat(F.col("_accts"), F.array(F.col(f"account_{h}"))).alias("_accts"))
-        cur = cur.filter((F.col("_us_max") - F.col("_us_min")) <= span_us)
-    cur = cur.filter(F.col("min_amount") >= F.lit(band) * F.col("max_amount"))
-    if base_range is not None:
-        cur = cur.filter((F.col("max_amount") >= F.lit(float(base_range[0]))) & (F.col("max_amount") <= F.lit(float(base_range[1]))))
-    return cur.select(
-        *[f"txn_{i}" for i in range(1, hops + 1)], *[f"account_{i}" for i in range(hops + 1)],
-        ((F.col("_us_max") - F.col("_us_min")) / F.lit(float(MICROS_PER_SECOND))).alias("span_seconds"),
-        "min_amount", "max_amount")
+    span_us = int(span_hours * HOUR_US)
+    e, cur = _hops(df, band, span_us, base_range)
+    e, out = pin(e), None
+    for h in range(1, max_hops + 1):
+        cur = pin(cur if h == 1 else _next_hop(cur, e, band, span_us, ordered))
+        if h >= min_hops:
+            found = _chains(cur, base_range).select(F.lit(h).alias("hops"), "*")
+            out = found if out is None else out.unionByName(found)
+    return out
 
 
 def round_trips(df: DataFrame, min_delay_days: float = ROUND_TRIP_MIN_DAYS,

@@ -266,7 +266,7 @@ def d7b(spark, sf):
 @register("d15_scoring_end_to_end")
 def d15(spark, sf):
     """Features -> forest + sampled LOF + rules -> ensemble -> K-Means
-    and sampled DBSCAN labels."""
+    and DBSCAN labels of every row."""
     from ledgerscope.plans.scoring import score_transactions
     txn, _ = views(spark, sf)
     return score_transactions(txn)
@@ -282,7 +282,7 @@ def a23(spark, sf):
 
 @register("a24_outlier_cluster_summary")
 def a24(spark, sf):
-    """DBSCAN-sampled rows, outliers and rate."""
+    """DBSCAN rows, outliers and rate."""
     from ledgerscope.plans.scoring import score_transactions
     txn, _ = views(spark, sf)
     return DB.outlier_cluster_summary(score_transactions(txn))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from ledgerscope.operators import patterns as PT
 from ledgerscope.plans.oracle_sql import TXN_VIEW, US, with_views
 from ledgerscope.plans.registry import register, sql_cols, views
@@ -66,6 +68,29 @@ def t2b(spark, sf):
     return PT.layering_chains(txn, hops=2, band=0.95, span_hours=5.0, ordered=True)
 
 
+def _lengths_sql(shortest: int, longest: int, band: float, span_us: int) -> str:
+    edges = (f"e AS (SELECT transaction_id AS id, sender_account AS src, receiver_account AS dst, {US} AS us, amount FROM txn "
+             "WHERE amount IS NOT NULL AND \"timestamp\" IS NOT NULL AND sender_account <> receiver_account)")
+    chains = ("c(hops, txns, accounts, tail, t0, t1, lo, hi) AS (SELECT 1, [id], [src, dst], dst, us, us, amount, amount FROM e "
+              "UNION ALL SELECT hops + 1, list_append(txns, e.id), list_append(accounts, e.dst), e.dst, least(t0, e.us), "
+              "greatest(t1, e.us), least(lo, e.amount), greatest(hi, e.amount) FROM c JOIN e ON e.src = c.tail "
+              f"WHERE hops < {longest} AND NOT list_contains(accounts, e.dst) AND greatest(t1, e.us) - least(t0, e.us) <= {span_us} "
+              f"AND least(lo, e.amount) >= CAST({band!r} AS DOUBLE) * greatest(hi, e.amount))")
+    spec = sql_cols("hops:i, txns:s=array_to_string(txns, '-'), accounts:s=array_to_string(accounts, '-'), "
+                    "span_seconds:d=(t1 - t0) / 1e6, min_amount:d=lo, max_amount:d=hi")
+    return with_views(f"SELECT {spec} FROM c WHERE hops >= {shortest}", TXN_VIEW, edges, chains, recursive=True)
+
+
+@register("t2c_layering_3_to_5_hops", _lengths_sql(3, 5, _BAND, _SPAN_US))
+def t2c(spark, sf):
+    """Chains of 3, 4 and 5 hops from one growing frontier, at the band of ``t2``."""
+    txn, _ = views(spark, sf)
+    c = PT.layering_chains_between(txn, 3, 5, band=_BAND, span_hours=5.0)
+    return c.select("hops", F.array_join(F.col("txns").cast("array<string>"), "-").alias("txns"),
+                    F.array_join(F.col("accounts").cast("array<string>"), "-").alias("accounts"),
+                    "span_seconds", "min_amount", "max_amount")
+
+
 @register("t3_round_trips", _sql(
     "out_txn:i=a.transaction_id, back_txn:i=b.transaction_id, account_a:i=a.sender_account, "
     "account_b:i=a.receiver_account, delay_seconds:d=(epoch_us(b.\"timestamp\") - epoch_us(a.\"timestamp\")) / 1e6, "

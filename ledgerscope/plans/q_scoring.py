@@ -220,3 +220,39 @@ def io5b(spark, sf):
     back = spark.read.schema(report.schema).json(path)
     return back.select("total_transactions", "suspicious_transactions", "suspicious_rate", "detection_metrics.*",
                        F.size("alert_volume").alias("n_thresholds"), "n_clusters")
+
+
+_LEVELS = ", ".join(f"(CAST({t!r} AS DOUBLE))" for t in EV.DEFAULT_THRESHOLDS)
+
+
+@register("io5c_report_values", _sql(
+    "section:s, item:s, measure:s, value:d",
+    "FROM (WITH v AS (SELECT t, sum(CASE WHEN ensemble_score >= t THEN 1 ELSE 0 END) AS n, count(*) AS total "
+    f"FROM scored, (VALUES {_LEVELS}) l(t) GROUP BY t), "
+    f"p AS (SELECT coalesce(pattern_type, '(none)') AS pattern, count(*) AS total, "
+    f"sum(CASE WHEN ensemble_score >= {THRESHOLD} THEN 1 ELSE 0 END) AS detected, avg(ensemble_score) AS score "
+    "FROM scored WHERE is_suspicious = 1 GROUP BY 1) "
+    "SELECT 'alert_volume' AS section, CAST(round(t * 10) AS INTEGER)::VARCHAR AS item, 'n_alerts' AS measure, CAST(n AS DOUBLE) AS value FROM v "
+    "UNION ALL SELECT 'alert_volume', CAST(round(t * 10) AS INTEGER)::VARCHAR, 'alert_rate', n / total FROM v "
+    "UNION ALL SELECT 'alert_volume', CAST(round(t * 10) AS INTEGER)::VARCHAR, 'daily_alerts_est', n / 365.0 FROM v "
+    "UNION ALL SELECT 'pattern_detection', pattern, 'total', total FROM p "
+    "UNION ALL SELECT 'pattern_detection', pattern, 'detected', detected FROM p "
+    "UNION ALL SELECT 'pattern_detection', pattern, 'avg_score', score FROM p "
+    "UNION ALL SELECT 'pattern_detection', pattern, 'detection_rate', round_even(detected / total, 3) FROM p)"))
+def io5c(spark, sf):
+    """IO5: every value of the report's ``alert_volume`` array and ``pattern_detection`` maps, from the file."""
+    report = EV.run_summary(scored_table(spark, sf), threshold=THRESHOLD, n_clusters=8)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/io5c-{uuid.uuid4().hex}"
+    IO.write_report(report, path)
+    back = spark.read.schema(report.schema).json(path)
+    v = back.select(F.explode("alert_volume").alias("v"))
+    level = F.round(F.col("v.threshold") * 10).cast("int").cast("string")
+    out = None
+    for m in ("n_alerts", "alert_rate", "daily_alerts_est"):
+        part = v.select(F.lit("alert_volume").alias("section"), level.alias("item"), F.lit(m).alias("measure"),
+                        F.col(f"v.{m}").cast("double").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    for m in ("total", "detected", "avg_score", "detection_rate"):
+        out = out.unionByName(back.select(F.explode(f"pattern_detection.{m}").alias("item", "value")).select(
+            F.lit("pattern_detection").alias("section"), "item", F.lit(m).alias("measure"), F.col("value").cast("double").alias("value")))
+    return out

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from ledgerscope.plans.oracle_sql import TXN_VIEW, US, with_views
-from ledgerscope.plans.registry import register, sql_cols
+from ledgerscope.plans.registry import register, sql_cols, views
 from ledgerscope.session import checkpoint_dir
 from ledgerscope.streaming import monitor as ST
 
@@ -35,24 +33,22 @@ def e1(spark, sf):
 @register("e2_stream_daily_alerts", with_views(
     "SELECT " + sql_cols(f"date:t=CAST(\"timestamp\" AS DATE), n_txns:i=count(*), "
                          f"n_alerts:i=sum(CASE WHEN {_ROW} >= 0.25 THEN 1 ELSE 0 END)")
-    + " FROM txn GROUP BY 1 HAVING CAST(CAST(\"timestamp\" AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY"
-    " <= (SELECT max(\"timestamp\") FROM txn) - INTERVAL 1 DAY", TXN_VIEW))
+    + " FROM txn GROUP BY 1", TXN_VIEW))
 def e2(spark, sf):
-    """Watermarked daily tumbling counts of transfers and row alerts.
-    Append mode emits a day once the watermark (latest event time minus one
-    day) has passed its end, so the newest days are still open at the end
-    of the run and are not in the output."""
-    return _run(spark, sf, ST.daily_alert_counts)
+    """Watermarked daily tumbling counts of transfers and row alerts. Append mode emits a day once
+    the watermark (latest event time minus one day) has passed its end; the days still open at
+    the end of the run are closed by a batch."""
+    txn, _ = views(spark, sf)
+    return ST.close_daily_counts(_run(spark, sf, ST.daily_alert_counts), txn)
 
 
 @register("e3_stream_sender_gaps", with_views(
     "SELECT " + sql_cols(
         f"transaction_id:i, time_since_last_txn:d=coalesce(({US} - lag({US}) OVER (PARTITION BY sender_account "
-        f"ORDER BY {US}, transaction_id)) / 1e6, 0.0)") +
-    f" FROM txn QUALIFY {US} < (SELECT max({US}) // 1000 * 1000 FROM txn)", TXN_VIEW))
+        f"ORDER BY {US}, transaction_id)) / 1e6, 0.0)") + " FROM txn", TXN_VIEW))
 def e3(spark, sf):
-    """Per-sender gap from streaming state. All files are there at the start,
-    so no lateness is allowed for and the closing batch emits every transfer
-    before the final watermark (the latest event time, in whole milliseconds)."""
-    out = _run(spark, sf, lambda s: ST.sender_gap_state(s, "0 seconds"))
+    """Per-sender gap from streaming state with a day of allowed lateness; transfers behind the
+    last watermark when the run ends are closed by a batch."""
+    txn, _ = views(spark, sf)
+    out = ST.close_sender_gaps(_run(spark, sf, ST.sender_gap_state), txn)
     return out.select("transaction_id", "time_since_last_txn")

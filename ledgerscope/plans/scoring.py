@@ -40,9 +40,10 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
 
     # LOF is fitted on at most ``lof_sample`` rows and scores every row; DBSCAN clusters every row.
     lof = LO.sampled_lof(f.select(id_col, *cols), id_col, cols, lof_sample, seed, lof_k, contamination)
-    s = s.join(lof.select(id_col, "lof_score"), id_col)
+    # A transfer without an id keeps its row: it can be matched with nothing and scores 0.
+    s = attach_sampled(s, lof.filter(F.col(id_col).isNotNull()), "lof_score", 0.0, id_col)
     db = DB.dbscan(f.select(id_col, *cols), id_col, cols, dbscan_eps, dbscan_min_samples)
-    s = attach_sampled(s, db.select(id_col, F.col("cluster").alias("db_cluster")),
+    s = attach_sampled(s, db.filter(F.col(id_col).isNotNull()).select(id_col, F.col("cluster").alias("db_cluster")),
                        "db_cluster", DB.NOT_SAMPLED, id_col)
 
     s = RU.rule_scores(s)

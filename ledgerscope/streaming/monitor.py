@@ -12,6 +12,9 @@
   the rapid flag from per-sender state (last event time, transfers that wait
   for the watermark). The result does not depend on how the input is cut into
   batches. State of a sender idle for ``state_ttl`` of event time is dropped.
+
+A stream that ends leaves what its last watermark has not passed: open days, waiting
+transfers. :func:`close_daily_counts` and :func:`close_sender_gaps` finish such a run.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerscope.functions.exprs import (CASH_TYPES, RAPID_SECONDS, flag, is_night,
                                          is_round_amount, near_threshold)
+from ledgerscope.operators.features import time_features
 from ledgerscope.operators.rules import LARGE_CASH_AMOUNT, NIGHT_AMOUNT, ROUND_AMOUNT
 from ledgerscope.sources.fixtures import transactions_from_events
 
@@ -126,6 +130,35 @@ def sender_gap_state(df: DataFrame, watermark: str = "1 day", state_ttl_ms: int
         step, output, GAP_STATE.format(id=id_type), "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def _closing_time(df: DataFrame, watermark: str):
+    """The last watermark of a stream that has read all of ``df``: its latest event time, in whole
+    milliseconds, less the allowed lateness."""
+    return F.timestamp_millis(df.agg(F.max(F.unix_millis(F.col("timestamp").cast("timestamp")))).scalar()) - F.expr(f"interval {watermark}")
+
+
+def close_daily_counts(emitted: DataFrame, df: DataFrame, watermark: str = "1 day", threshold: float = 0.25) -> DataFrame:
+    """E2 completed at the end of a run: the days that the last watermark left open are counted as a
+    batch over the transfers of those days only, and follow the emitted ones."""
+    day = F.to_date(F.col("timestamp"))
+    ends = F.date_add(day, 1).cast("timestamp")
+    rest = row_rule_flags(df.filter(ends > _closing_time(df, watermark)), threshold)
+    return emitted.unionByName(rest.groupBy(day.alias("date")).agg(
+        F.count(F.lit(1)).alias("n_txns"), F.sum("row_alert").cast("long").alias("n_alerts")))
+
+
+def close_sender_gaps(emitted: DataFrame, df: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """E3 completed at the end of a run: transfers that still wait behind the last watermark get their
+    gaps as a batch (the W3 pass, which splits a hot sender by day). Each sender's last emitted
+    transfer goes in with them, so the gap of its first waiting one is right."""
+    rest = df.filter(F.col("timestamp").cast("timestamp") >= _closing_time(df, watermark)).select(
+        "transaction_id", "sender_account", F.col("timestamp").cast("timestamp").alias("timestamp"), F.lit(False).alias("_done"))
+    done = emitted.groupBy("sender_account").agg(F.max("timestamp").alias("timestamp"), F.max("transaction_id").alias("transaction_id"))
+    both = rest.unionByName(done.withColumn("_done", F.lit(True))).withColumn("amount", F.lit(None).cast("double"))
+    # Emitted transfers come first at equal times: waiting ones are at or after the last watermark.
+    gaps = time_features(both.withColumn("_order", F.struct(~F.col("_done"), "transaction_id")), id_col="_order")
+    return emitted.unionByName(gaps.filter(~F.col("_done")).select(*emitted.columns))
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataFrame:
     """Run a stream to completion over the input available now (append mode,
     file sink with its own checkpoint) and return the sink as a batch frame."""

@@ -15,6 +15,18 @@ def test_layering_chain(spark):
     assert two == [(1, 2), (2, 3), (2, 4)]
 
 
+def test_layering_lengths_in_one_pass(spark):
+    rows = [(i, f"2024-01-01 10:{i:02d}:00", i, i + 1, 100000.0 - 500 * i) for i in range(1, 8)]  # 1 -> 2 -> ... -> 8
+    rows += [(20 + i, f"2024-01-01 11:{i:02d}:00", 3, 100 + i, 99000.0) for i in range(30)]  # a hub
+    rows.append((60, "2024-01-01 11:00:00", 4, 5, 1000.0))  # outside the band
+    df = txn_frame(spark, rows)
+    got = PT.layering_chains_between(df, 2, 5).collect()
+    for h in (2, 3, 4, 5):
+        one = {tuple(r[f"txn_{i}"] for i in range(1, h + 1)) for r in PT.layering_chains(df, hops=h).collect()}
+        assert {tuple(r.txns) for r in got if r.hops == h} == one and one
+    assert len({tuple(r.txns) for r in got}) == len(got) and all(len(set(r.accounts)) == r.hops + 1 for r in got)
+
+
 def test_round_trip(spark):
     df = txn_frame(spark, [
         (1, "2024-01-01 00:00:00", 1, 2, 50000.0), (2, "2024-01-04 00:00:00", 2, 1, 49000.0),

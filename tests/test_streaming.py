@@ -46,6 +46,9 @@ def test_gap_state_does_not_depend_on_batches(spark):
         got = ST.run_to_table(ST.sender_gap_state(stream, delay), f"{out_dir}/o", f"{out_dir}/c").collect()
         g = {r.transaction_id: r.time_since_last_txn for r in got}
         assert n_days > 1 and len(g) == len(got) and all(abs(g[k] - want[k]) < 1e-6 for k in g)
+        ends = ST.close_sender_gaps(spark.read.parquet(f"{out_dir}/o"), txn, delay).collect()
+        closed = {r.transaction_id: r.time_since_last_txn for r in ends}
+        assert len(ends) == len(closed) == len(want) and all(abs(closed[k] - want[k]) < 1e-6 for k in want)
         missing = set(want) - set(g)
         if all_of_it:  # only what reached the final watermark may still wait
             last = txn.agg(F.max("timestamp")).first()[0]
