@@ -27,6 +27,27 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shipped:
+    """A broadcast value whose classes travel with it: executors need no copy of this package.
+    Spark's own broadcast pickles classes by name."""
+
+    def __init__(self, spark: SparkSession, value):
+        from pyspark import cloudpickle
+
+        self._held, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), value
+
+    def __getstate__(self):
+        return {"_held": self._held, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            import pickle
+
+            self._value = pickle.loads(self._held.value)
+        return self._value
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of the undirected ``edges``; root is the
     smallest node reachable. Min-label propagation with pointer jumping, one

@@ -11,8 +11,9 @@ tau. By the triangle inequality no pair within tau is lost.
 
 A leaf's residents are cut into chunks of about ``LEAF_ROWS`` (a leaf may hold a
 third of all rows), and its visitors stream past each chunk in blocks: memory is
-one chunk and one block. A chunk reports a link count per visitor and enough
-edges to connect what is linked, both linear in its rows, never its pairs.
+one chunk and one block. Two leaves meet once, and the links count on both sides. A chunk
+reports a link count per visitor and resident and enough edges to connect what is
+linked, all linear in its rows, never its pairs.
 
 The tree holds at most ``MAX_PIVOTS`` pivots, taken in hash order (documented
 bound); all rows are indexed and compared, so recall is 1 whatever the pivots.
@@ -31,20 +32,24 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.llm.common import components, stage
+from ledgerscope.llm.common import Shipped, components, stage
 
 THRESHOLD = 0.95
 LEAF_ROWS = 4096
 MAX_PIVOTS = 4096
 _SLACK = 1e-7  # over the rounding of distances, in bounds only
+_SCREEN = 1e-4  # over the rounding of single-precision cosines
 _BLOCK = 512
 
 
 def unit(values: list, width: int) -> np.ndarray:
     """Rows of unit length in double precision, padded with zeros to ``width``."""
-    out = np.zeros((len(values), width))
-    for i, v in enumerate(values):
-        out[i, :len(v)] = v
+    if len(values) and all(len(v) == width for v in values):
+        out = np.concatenate(values).reshape(-1, width).astype(float)
+    else:
+        out = np.zeros((len(values), width))
+        for i, v in enumerate(values):
+            out[i, :len(v)] = v
     out /= np.abs(out).max(axis=1, keepdims=True)
     return out / np.sqrt(np.einsum("ij,ij->i", out, out))[:, None]
 
@@ -117,7 +122,9 @@ def _assign(tree, width):
 
 
 def _visit(tree, plan, width, tau):
-    """(leaf, chunk, role, gid, n, embedding): each vector once as a resident, and as a visitor where it may link."""
+    """(leaf, chunk, role, gid, n, embedding): each vector once as a resident (role 0), as a visitor of its
+    own leaf (1), and as a visitor of other leaves where it may link (2). Two leaves meet once: which
+    one visits is settled by the parity of their numbers, so that all leaves visit about as often."""
     def run(batches):
         t, (radii, near, chunks) = tree.value, plan.value
         for pdf in batches:
@@ -125,18 +132,21 @@ def _visit(tree, plan, width, tau):
                 continue
             d = chord(unit(pdf["embedding"].tolist(), width), t.pivots)
             home = pdf["home"].to_numpy()
-            go = near[home] & (d <= radii[None, :] + tau + _SLACK)
+            leaves = np.arange(len(radii))[None, :]
+            first = (home[:, None] < leaves) ^ ((home[:, None] + leaves) % 2 == 1)
+            go = near[home] & (d <= radii[None, :] + tau + _SLACK) & (first | (home[:, None] == leaves))
             for leaf in np.flatnonzero(go.any(axis=0)):
-                part = pdf[go[:, leaf]]
+                part, at = pdf[go[:, leaf]], home[go[:, leaf]]
                 for chunk in range(chunks[leaf]):
-                    yield part[["gid", "n", "embedding"]].assign(leaf=leaf, chunk=chunk, role=1)
+                    yield part[["gid", "n", "embedding"]].assign(leaf=leaf, chunk=chunk, role=np.where(at == leaf, 1, 2))
             own = pdf["gid"].to_numpy() % chunks[home]
             yield pdf[["gid", "n", "embedding"]].assign(leaf=home, chunk=own, role=0)
     return run
 
 
 class _Chunk:
-    """Residents of one chunk: link counts of visitors and the residents' local components."""
+    """Residents of one chunk: link counts of visitors, of residents by visitors from other leaves, and
+    the residents' local components. Cosines are screened in single precision and decided in double."""
 
     def __init__(self):
         self.parts = []
@@ -147,17 +157,22 @@ class _Chunk:
     def close(self):
         self.gid, self.n = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
         self.x = np.concatenate([p[2] for p in self.parts])
-        self.label = np.arange(len(self.gid))
+        self.x32 = self.x.astype(np.float32)
+        self.label, self.links = np.arange(len(self.gid)), np.zeros(len(self.gid), np.int64)
 
-    def meet(self, gid, x, threshold):
-        """(gid, links, a linked resident) of the visitors that link."""
-        out = []
+    def meet(self, gid, n, x, threshold, foreign):
+        """(gid, links, a linked resident) of the visitors that link; ``foreign`` ones come from other leaves."""
+        out, x32 = [], x.astype(np.float32)
         for i in range(0, len(gid), _BLOCK):
-            hit = x[i:i + _BLOCK] @ self.x.T >= threshold
-            hit &= gid[i:i + _BLOCK, None] != self.gid[None, :]
-            v, r = np.nonzero(hit)
+            v, r = np.nonzero(x32[i:i + _BLOCK] @ self.x32.T >= threshold - _SCREEN)
             if not len(v):
                 continue
+            hit = (np.einsum("ij,ij->i", x[i + v], self.x[r]) >= threshold) & (gid[i + v] != self.gid[r])
+            v, r = v[hit], r[hit]
+            if not len(v):
+                continue
+            if foreign:
+                np.add.at(self.links, r, n[i + v])
             firsts = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
             out.append((gid[i + v[firsts]], np.add.reduceat(self.n[r], firsts), self.gid[r[firsts]]))
             same = np.flatnonzero(v[1:] == v[:-1])  # residents that one visitor links belong together
@@ -176,8 +191,8 @@ class _Chunk:
         return out
 
     def edges(self):
-        move = self.label != np.arange(len(self.label))
-        return self.gid[move], np.zeros(move.sum(), np.int64), self.gid[self.label[move]]
+        move = (self.label != np.arange(len(self.label))) | (self.links > 0)
+        return self.gid[move], self.links[move], self.gid[self.label[move]]
 
 
 def _link(width, threshold):
@@ -208,7 +223,7 @@ def _link(width, threshold):
                         continue  # visitors of a chunk that got no resident
                     chunk.close()
                     ready = True
-                found = chunk.meet(gid, x, threshold)
+                found = chunk.meet(gid, part["n"].to_numpy(), x, threshold, keys[lo, 2] == 2)
                 if found:
                     yield frame(found)
         if chunk is not None and ready:
@@ -234,7 +249,7 @@ def embedding_groups(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "em
         tau = float(np.sqrt(2 - 2 * threshold))
         m = int(min(max_pivots, max(1, -(-total // leaf_rows))))
         sample = distinct.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(m).collect()
-        tree = spark.sparkContext.broadcast(CoverTree(unit([r.embedding for r in sample], width)))
+        tree = Shipped(spark, CoverTree(unit([r.embedding for r in sample], width)))
         homes = stage(distinct.mapInPandas(_assign(tree, width), distinct.schema.simpleString()[7:-1] + ", home bigint, dist double"), "homes")
         radii, sizes = np.full(m, -np.inf), np.zeros(m, int)
         for r in homes.groupBy("home").agg(F.max("dist").alias("r"), F.count("*").alias("n")).collect():  # one row a pivot

@@ -99,7 +99,9 @@ wide AS (
   WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = w.rid AND b.s < w.e AND w.s < b.e)),
 cand AS (SELECT * FROM base UNION ALL SELECT * FROM wide),
-freq AS (SELECT v, count(DISTINCT owner) <= 1 AS live FROM cand JOIN d USING (rid) GROUP BY v),
+freq AS (
+  SELECT v, count(DISTINCT owner) <= 1 AND count(DISTINCT coalesce(doc_id::VARCHAR, '') || ':' || text) <= 2 AS live
+  FROM cand JOIN d USING (rid) GROUP BY v),
 spans AS (SELECT rid, rank, s, e, live, ['assign', 'access', 'hex', 'live'][rank + 1] || ':' || s || ':' || e AS j
           FROM cand JOIN freq USING (v) WHERE rank < 3 OR live),
 a AS (

@@ -166,16 +166,20 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` without near copies: of each component the row with its smallest
-    doc_id stays (of repeated rows with that id one; where all ids are null, one)."""
+    """``docs`` without near copies: of each component one row with its smallest doc_id stays (where
+    all its ids are null, one of them). An id that several rows share may be the smallest
+    of several components; its rows are told apart by their fingerprints."""
     groups = simhash_groups(docs, shingle=shingle, radius=radius)
-    firsts = stage(groups.filter("doc_id is null and component_id is null or doc_id = component_id")
-                   .groupBy("doc_id", "root").agg(F.count("*").alias("n"), F.min("fp").alias("fp")), "firsts")
-    plain = docs.join(firsts.filter("n = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    # Repeated ids are rare and null ids rarer: only their rows are compared whole.
-    again = (docs.join(firsts.filter("n > 1").select("doc_id"), "doc_id", "left_semi")
-             .dropDuplicates(["doc_id"]).select(*docs.columns))
-    nulls = (with_fingerprint(docs.filter("doc_id is null"), "text", shingle, "__fp")
-             .join(firsts.filter("doc_id is null").select(F.col("fp").alias("__fp")), "__fp", "left_semi")
-             .dropDuplicates(["__fp"]).select(*docs.columns))
-    return plain.union(again).union(nulls)
+    firsts = groups.filter("doc_id is null and component_id is null or doc_id = component_id") \
+        .groupBy("doc_id", "root").agg(F.min("fp").alias("fp"))
+    shared = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 or doc_id is null")
+    firsts = stage(firsts.join(shared.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+                   .select("doc_id", "fp", F.col("rows").isNotNull().alias("shared")), "firsts")
+    plain = docs.join(firsts.filter("not shared").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    # Repeated ids are rare and null ids rarer: only their rows are fingerprinted again.
+    some = firsts.filter("shared").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__first"))
+    rows = docs.join(some.select("__id").distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    again = (with_fingerprint(rows, "text", shingle, "__fp")
+             .join(some, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__first")), "left_semi")
+             .dropDuplicates(["doc_id", "__fp"]).select(*docs.columns))
+    return plain.union(again)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerscope.llm.common import running, stage, utf8
+from ledgerscope.llm.common import Shipped, running, stage, utf8
 from ledgerscope.llm.gsaca import suffix_array
 
 LENGTH = 100
@@ -493,7 +493,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256
     and, with ``keep_text``, kept: the bytes that remain."""
     src = _ordered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    common = docs.sparkSession.sparkContext.broadcast(common_grams(_sample(src), gram))
+    common = Shipped(docs.sparkSession, common_grams(_sample(src), gram))
     runs = src.select("did", "text").mapInPandas(_map_runs(length, gram, common), _RUNS)
     found = stage(runs.repartition("anchor").sortWithinPartitions("anchor", "content", "did", "start")
                   .mapInPandas(_meet(length), _FOUND), "found")

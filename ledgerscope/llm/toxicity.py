@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerscope.llm.common import utf8
+from ledgerscope.llm.common import Shipped, utf8
 
 MAX_DOCS = 4000
 MAX_CHARS = 20_000
@@ -172,7 +172,7 @@ def fit(rows, rate: float | None):
 
 def scorer(spark, model, slopes: np.ndarray, bias: float):
     """Pandas UDF text -> score; the model (bounded by the sample) is broadcast."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shipped(spark, model)
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: pd.Series) -> pd.Series:

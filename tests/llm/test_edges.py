@@ -157,3 +157,49 @@ def test_secrets_of_one_owner_in_many_documents(spark):
     assert all([(s["rank"], s["live"]) for s in r.spans] == [(0, r.doc_id == 99)] for r in got)
     texts = {r.doc_id: r.text for r in redact(df).collect()}
     assert texts[99] == "[SECRET]" and texts[3] == f"page 3 [EXAMPLE_SECRET] and {copied}Q"
+
+
+def test_secret_verdict_in_sql_counts_documents(spark):
+    """Owners and documents differ here: the SQL must follow both."""
+    import duckdb
+    from ledgerscope.llm.oracles import ORACLES
+    from ledgerscope.llm.secrets import scan_secrets
+    copied, own = "Zx9Qw8Er7Ty6Ui5Op4As3", "Mn1Bv2Cx3Za4Sd5Fg6Hj7"
+    rows = [(i, f"see {copied} here {i}", "hot") for i in range(5)] + [(9, f"key {own}", "hot"), (9, f"key {own}", "hot"), (10, own, "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    documents = df.toPandas()  # noqa: F841 - read by name
+    sql = sorted((r[0], r[5]) for r in duckdb.sql(ORACLES["op10_ownership_secrets"]).fetchall())
+    from ledgerscope.llm.secrets import listed
+    got = sorted((r.doc_id, r.spans) for r in scan_secrets(df).select("doc_id", listed(F.col("spans")).alias("spans")).collect())
+    assert got == sql and {s for i, s in got if i < 5} == {""} and all(s.startswith("live:") for i, s in got if i >= 9)
+
+
+def test_keep_one_with_one_id_first_of_two_components(spark):
+    from ledgerscope.llm.simhash import keep_one
+    a, b, c = ("red green blue yellow " * 9, "one two three four five " * 9, "north south east west " * 9)
+    rows = [(1, a), (1, a), (1, b), (1, b), (2, c), (3, c), (3, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in keep_one(df).collect()) == sorted([(1, a), (1, b), (2, c)])
+
+
+def test_planted_links_near_the_threshold(spark):
+    """Pairs just above and below cosine 0.95, with and without several leaves; each linked pair counts on both sides."""
+    import numpy as np
+    from ledgerscope.llm.cover_tree import embedding_groups
+    rng, rows, want = np.random.default_rng(11), [], {}
+    for k in range(60):
+        u = rng.normal(size=32)
+        u /= np.linalg.norm(u)
+        w = rng.normal(size=32)
+        w -= (w @ u) * u
+        w /= np.linalg.norm(w)
+        for j, cos in enumerate((1.0, 0.95 + 2e-6, 0.95 - 2e-6, 0.5)):
+            rows.append((4 * k + j, [float(x) for x in cos * u + np.sqrt(1 - cos * cos) * w]))
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links = (x @ x.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for leaf_rows in (4096, 20):
+        got = {r.vec_id: r for r in embedding_groups(df, leaf_rows=leaf_rows).collect()}
+        assert [got[i].n_links for i in range(len(rows))] == links.sum(axis=1).tolist()
+        assert all(got[4 * k + 1].component_id == 4 * k and got[4 * k].n_links >= 1 for k in range(60))
