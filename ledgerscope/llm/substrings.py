@@ -21,11 +21,12 @@ then emitted in order. A string is identified by the first word start inside it:
 neighbours in the array whose common prefix reaches its end, with equal bytes
 before that word start, are the same string; the earliest stays. Where a
 string's first 64 bytes hold no word end, its anchor's runs are sorted by bytes.
-Removed strings are verified byte by byte against the one that stays.
+What the sort removes is verified byte by byte against the string that stays; copies
+that hashing settles rest on 56 bits of content hash and the anchor.
 
-Order and defined cases: documents are ordered by doc_id; rows with a repeated
-or null doc_id come after all others, by id (nulls last) and content, and equal
-rows among them are one document (equal results). Null texts are empty; texts
+Order and defined cases: documents are ordered by doc_id, nulls last; rows that share
+an id are ordered by content, and equal ones among them are one document (equal
+results). Null texts are empty; texts
 under ``length`` bytes keep all; extra columns are ignored.
 """
 
@@ -44,6 +45,7 @@ from ledgerscope.llm.gsaca import suffix_array
 
 LENGTH = 100
 GRAM = 28
+RANKED = 1 << 62
 WORD_END = 64  # a word ends (a byte up to 0x20) among so many first bytes, or the anchor's runs are sorted by bytes
 PIECE = 1 << 19  # strings looked at together
 COMMON_DOCS = 20  # k-grams of so many sampled texts (and 1 % of them) are common
@@ -464,17 +466,16 @@ def _pack(texts: pd.Series) -> pd.Series:
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, did): did orders the documents; repeated and null ids get their own, after all others."""
-    odd = stage(docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select("doc_id"), "odd")
+    """(doc_id, text, did): did orders the documents. Where ids are null or repeated, documents are
+    the distinct (doc_id, text) by id, nulls last, and content; did is their rank, from ``RANKED`` on."""
+    odd = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
     if not odd.limit(1).count():
         return docs.withColumn("did", F.col("doc_id").cast("long"))
-    th = F.xxhash64(F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("__th", th)
-    again = keyed.join(odd.withColumnRenamed("doc_id", "__odd"), F.col("doc_id").eqNullSafe(F.col("__odd")), "left_semi") \
-        .select(F.col("doc_id").alias("__odd"), F.col("__th").alias("__oth")).distinct()
-    ranked = stage(running(again, [F.col("__odd").asc_nulls_last(), F.col("__oth")], {"__rank": F.lit(1).cast("long")}), "again")
-    return (keyed.join(ranked, F.col("doc_id").eqNullSafe(F.col("__odd")) & (F.col("__th") == F.col("__oth")), "left")
-            .select("doc_id", "text", F.coalesce(F.col("__rank") + (1 << 62), F.col("doc_id").cast("long")).alias("did")))
+    keyed = docs.withColumn("__th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    own = keyed.select(F.col("doc_id").alias("__own"), F.col("__th").alias("__oth")).distinct()
+    ranked = stage(running(own, [F.col("__own").asc_nulls_last(), F.col("__oth")], {"__rank": F.lit(1).cast("long")}), "ranked")
+    return (keyed.join(ranked, F.col("doc_id").eqNullSafe(F.col("__own")) & (F.col("__th") == F.col("__oth")))
+            .select("doc_id", "text", (F.col("__rank") + RANKED).alias("did")))
 
 
 def _sample(src: DataFrame) -> list:
@@ -502,7 +503,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .agg(F.collect_list(F.struct("anchor", "start", "stop")).alias("runs")))
     # One blob per document here: equal rows are one document and would only repeat each other's runs.
     texts = packed.select("did", "blob").join(open_, "did")
-    texts = texts.filter(F.col("did") < (1 << 62)).union(texts.filter(F.col("did") >= (1 << 62)).dropDuplicates(["did"]))
+    texts = texts.filter(F.col("did") < RANKED).union(texts.filter(F.col("did") >= RANKED).dropDuplicates(["did"]))
     sorted_ = stage(texts.mapInPandas(_cut_runs, "anchor long, did long, start long, bytes binary")
                     .repartition("anchor").sortWithinPartitions("anchor")
                     .mapInPandas(_sort_runs(length), "did long, start long, stop long"), "sorted")

@@ -44,6 +44,16 @@ def test_suffix_array_dedup(docs, empty):
     assert remove_repeats(empty).count() == 0
 
 
+def test_suffix_array_dedup_orders_repeated_ids(spark):
+    """A repeated id keeps its place: the passage stays in 5 and goes from 9 and from the null id."""
+    from ledgerscope.llm.substrings import remove_repeats
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(5, "first " + passage), (5, "other text"), (9, "ninth " + passage), (None, "none " + passage), (11, "x")]
+    got = {(r.doc_id, r.n_bytes): r.n_removed for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    size = len(passage) + 1  # with the space before it
+    assert got == {(5, 6 + size - 1): 0, (5, 10): 0, (9, 6 + size - 1): size, (None, 5 + size - 1): size, (11, 1): 0}
+
+
 def test_page_text(spark):
     from ledgerscope.llm.html_diff import extract_main_text
     html = "<html><body><nav>Menu</nav><article><p>Body &amp; soul</p></article></body></html>"
