@@ -42,33 +42,44 @@ from ledgerscope.llm.common import running, stage
 
 # Element names of HTML.
 DROPPED = frozenset("script style noscript template svg math iframe object head title nav header footer aside form "
-                    "button select textarea dialog menu label fieldset datalist canvas audio video".split())
+                    "button select textarea dialog menu fieldset datalist canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike "
                    "strong sub sup time tt u var wbr acronym".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dd dt td th figcaption".split())
-# Words of class, id and role attributes that name page furniture.
+STARTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())  # where furniture without an end tag ends
+# Class, id and role names of page furniture: one of these, or a compound of these and words of place.
 FURNITURE = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar aside widget ad ads "
     "advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup social share sharing related recommended "
     "comment comments reply replies respond disqus form search login pagination pager toolbar skip".split())
+PLACES = frozenset("site page global main primary secondary top bottom left right side inner outer bar box block area section "
+                   "container wrapper wrap list item items slot unit panel link links content body text row col icon icons button buttons btn "
+                   "trail post posts article articles stories user reader x".split())
 FEW = 0.05
-IN_ARTICLE = frozenset("comment comments reply ad ads advert promo related teaser sponsored".split())
+# Inside an article only these count, and never on its prose.
+IN_ARTICLE = frozenset("comment comments reply replies ad ads advert adverts advertisement promo promotion related teaser sponsored "
+                       "newsletter share sharing social".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|title|iframe)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|<[a-zA-Z/!][^<>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_SPLIT = re.compile(r"[^a-z]+")
+_SPLIT = re.compile(r"[-_]+|[0-9]+")
 
 
-def _furniture(tag: str, attrs: str) -> bool:
+def _names(token: str, names: frozenset) -> bool:
+    words = [w for w in _SPLIT.split(token) if w]
+    return any(w in names for w in words) and all(w in names or w in PLACES for w in words)
+
+
+def _furniture(tag: str, attrs: str, article: bool) -> bool:
     if tag in DROPPED:
         return True
-    if not attrs or tag in ("html", "body", "main"):
+    if not attrs or tag in ("html", "body", "main") or article and tag in PROSE:
         return False
-    names = IN_ARTICLE if tag == "article" else FURNITURE
-    return any(w in names for m in _ATTR.finditer(attrs) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
+    names = IN_ARTICLE if article or tag == "article" else FURNITURE
+    return any(_names(t, names) for m in _ATTR.finditer(attrs) for t in (m[1] or m[2] or m[3] or "").lower().split())
 
 
 def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
@@ -77,7 +88,10 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
         return []
     out: list[tuple[str, int, bool]] = []
     buf: list[str] = []
-    skip, depth, article, main, prose = "", 0, 0, 0, False
+    skip, depth, article, main, prose, open_ended = "", 0, 0, 0, False, False
+
+    def never_closed(name):
+        return page.find("</" + name, at) < 0 and page.find("</" + name.upper(), at) < 0
 
     def close():
         if buf:
@@ -96,7 +110,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             continue
         tag, end = tag.lower(), m[2] == "/"
         if skip:
-            if not end and tag in ("article", "main") and skip not in ("article", "main"):
+            if not end and (tag in ("article", "main") and skip not in ("article", "main") or open_ended and tag in STARTS):
                 skip, depth = "", 0  # furniture that was never closed ends where the main text begins
             elif tag == skip:
                 depth += -1 if end else 1
@@ -106,8 +120,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             else:
                 continue
         if tag in INLINE and tag != "img":
-            if not end and m[4] and tag in ("span", "a") and _furniture(tag, m[4]):
-                skip, depth = tag, 1
+            if not end and m[4] and tag in ("span", "a") and _furniture(tag, m[4], article > 0):
+                skip, depth, open_ended = tag, 1, never_closed(tag)
             continue
         if tag == "br":
             buf.append(" ")
@@ -117,8 +131,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             article -= tag == "article" and article > 0
             main -= tag == "main" and main > 0
             prose = False if tag in PROSE else prose
-        elif tag not in VOID and not m[4].endswith("/") and _furniture(tag, m[4]):
-            skip, depth = tag, 1
+        elif tag not in VOID and not m[4].endswith("/") and _furniture(tag, m[4], article > 0):
+            skip, depth, open_ended = tag, 1, never_closed(tag)
         else:
             article += tag == "article"
             main += tag == "main"
@@ -126,7 +140,9 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     if not skip and at < len(page):
         buf.append(page[at:])
     close()
-    level = max((b[1] for b in out), default=0)
+    # Main text beside articles that are shorter than it: these are teasers.
+    size = [sum(len(t) for t, inside, p in out if inside == k and (p or k == 2)) for k in range(3)]
+    level = 2 if size[2] and size[2] >= size[1] else max((b[1] for b in out if b[1] < 2), default=0)
     return [(t, bool(level), p) for t, inside, p in out if inside == level]
 
 

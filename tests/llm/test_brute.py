@@ -114,6 +114,19 @@ def test_page_differencing_tells_templates_from_copies(spark):
     assert all(got[i].startswith("Sentence 00 of") and got[i].count("Sentence") == 30 for i in (10, 11, 12))
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<main><h1>T</h1><p>Main text</p><article class='card'>Teaser</article></main>", "T Main text"),
+    ("<main><h1>T</h1><article><p>The long article text</p></article></main>", "The long article text"),
+    ("<article><p class='share-price'>Up</p><p class='form-of-address'>Sir</p><div class='related-work'>Others did</div>"
+     "<label>Name</label><div class='related-posts'>More</div><div class='post-comments'><p>Hi</p></div></article>", "Up Sir Others did Name"),
+    ("<body><nav><a>Home</a><ul><li>News</li></ul><h1>Title</h1><p>Body</p></body>", "Title Body"),
+    ("<body><NAV><p>Home</p></NAV><div class='site-footer'>Foot</div><div class='ad-300x250'>Buy</div><p>Body</p></body>", "Body"),
+    ("<body><div class='cookie-banner'>We use</div><form><label>Mail</label></form><p>Body</p></body>", "Body")])
+def test_page_furniture(page, text):
+    from ledgerscope.llm.html_diff import blocks
+    assert " ".join(t for t, _, _ in blocks(page)) == text
+
+
 def test_pages_keep_the_whole_article(spark):
     import html
     from ledgerscope.llm.queries import QUERIES
