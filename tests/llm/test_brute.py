@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -208,7 +209,6 @@ def test_pitman_yor_learns_bigrams_of_rare_words(spark):
 
 def test_seating_has_the_right_mean():
     """Mean tables of a Pitman-Yor restaurant of one dish under a certain parent: the number of classes in closed form."""
-    import numpy as np
     from ledgerscope.llm.pitman_yor import seat
     rng, d, th, n = np.random.default_rng(0), 0.5, 1.0, 500
     got = np.mean([seat(np.array([n]), np.ones(1), np.zeros(1), d, th, rng)[0] for _ in range(400)])
@@ -217,6 +217,36 @@ def test_seating_has_the_right_mean():
     assert abs(got - want) < 0.05 * want
 
 
+def _law(n, p, d, others, strength=1.0, most=None):
+    """The exact law of a dish's tables: Chinese restaurant weights of all seatings, summed step by step."""
+    most = most or n
+    t = np.arange(1, most + 1)
+    w = np.zeros(most)
+    w[0] = 1.0
+    for i in range(1, n):
+        new = (i - d * t) * w
+        new[1:] += w[:-1] * p * (strength + d * (others + t[:-1]))
+        w = new / new.sum()
+    return w
+
+
+@pytest.mark.parametrize("n, p, d, others", [
+    (5, .3, .5, 0), (3, 1.0, .7, 0), (50, .01, .5, 20), (200, .001, .8, 200), (10, 1e-4, .9, 500), (128, .6, .4, 30), (900, .02, .6, 40),
+    (3000, .3, .75, 400), (700, .9, .1, 10), (2500, 1e-6, .8, 90), (4000, .5, .9, 2000)])
+def test_seating_follows_the_exact_conditional(n, p, d, others):
+    from ledgerscope.llm.pitman_yor import seat
+    size = 20_000
+    got = seat(np.full(size, n), np.full(size, p), np.full(size, float(others)), d, 1.0, np.random.default_rng(4))
+    w, t = _law(n, p, d, others, most=min(n, 3000)), np.arange(1, min(n, 3000) + 1)
+    mean = (w * t).sum()
+    sd = math.sqrt((w * t * t).sum() - mean ** 2)
+    assert abs(got.mean() - mean) < 5 * sd / math.sqrt(size) + (0.02 * sd + 1 if mean > 60 else 1e-3 * mean), (got.mean(), mean, sd)
+    assert abs(got.std() - sd) < 0.05 * sd + 0.01
+    if mean < 40:
+        share = np.bincount(got.astype(int), minlength=n + 1)[1:len(w) + 1] / size
+        assert np.abs(share.cumsum() - w.cumsum()).max() < 0.02
+
+
 def test_wu_manber_blocks_agree(spark, texts):
     from ledgerscope.llm.decontaminate import with_hits, words_of
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
