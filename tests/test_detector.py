@@ -31,6 +31,44 @@ def test_iforest_isolates_an_outlier(spark):
     assert top["id"] == 999 and top["if_score"] == 1.0
 
 
+def test_forest_scores_follow_the_stored_nodes(features):
+    """Recursive SQL walks the stored node table for every row of the ledger: scores, offset, labels and flipped scores agree."""
+    duckdb = pytest.importorskip("duckdb")
+    cols = FE.feature_columns(features)
+    model = IF.fit_isolation_forest(features, "transaction_id", cols, n_estimators=20, contamination=0.03)
+    got = {r.transaction_id: r for r in IF.isolation_forest_scores(features, "transaction_id", cols, model=model)
+           .select("transaction_id", "if_raw", "if_label", "if_score").collect()}
+    x = features.select("transaction_id", *cols).toPandas()  # noqa: F841 (read by the SQL)
+    nodes = model.nodes  # noqa: F841
+    assert set(nodes["tree"]) == set(range(20)) and (nodes[nodes["node"] == 0].groupby("tree")["size"].sum() == model.psi).all()
+    scaled = ", ".join(f"(coalesce({c}::double, 0) - avg(coalesce({c}::double, 0)) over ()) / "
+                       f"coalesce(nullif(stddev_pop(coalesce({c}::double, 0)) over (), 0), 1)" for c in cols)
+    length = "CASE WHEN {0} > 2 THEN 2 * (ln({0} - 1) + 0.5772156649015329) - 2 * ({0} - 1) / {0} WHEN {0} = 2 THEN 1 ELSE 0 END"
+    want = duckdb.sql(f"""
+        WITH RECURSIVE z AS (SELECT transaction_id, [{scaled}] AS v FROM x),
+        walk AS (
+            SELECT z.transaction_id, n.tree, n.node, n.feature, n.threshold, n."left" AS l, n."right" AS r, n.size, n.depth
+            FROM z CROSS JOIN nodes n WHERE n.node = 0
+            UNION ALL
+            SELECT w.transaction_id, n.tree, n.node, n.feature, n.threshold, n."left", n."right", n.size, n.depth
+            FROM walk w JOIN z USING (transaction_id)
+            JOIN nodes n ON n.tree = w.tree AND n.node = CASE WHEN z.v[w.feature + 1] <= w.threshold THEN w.l ELSE w.r END
+            WHERE w.feature >= 0),
+        raw AS (
+            SELECT transaction_id, -power(2, -avg(depth + {length.format("size::double")}) / ({length.format(f"{model.psi}.0")})) AS s
+            FROM walk WHERE feature < 0 GROUP BY 1 HAVING count(*) = 20),
+        cut AS (SELECT quantile_cont(s, 0.03) AS q FROM raw)
+        SELECT transaction_id, s, q, (max(s) OVER () - s) / (max(s) OVER () - min(s) OVER ()) AS flipped FROM raw, cut""").fetchall()
+    assert len(want) == len(got) == features.count()
+    assert model.offset == pytest.approx(want[0][2], rel=1e-9)
+    near = 0
+    for i, s, q, flipped in want:
+        assert got[i].if_raw == pytest.approx(s, rel=1e-9) and got[i].if_score == pytest.approx(flipped, abs=1e-8)
+        near += abs(s - q) < 1e-9
+        assert abs(s - q) < 1e-9 or got[i].if_label == (-1 if s < q else 1)
+    assert near < 0.01 * len(want)
+
+
 def test_lof_range_and_outlier(spark):
     rng = np.random.default_rng(1)
     pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(400, 2)))]
