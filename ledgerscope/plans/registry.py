@@ -50,7 +50,8 @@ _VIEWS: dict = {}
 
 def views(spark: SparkSession, sf_dir: str):
     """(txn, acct) for a directory. The DataFrame objects (plans, not data)
-    are reused per session so footers are not re-read for every query."""
+    are reused per session so footers are not re-read for every query. They hold
+    their session, so its id is not given to another one."""
     key = (id(spark), sf_dir)
     if key not in _VIEWS:
         _VIEWS[key] = load_views(spark, sf_dir)

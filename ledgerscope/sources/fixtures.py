@@ -2,7 +2,7 @@
 
 ``events`` becomes the transfer ledger (one row per event) and
 ``customer`` joined to ``nation`` becomes the account dimension. The same
-derivations exist as SQL text in :mod:`ledgerscope.plans.oracle` so DuckDB can
+derivations exist as SQL text in :mod:`ledgerscope.plans.oracle_sql` so DuckDB can
 check our results on identical inputs.
 """
 
