@@ -68,6 +68,56 @@ def test_dbscan_border_takes_lowest_cluster(spark):
     assert lab[50] == (0, 0)
 
 
+def _plain_dbscan(ids, x, eps, min_samples):
+    """Labels by all pairs: components of core points in the order of their smallest id, borders to the lowest."""
+    d = np.zeros((len(x), len(x)))
+    for j in range(x.shape[1]):
+        d += (x[:, None, j] - x[None, :, j]) ** 2
+    near = np.sqrt(d) <= eps
+    core = near.sum(axis=1) >= min_samples
+    label, n = np.full(len(x), -1), 0
+    for s in sorted(np.flatnonzero(core), key=lambda i: ids[i]):
+        if label[s] < 0:
+            todo, label[s] = [s], n
+            while todo:
+                for j in np.flatnonzero(near[todo.pop()] & core & (label < 0)):
+                    label[j] = n
+                    todo.append(j)
+            n += 1
+    out = label.copy()
+    for i in np.flatnonzero(~core):
+        touched = label[near[i] & core]
+        out[i] = touched.min() if len(touched) else -1
+    return out, core
+
+
+def test_dbscan_equals_all_pairs(spark):
+    """Uneven density, copies, exact ties at eps and a crowded cell, with one cell and with many, whole and cut."""
+    rng = np.random.default_rng(11)
+    dense, loose = rng.normal(0, 0.15, size=(500, 3)), rng.normal(0, 2.0, size=(300, 3))
+    line = np.stack([3 + 0.25 * np.arange(60), np.full(60, 3.0), np.zeros(60)], axis=1)  # steps of exactly eps / 2
+    ring = np.stack([5 * np.cos(np.arange(250) / 40), 5 * np.sin(np.arange(250) / 40), rng.normal(0, 0.02, 250)], axis=1)
+    x = np.concatenate([dense, loose, line, ring, np.repeat([[9.0, 9.0, 9.0]], 30, axis=0), np.repeat([[-9.0, 0.0, 0.0]], 3, axis=0)])
+    ids = rng.permutation(len(x)) + 10
+    df = spark.createDataFrame([(int(i), *map(float, v)) for i, v in zip(ids, x)], "id long, a double, b double, c double")
+    want, core = _plain_dbscan(ids, x, 0.5, 5)
+    assert want.max() > 2 and (want == -1).any() and ((want >= 0) & ~core).any()
+    for cell_rows, chunk_rows in ((10 ** 6, 10 ** 6), (60, 10 ** 6), (300, 70)):
+        got = {r["id"]: (r["cluster"], r["is_core"], r["is_noise"]) for r in DB.dbscan(
+            df, "id", ["a", "b", "c"], 0.5, 5, scale=False, cell_rows=cell_rows, chunk_rows=chunk_rows).collect()}
+        assert got == {int(i): (int(w), int(k), int(w == -1)) for i, w, k in zip(ids, want, core)}
+
+
+def test_dbscan_odd_rows(spark):
+    """Rows without an id are clustered, rows with a missing or endless input are noise, no rows give none."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(None, 0.0, 0.0), (1, 0.0, -0.0), (1, 0.1, 0.0), (2, nan, 0.0), (3, None, 0.0), (4, inf, 0.0), (5, 7.0, 7.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = sorted(((r["id"] or 0), r["cluster"], r["is_core"]) for r in DB.dbscan(df, "id", ["a", "b"], 0.5, 3, scale=False).collect())
+    assert got == [(0, 0, 1), (1, 0, 1), (1, 0, 1), (2, -1, 0), (3, -1, 0), (4, -1, 0), (5, -1, 0)]
+    assert DB.dbscan(df.filter("false"), "id", ["a", "b"]).count() == 0
+
+
 def test_optimal_k_in_range(spark):
     df, cols = _blobs(spark, n=60)
     best, scores = CL.find_optimal_k(df, "id", cols, range(2, 5), n_init=1)
