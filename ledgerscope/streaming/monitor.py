@@ -9,8 +9,8 @@
   day are discarded. Spark's guarantee is one-directional: a row behind the
   watermark whose day is still open may still be counted.
 * E3 ``sender_gap_state``: seconds since the sender's previous transfer and
-  the rapid flag from per-sender state (last event time, transfers that wait
-  for the watermark). The result does not depend on how the input is cut into
+  the rapid flag from a stateful processor (last event time, transfers that wait
+  for the watermark by bucket of event time, timers). The result does not depend on how the input is cut into
   batches. State of a sender idle for ``state_ttl`` of event time is dropped.
 
 A stream that ends leaves what its last watermark has not passed: open days, waiting
@@ -19,12 +19,10 @@ transfers. :func:`close_daily_counts` and :func:`close_sender_gaps` finish such
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerscope.functions.exprs import (CASH_TYPES, RAPID_SECONDS, flag, is_night,
                                          is_round_amount, near_threshold)
@@ -77,57 +75,77 @@ def daily_alert_counts(df: DataFrame, watermark: str = "1 day", threshold: float
             .select(F.to_date(F.col("w.start")).alias("date"), "n_txns", "n_alerts"))
 
 
-GAP_STATE = "last_us long, us array<long>, ids array<{id}>"
-
-
-def sender_gap_state(df: DataFrame, watermark: str = "1 day", state_ttl_ms: int = 30 * 86_400_000) -> DataFrame:
+GAP_BUCKET_MS = 3_600_000
+
+
+class SenderGaps(StatefulProcessor):
+    """Gaps of one sender: waiting transfers in a map state by bucket of event time, the last emitted
+    time in a value state, one timer at the end of each bucket and one to forget an idle sender."""
+
+    def __init__(self, output: list[str], id_type: str, bucket_ms: int, ttl_ms: int):
+        self.output, self.id_type, self.bucket_ms, self.ttl_ms = output, id_type, bucket_ms, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "bucket long", f"us array<bigint>, ids array<{self.id_type}>")
+        self.last = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            us = pdf["timestamp"].astype("datetime64[us]").astype("int64")
+            for bucket, part in pdf.assign(us=us).groupby(us // 1000 // self.bucket_ms):
+                at = (int(bucket),)
+                old_us, old_ids = self.waiting.getValue(at) if self.waiting.containsKey(at) else ([], [])
+                self.waiting.updateValue(at, ([*old_us, *part["us"].tolist()], [*old_ids, *part["transaction_id"].tolist()]))
+                self.handle.registerTimer((int(bucket) + 1) * self.bucket_ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs()
+        last = self.last.get()[0] if self.last.exists() else None
+        buckets = sorted(k[0] for k in self.waiting.keys())
+        done = [b for b in buckets if (b + 1) * self.bucket_ms <= passed]
+        for b in done:  # one bucket in memory at a time
+            us, ids = self.waiting.getValue((b,))
+            order = sorted(range(len(us)), key=lambda i: (us[i], ids[i] is not None, ids[i]))
+            times = [us[i] for i in order]
+            before = [last, *times[:-1]]
+            last = times[-1]
+            self.waiting.removeKey((b,))
+            gaps = pd.Series([0.0 if p is None else (t - p) / 1e6 for t, p in zip(times, before)], dtype="float64")
+            yield pd.DataFrame({
+                "transaction_id": [ids[i] for i in order], "sender_account": [key[0]] * len(times),
+                "timestamp": pd.to_datetime(times, unit="us"), "time_since_last_txn": gaps,
+                "is_rapid": ((gaps > 0) & (gaps < RAPID_SECONDS)).astype("int32")})[self.output]
+        forget = None if last is None else last // 1000 + self.ttl_ms
+        if done:
+            self.last.update((last,))
+            self.handle.registerTimer(max(forget, passed + 1))
+        elif len(buckets) == 0 and forget is not None and forget <= passed:
+            self.last.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def sender_gap_state(df: DataFrame, watermark: str = "1 day", state_ttl_ms: int = 30 * 86_400_000,
+                     bucket_ms: int = GAP_BUCKET_MS) -> DataFrame:
     """Gap to the sender's previous transfer from per-sender state.
 
-    A sender's transfers wait in its state until the watermark passes them, are
-    then ordered by (event time, id) and emitted, so the result does not depend on
-    how the input falls into batches. Transfers later than the last watermark stay
-    in the state; ones older than it when they arrive are dropped by the watermark."""
-    id_type = df.schema["transaction_id"].dataType.simpleString()
-    who_type = df.schema["sender_account"].dataType.simpleString()
-    f = (df.select("transaction_id", "sender_account", F.col("timestamp").cast("timestamp").alias("timestamp"))
+    A sender's transfers wait in its state, by bucket of event time, until the watermark passes the
+    end of their bucket; the bucket is then ordered by (event time, id) and emitted, so the result does
+    not depend on how the input falls into batches, and a busy sender's backlog is read a bucket at a time.
+    Transfers in later buckets stay in the state; ones older than the watermark when
+    they arrive are dropped by it, ones without a time too. Needs the state store of :func:`run_to_table`."""
+    fields = {"transaction_id": df.schema["transaction_id"].dataType.simpleString(),
+              "sender_account": df.schema["sender_account"].dataType.simpleString(),
+              "timestamp": "timestamp", "time_since_last_txn": "double", "is_rapid": "int"}
+    f = (df.filter(F.col("timestamp").isNotNull())
+         .select("transaction_id", "sender_account", F.col("timestamp").cast("timestamp").alias("timestamp"))
          .withWatermark("timestamp", watermark))
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        last, us, ids = state.get if state.exists else (None, [], [])
-        us, ids = list(us), list(ids)
-        for pdf in batches:
-            us += pdf["timestamp"].astype("datetime64[us]").astype("int64").tolist()
-            ids += pdf["transaction_id"].tolist()
-        if state.hasTimedOut and not us:
-            state.remove()
-            return
-        passed = state.getCurrentWatermarkMs() * 1000
-        order = sorted(range(len(us)), key=lambda i: (us[i], ids[i]))
-        out = [i for i in order if us[i] < passed]
-        wait = [i for i in order if us[i] >= passed]
-        gaps = []
-        for i in out:
-            gaps.append(0.0 if last is None else (us[i] - last) / 1e6)
-            last = us[i]
-        state.update((last, [us[i] for i in wait], [ids[i] for i in wait]))
-        # Wake when the watermark passes the earliest waiting row, or to forget an idle sender.
-        wake = us[wait[0]] // 1000 + 1 if wait else (last if last is not None else passed) // 1000 + state_ttl_ms
-        state.setTimeoutTimestamp(max(int(wake), state.getCurrentWatermarkMs() + 1))
-        if not out:
-            return
-        g = pd.Series(gaps, dtype="float64")
-        yield pd.DataFrame({
-            "transaction_id": [ids[i] for i in out],
-            "sender_account": [key[0]] * len(out),
-            "timestamp": pd.to_datetime([us[i] for i in out], unit="us"),
-            "time_since_last_txn": g,
-            "is_rapid": ((g > 0) & (g < RAPID_SECONDS)).astype("int32"),
-        })
-
-    output = (f"transaction_id {id_type}, sender_account {who_type}, timestamp timestamp, "
-              "time_since_last_txn double, is_rapid int")
-    return f.groupBy("sender_account").applyInPandasWithState(
-        step, output, GAP_STATE.format(id=id_type), "append", GroupStateTimeout.EventTimeTimeout)
+    return f.groupBy("sender_account").transformWithStateInPandas(
+        SenderGaps(list(fields), fields["transaction_id"], bucket_ms, state_ttl_ms),
+        ", ".join(f"{k} {v}" for k, v in fields.items()), "Append", "EventTime")
 
 
 def _closing_time(df: DataFrame, watermark: str):
@@ -146,23 +164,36 @@ def close_daily_counts(emitted: DataFrame, df: DataFrame, watermark: str = "1 da
         F.count(F.lit(1)).alias("n_txns"), F.sum("row_alert").cast("long").alias("n_alerts")))
 
 
-def close_sender_gaps(emitted: DataFrame, df: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """E3 completed at the end of a run: transfers that still wait behind the last watermark get their
-    gaps as a batch (the W3 pass, which splits a hot sender by day). Each sender's last emitted
+def close_sender_gaps(emitted: DataFrame, df: DataFrame, watermark: str = "1 day",
+                      bucket_ms: int = GAP_BUCKET_MS) -> DataFrame:
+    """E3 completed at the end of a run: transfers in buckets that the last watermark has not passed get
+    their gaps as a batch (the W3 pass, which splits a hot sender by day). Each sender's last emitted
     transfer goes in with them, so the gap of its first waiting one is right."""
-    rest = df.filter(F.col("timestamp").cast("timestamp") >= _closing_time(df, watermark)).select(
+    ends = F.floor(F.unix_millis(F.col("timestamp").cast("timestamp")) / F.lit(bucket_ms)) * F.lit(bucket_ms) + F.lit(bucket_ms)
+    rest = df.filter(F.timestamp_millis(ends) > _closing_time(df, watermark)).select(
         "transaction_id", "sender_account", F.col("timestamp").cast("timestamp").alias("timestamp"), F.lit(False).alias("_done"))
     done = emitted.groupBy("sender_account").agg(F.max("timestamp").alias("timestamp"), F.max("transaction_id").alias("transaction_id"))
     both = rest.unionByName(done.withColumn("_done", F.lit(True))).withColumn("amount", F.lit(None).cast("double"))
-    # Emitted transfers come first at equal times: waiting ones are at or after the last watermark.
+    # Emitted transfers lie in earlier buckets than the waiting ones.
     gaps = time_features(both.withColumn("_order", F.struct(~F.col("_done"), "transaction_id")), id_col="_order")
     return emitted.unionByName(gaps.filter(~F.col("_done")).select(*emitted.columns))
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataFrame:
-    """Run a stream to completion over the input available now (append mode,
-    file sink with its own checkpoint) and return the sink as a batch frame."""
-    q = (stream.writeStream.format(fmt).outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
-    q.awaitTermination()
+    """Run a stream to completion over the input available now (append mode, file sink with its own
+    checkpoint) and return the sink as a batch frame. State is kept in RocksDB, which
+    stateful processors need; the session's own choice is put back."""
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        q = (stream.writeStream.format(fmt).outputMode("append")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+        q.awaitTermination()
+    finally:
+        conf.set(STATE_STORE, before)
     return stream.sparkSession.read.format(fmt).load(path)

@@ -50,13 +50,54 @@ def test_gap_state_does_not_depend_on_batches(spark):
         closed = {r.transaction_id: r.time_since_last_txn for r in ends}
         assert len(ends) == len(closed) == len(want) and all(abs(closed[k] - want[k]) < 1e-6 for k in want)
         missing = set(want) - set(g)
-        if all_of_it:  # only what reached the final watermark may still wait
-            last = txn.agg(F.max("timestamp")).first()[0]
+        if all_of_it:  # only the hour that the final watermark has not passed may still wait
+            last = txn.agg(F.max("timestamp")).first()[0].replace(minute=0, second=0, microsecond=0)
             assert missing <= {r.transaction_id for r in txn.filter(F.col("timestamp") >= F.lit(last)).collect()}
         else:
             assert len(missing) < len(want) / 2
 
 
+def _gap_run(spark, files, delay="0 seconds", **options):
+    """Transfers (id, sender, milliseconds or None), one file a batch: (emitted, closed, batch frame)."""
+    src, out = tempfile.mkdtemp(prefix="ledgerscope-gap-src-"), tempfile.mkdtemp(prefix="ledgerscope-gap-out-")
+    schema = "transaction_id long, sender_account long, ms long"
+    typed = lambda df: df.select("transaction_id", "sender_account", F.timestamp_millis("ms").alias("timestamp"))
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/f={i:03d}")
+        for f in os.listdir(f"{src}/f={i:03d}"):
+            os.utime(f"{src}/f={i:03d}/{f}", (3_000_000 + i, 3_000_000 + i))
+    stream = typed(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*"))
+    emitted = ST.run_to_table(ST.sender_gap_state(stream, delay, **options), f"{out}/o", f"{out}/c")
+    batch = typed(spark.createDataFrame([r for rows in files for r in rows], schema))
+    gaps = lambda df: {r.transaction_id: r.time_since_last_txn for r in df.collect()}
+    closed = ST.close_sender_gaps(emitted, batch, delay)
+    assert closed.count() == len(gaps(closed))
+    return gaps(emitted), gaps(closed)
+
+
+def test_gap_state_at_the_end_of_a_bucket(spark):
+    """A last watermark just before, at and just after the end of an hour: each transfer comes out once. A sender
+    without a name is one sender, a transfer without a time is left out."""
+    hour = 3_600_000
+    for over in (-1, 0, 1):
+        first = [(1, 7, 10 * hour - 5000), (2, 7, 10 * hour - 1), (3, None, 10 * hour - 9000), (4, 7, None)]
+        later = [(5, 7, 10 * hour + over), (6, None, 10 * hour - 3000)]
+        emitted, closed = _gap_run(spark, [first, later])
+        assert closed == {1: 0.0, 2: 4.999, 5: (1 + over) / 1000, 3: 0.0, 6: 6.0}
+        assert set(emitted) <= {1, 2, 3, 6} and (over < 0) == (not emitted)
+
+
+def test_gap_state_forgets_an_idle_sender(spark):
+    """Past the time to live a sender starts anew; one seen again earlier keeps its last transfer."""
+    day = 86_400_000
+    files = [[(1, 1, day), (2, 2, day)], [(3, 2, 3 * day)], [(4, 3, 8 * day)], [(5, 3, 9 * day)],
+             [(6, 1, 10 * day), (7, 2, 10 * day)], [(8, 3, 30 * day)], [(9, 4, 31 * day)]]
+    emitted, _ = _gap_run(spark, files, state_ttl_ms=4 * day)
+    assert emitted[3] == 2 * 86_400.0 and emitted[6] == 0.0 and emitted[7] == 0.0
+    emitted, _ = _gap_run(spark, files, state_ttl_ms=20 * day)
+    assert emitted[6] == 9 * 86_400.0 and emitted[7] == 7 * 86_400.0
+
+
 def test_row_rules_stream_equals_batch(spark):
     out_dir = tempfile.mkdtemp(prefix="ledgerscope-stream-rr-")
     s = ST.read_transfer_stream(spark, f"{SF_SMALL}/events.parq[u]et")
