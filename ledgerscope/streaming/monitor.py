@@ -135,8 +135,8 @@ def sender_gap_state(df: DataFrame, watermark: str = "1 day", state_ttl_ms: int
     A sender's transfers wait in its state, by bucket of event time, until the watermark passes the
     end of their bucket; the bucket is then ordered by (event time, id) and emitted, so the result does
     not depend on how the input falls into batches, and a busy sender's backlog is read a bucket at a time.
-    Transfers in later buckets stay in the state; ones older than the watermark when
-    they arrive are dropped by it, ones without a time too. Needs the state store of :func:`run_to_table`."""
+    Transfers in later buckets stay in the state; ones at or before the watermark when they arrive are
+    dropped by it (it starts at 1970, so earlier times never count), ones without a time too. Needs the state store of :func:`run_to_table`."""
     fields = {"transaction_id": df.schema["transaction_id"].dataType.simpleString(),
               "sender_account": df.schema["sender_account"].dataType.simpleString(),
               "timestamp": "timestamp", "time_since_last_txn": "double", "is_rapid": "int"}
