@@ -3,8 +3,10 @@
 The self-joins are band joins on time. Each carries an equi-key of
 (account, time bucket) with the bucket as wide as the time band, and one side
 is exploded to the neighbouring bucket(s), so a partner can only be found in a
-task that holds transfers close in time. Thresholds default to the shapes the
-reference plants in its synthetic ledger; all are arguments.
+task that holds transfers close in time. Spark's size estimates do not see the
+explode, so the joins ask for a sort-merge join: the copied ledger is never
+broadcast. Thresholds default to the shapes the reference plants in its synthetic
+ledger; all are arguments.
 """
 
 from __future__ import annotations
@@ -85,7 +87,7 @@ def _next_hop(cur: DataFrame, e: DataFrame, band: float, span_us: int, ordered:
            .select(F.col("transaction_id").alias("_txn"), F.col("src").alias("_src"), F.col("dst").alias("_dst"),
                    F.col("us").alias("_us"), F.col("amount").alias("_amt"), F.col("tb").alias("_ntb"), F.col("ab").alias("_nab"),
                    "_nb", "_na"))
-    j = cur.join(nxt, (cur["_end"] == nxt["_src"]) & (cur["_tb"] == nxt["_nb"]) & (cur["_ab"] == nxt["_na"]))
+    j = cur.join(nxt.hint("merge"), (cur["_end"] == nxt["_src"]) & (cur["_tb"] == nxt["_nb"]) & (cur["_ab"] == nxt["_na"]))
     us_min, us_max = F.least("_us_min", "_us"), F.greatest("_us_max", "_us")
     lo, hi = F.least("min_amount", "_amt"), F.greatest("max_amount", "_amt")
     cond = (us_max - us_min <= span_us) & (lo >= F.lit(band) * hi) & ~F.array_contains(F.col("accounts"), F.col("_dst"))
@@ -165,7 +167,7 @@ def round_trips(df: DataFrame, min_delay_days: float = ROUND_TRIP_MIN_DAYS,
     back = e.select(F.col("transaction_id").alias("back_txn"), F.col("src").alias("_bsrc"),
                     F.col("dst").alias("_bdst"), F.col("us").alias("_us_b"),
                     F.col("amount").alias("_amt_b"), F.col("tb").alias("_tbb"))
-    j = out.join(back, (out.account_b == back._bsrc) & (out.account_a == back._bdst)
+    j = out.join(back.hint("merge"), (out.account_b == back._bsrc) & (out.account_a == back._bdst)
                  & (out._nb == back._tbb))
     d = F.col("_us_b") - F.col("_us_a")
     j = j.filter((d >= lo_us) & (d <= hi_us)

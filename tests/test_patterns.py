@@ -27,6 +27,14 @@ def test_layering_lengths_in_one_pass(spark):
     assert len({tuple(r.txns) for r in got}) == len(got) and all(len(set(r.accounts)) == r.hops + 1 for r in got)
 
 
+def test_exploded_sides_are_never_broadcast(spark):
+    df = txn_frame(spark, [(i, f"2024-01-01 10:{i:02d}:00", i, i + 1, 100000.0 - i) for i in range(1, 8)])
+    for found in (PT.layering_chains(df, hops=3), PT.round_trips(df)):
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_round_trip(spark):
     df = txn_frame(spark, [
         (1, "2024-01-01 00:00:00", 1, 2, 50000.0), (2, "2024-01-04 00:00:00", 2, 1, 49000.0),
