@@ -49,5 +49,7 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
     s = RU.rule_scores(s)
     s = EN.combine_scores(s, {"isolation_forest": "if_score", "lof": "lof_score",
                               "rules": "rule_score"}, weights, threshold)
+    # K-Means reads its input twice and the output once more: the joins run once.
+    s = pin(s.select(*dict.fromkeys([c for c in OUTPUT_COLUMNS if c in s.columns] + cols)))
     s, _km = CL.kmeans(s, cols, k=n_clusters, seed=seed, n_init=km_n_init, out="km_cluster")
     return s.select(*[c for c in OUTPUT_COLUMNS if c in s.columns])

@@ -1,6 +1,8 @@
 """Clustering, silhouette, DBSCAN, quantiles and sequential ids."""
 
 import numpy as np
+from pyspark import RDD
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from ledgerscope.operators import clustering as CL
@@ -29,6 +31,22 @@ def test_kmeans_finds_three_blobs(spark):
     assert CL.cluster_summary(lab, cols).count() == 3
 
 
+def test_kmeans_starts_share_passes(spark, monkeypatch):
+    """Every start ends where Spark's own fit of its seed ends; the passes are those of the longest fit."""
+    df, cols = _blobs(spark, n=400)
+    x = CL._assemble(CL.standardize(df, cols)[0], cols).select("_features").cache()
+    want = [KMeans(k=5, seed=42 + i, maxIter=300, featuresCol="_features").fit(x) for i in range(4)]
+    fits, passes, lloyd, collect = [], [], CL._lloyd, RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda rdd: passes.append(1) or collect(rdd))
+    monkeypatch.setattr(CL, "_lloyd", lambda *a: fits.extend(lloyd(*a)) or fits)
+    _, best = CL.kmeans(df, cols, k=5, n_init=4)
+    assert [f.numIter for f in fits] == [m.summary.numIter for m in want]
+    assert np.allclose([f.trainingCost for f in fits], [m.summary.trainingCost for m in want])
+    assert all(np.allclose(f.clusterCenters(), m.clusterCenters()) for f, m in zip(fits, want))
+    assert len(passes) == max(f.numIter for f in fits) and best.trainingCost == min(f.trainingCost for f in fits)
+    x.unpersist()
+
+
 def test_silhouette_matches_brute_force(spark):
     df, cols = _blobs(spark, n=60, dims=3)
     got = CL.silhouette(df, "id", cols, "truth", block_rows=50).first()["silhouette"]
