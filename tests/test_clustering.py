@@ -47,6 +47,22 @@ def test_kmeans_starts_share_passes(spark, monkeypatch):
     x.unpersist()
 
 
+def test_kmeans_pass_is_one_task_a_core(spark, monkeypatch):
+    """However the input is dealt, a pass has one task a core; equal centres tie to the first, a row that is no number goes to the first, too."""
+    df, cols = _blobs(spark, n=100)
+    tasks, lloyd = [], CL._lloyd
+    monkeypatch.setattr(CL, "_lloyd", lambda b, *a: tasks.append(b.getNumPartitions()) or lloyd(b, *a))
+    CL.kmeans(df.repartition(40), cols, k=3, n_init=1)
+    assert tasks == [spark.sparkContext.defaultParallelism]
+    x = np.array([[0.0, 0.0], [0.0, 2.0], [10.0, 0.0], [10.0, 2.0]])
+    start = np.array([[0.0, 1.0], [0.0, 1.0], [9.0, 1.0]])
+    fit, = lloyd(spark.sparkContext.parallelize([x.tobytes()]), [start], 1, 1e-4)
+    assert np.allclose(fit.centres, [[0.0, 1.0], [0.0, 1.0], [10.0, 1.0]]) and np.isclose(fit.trainingCost, 1 + 1 + 2 + 2)
+    odd = np.array([[0.0, 0.0], [np.nan, 1.0]])
+    fit, = lloyd(spark.sparkContext.parallelize([odd.tobytes()]), [start[1:]], 1, 1e-4)
+    assert np.isnan(fit.centres[0]).any() and np.array_equal(fit.centres[1], start[2])
+
+
 def test_silhouette_matches_brute_force(spark):
     df, cols = _blobs(spark, n=60, dims=3)
     got = CL.silhouette(df, "id", cols, "truth", block_rows=50).first()["silhouette"]
