@@ -4,6 +4,8 @@
 import os
 import tempfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -127,3 +129,98 @@ def test_daily_counts_drop_late_rows(spark):
     out = tempfile.mkdtemp(prefix="ledgerscope-stream-late-out-")
     got = {r.date: r.n_txns for r in ST.run_to_table(ST.daily_alert_counts(stream), f"{out}/o", f"{out}/c").collect()}
     assert got[days[0]] == parts[0].count()  # the late copy was not counted
+
+
+class _Store:
+    """Stand-in for a sender's state handle that counts its calls."""
+
+    def __init__(self):
+        self.data, self.timers, self.calls = {}, set(), 0
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return _Last()
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    def keys(self):
+        self.calls += 1
+        return list(self.data)
+
+    def containsKey(self, at):
+        self.calls += 1
+        return at in self.data
+
+    def getValue(self, at):
+        self.calls += 1
+        return self.data[at]
+
+    def updateValue(self, at, value):
+        self.calls += 1
+        self.data[at] = value
+
+    def removeKey(self, at):
+        self.calls += 1
+        del self.data[at]
+
+
+class _Last:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class _Passed:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _gap_state(**sizes):
+    state, store = ST.SenderGaps(["transaction_id", "timestamp", "time_since_last_txn"], "bigint", 3_600_000, 10 ** 9, **sizes), _Store()
+    state.init(store)
+    return state, store
+
+
+def _arrive(state, rows):
+    state.handleInputRows((7,), iter([pd.DataFrame({"transaction_id": [i], "timestamp": pd.to_datetime([ms], unit="ms")}) for i, ms in rows]), None)
+
+
+def test_gap_state_calls_do_not_grow_with_hours():
+    """A sender with a transfer an hour costs a few state calls and one timer, and comes out in one frame."""
+    state, store = _gap_state()
+    _arrive(state, [(i, i * 3_600_000 + 5) for i in range(500)])
+    assert len(store.timers) == 1 and store.calls <= 5
+    out = list(state.handleExpiredTimer((7,), _Passed(400 * 3_600_000), None))
+    assert [f["transaction_id"].tolist() for f in out] == [list(range(400))]
+    assert out[0]["time_since_last_txn"].tolist() == [0.0] + [3600.0] * 399 and store.calls <= 15
+    assert 401 * 3_600_000 in store.timers and sum(len(us) for us, _ in store.data.values()) == 100
+
+
+def test_gap_state_pages_of_several_arrivals():
+    """Pages that overlap, crowded hours and ties come out once, in order, whatever the sizes and the watermarks."""
+    rng = np.random.default_rng(3)
+    ms = rng.integers(0, 40 * 3_600_000, 300) // 60_000 * 60_000  # ties
+    ms[:80] = 5 * 3_600_000 + ms[:80] % 3_600_000
+    want = sorted(zip(ms.tolist(), range(300)))
+    for page, flush in ((1, 1), (7, 20), (50, 33), (4096, 1_000_000)):
+        state, store = _gap_state(page_rows=page, flush_rows=flush)
+        for a in range(0, 300, 75):
+            _arrive(state, [(i, ms[i]) for i in range(a, a + 75)])
+        out = [f for h in (3, 4.5, 6, 6, 25, 40) for f in state.handleExpiredTimer((7,), _Passed(int(h * 3_600_000)), None)]
+        got = pd.concat(out)
+        assert got["transaction_id"].tolist() == [i for _, i in want] and not store.data
+        assert np.allclose(got["time_since_last_txn"], np.diff([t for t, _ in want], prepend=want[0][0]) / 1000)
