@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerscope.operators import metric_index as MI
 from ledgerscope.operators import ensemble as EN
 from ledgerscope.operators import evaluate as EV
 from ledgerscope.operators import features as FE
@@ -202,3 +203,21 @@ def test_alert_volume_monotone(spark):
     n = [r.n_alerts for r in v]
     assert n == sorted(n, reverse=True)
     assert abs(v[0].daily_alerts_est - n[0] / 365) < 1e-12
+
+
+def test_search_reuses_its_products(monkeypatch):
+    """Distance products of a search lie in one scratch array, and the answer is that of all pairs, crowded leaves included."""
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(MI, "REF_BLOCK", 300)
+    ref = np.concatenate([rng.normal(size=(1500, 6)), np.repeat(rng.normal(size=(1, 6)), 500, axis=0)])
+    q = np.concatenate([rng.normal(size=(400, 6)), ref[1490:1510]])
+    own = np.concatenate([np.full(400, -1), np.arange(1490, 1510)])
+    at, dot = set(), np.matmul
+    monkeypatch.setattr(MI.np, "matmul", lambda a, b, out: at.add(out.ctypes.data) or dot(a, b, out=out))
+    i, d2, code = MI.search(MI.build(ref, np.arange(len(ref))), q, own, 5)
+    assert 1 <= len(at) <= 6  # the scratch array, and one for each visit to the leaf that it cannot hold
+    far = MI.exact_squared(np.repeat(q, len(ref), axis=0), np.tile(ref, (len(q), 1))).reshape(len(q), -1)
+    far[np.arange(400, 420), own[400:]] = np.inf
+    want = np.argsort(far, axis=1, kind="stable")[:, :5]
+    assert np.array_equal(code.reshape(-1, 5), want) and np.array_equal(i.reshape(-1, 5)[:, 0], np.arange(len(q)))
+    assert np.array_equal(d2.reshape(-1, 5), np.take_along_axis(far, want, axis=1))
