@@ -6,6 +6,8 @@ recomputing its shuffles for each would multiply the cost."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +37,18 @@ def score_transactions(txn: DataFrame, *, id_col: str = "transaction_id", n_esti
     f = pin(FE.engineer_all_features(txn))
     cols = FE.feature_columns(f)
 
-    # Forest: fitted on standardised inputs, scored in Arrow batches (narrow).
-    s = IF.isolation_forest_scores(f, id_col, cols, n_estimators, contamination, seed).drop("if_raw", "if_label")
+    # The detectors only share the pinned features: their jobs run side by side, one's short steps beside another's
+    # long ones. Forest: fitted on standardised inputs, scored in Arrow batches (narrow). LOF is fitted on at most
+    # ``lof_sample`` rows and scores every row; DBSCAN clusters every row.
+    inputs = f.select(id_col, *cols)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        forest = pool.submit(IF.isolation_forest_scores, f, id_col, cols, n_estimators, contamination, seed)
+        lof = pool.submit(LO.sampled_lof, inputs, id_col, cols, lof_sample, seed, lof_k, contamination)
+        db = pool.submit(DB.dbscan, inputs, id_col, cols, dbscan_eps, dbscan_min_samples)
+        s, lof, db = forest.result().drop("if_raw", "if_label"), lof.result(), db.result()
 
-    # LOF is fitted on at most ``lof_sample`` rows and scores every row; DBSCAN clusters every row.
-    lof = LO.sampled_lof(f.select(id_col, *cols), id_col, cols, lof_sample, seed, lof_k, contamination)
     # A transfer without an id keeps its row: it can be matched with nothing and scores 0.
     s = attach_sampled(s, lof.filter(F.col(id_col).isNotNull()), "lof_score", 0.0, id_col)
-    db = DB.dbscan(f.select(id_col, *cols), id_col, cols, dbscan_eps, dbscan_min_samples)
     s = attach_sampled(s, db.filter(F.col(id_col).isNotNull()).select(id_col, F.col("cluster").alias("db_cluster")),
                        "db_cluster", DB.NOT_SAMPLED, id_col)
 

@@ -221,3 +221,20 @@ def test_search_reuses_its_products(monkeypatch):
     want = np.argsort(far, axis=1, kind="stable")[:, :5]
     assert np.array_equal(code.reshape(-1, 5), want) and np.array_equal(i.reshape(-1, 5)[:, 0], np.arange(len(q)))
     assert np.array_equal(d2.reshape(-1, 5), np.take_along_axis(far, want, axis=1))
+
+
+@pytest.mark.parametrize("make, single", [(lambda x: x, True), (lambda x: np.concatenate([x, x[:9] + 1e7]), False), (lambda x: x * 1e-25, False),
+                                          (lambda x: x * 1e18, False), (lambda x: np.repeat(x[::40], 40, axis=0), False)])
+def test_search_screens_in_single_precision(monkeypatch, make, single):
+    """Products are single where their rounding is small beside the distances, double otherwise; the answer is that of all pairs."""
+    monkeypatch.setattr(MI, "REF_BLOCK", 300)
+    x = make(np.random.default_rng(9).normal(size=(2400, 6)))
+    q, own, kinds, dot = x[-300:], np.arange(len(x) - 300, len(x)), set(), np.matmul
+    monkeypatch.setattr(MI.np, "matmul", lambda a, b, out: kinds.add(out.dtype.itemsize) or dot(a, b, out=out))
+    i, d2, code = MI.search(MI.build(x, np.arange(len(x))), q, own, 5)
+    assert (4 in kinds) == single and 8 in kinds
+    far = MI.exact_squared(np.repeat(q, len(x), axis=0), np.tile(x, (len(q), 1))).reshape(len(q), -1)
+    far[np.arange(300), own] = np.inf
+    want = np.argsort(far, axis=1, kind="stable")[:, :5]
+    assert np.array_equal(code.reshape(-1, 5), want)
+    assert np.array_equal(d2.reshape(-1, 5), np.take_along_axis(far, want, axis=1))

@@ -66,3 +66,24 @@ def test_kmeans_rows_sit_at_their_nearest_centre(spark):
     assert np.allclose([z[own == k].mean(0) for k in range(3)], centres, atol=1e-2)
     one = min(CL.kmeans(df, ["a", "b", "c"], k=3, seed=42 + i, n_init=1)[1].summary.trainingCost for i in range(3))
     assert model.summary.trainingCost == pytest.approx(one)
+
+
+def test_detectors_run_side_by_side(ledger, monkeypatch):
+    """Forest, LOF and DBSCAN have all begun before any of them ends."""
+    from threading import Barrier
+
+    from ledgerscope.plans import scoring as SC
+
+    class Together(Exception):
+        pass
+
+    begun = Barrier(3)
+
+    def detector(*args, **kwargs):
+        begun.wait(30)
+        raise Together
+
+    for module, name in ((SC.IF, "isolation_forest_scores"), (SC.LO, "sampled_lof"), (SC.DB, "dbscan")):
+        monkeypatch.setattr(module, name, detector)
+    with pytest.raises(Together):
+        score_transactions(ledger[0])
