@@ -207,6 +207,17 @@ def test_pitman_yor_learns_bigrams_of_rare_words(spark):
     assert sum(g > 1 for g in gain) >= 57
 
 
+def test_pitman_yor_sweeps_keep_one_table(spark, tmp_path, monkeypatch):
+    """A sweep over the class words removes the table of the sweep before it."""
+    from ledgerscope.llm import common
+    from ledgerscope.llm.pitman_yor import Lexicon, fit_class_words
+    monkeypatch.setattr(common, "checkpoint_dir", lambda spark: str(tmp_path))
+    lex = Lexicon([b"the", b"cat", b"dog", b"bird"], np.array([9.0, 4.0, 3.0, 2.0]), 1)
+    words, cls = fit_class_words(spark.createDataFrame([(1, 4), (2, 3), (3, 2)], "w long, c long"), common.Shipped(spark, lex), 5, 2, 1.0, 7)
+    assert len(list(tmp_path.glob("class-words-*"))) == 1
+    assert sorted(r.w for r in words.collect()) == [1, 2, 3] and cls["c"].sum() == 9
+
+
 def test_seating_has_the_right_mean():
     """Mean tables of a Pitman-Yor restaurant of one dish under a certain parent: the number of classes in closed form."""
     from ledgerscope.llm.pitman_yor import seat
