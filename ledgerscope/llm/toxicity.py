@@ -32,6 +32,7 @@ from ledgerscope.llm.common import Shipped, utf8
 
 MAX_DOCS = 4000
 MAX_CHARS = 20_000
+CHUNK = 200_000  # ids worked on at once
 THRESHOLD = 0.7
 D_SHARED = 0.75
 MARKED = 3.0  # log-likelihood ratio from which a word is marked
@@ -48,8 +49,8 @@ def fold(id_col):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, max_docs: int, max_chars: int):
-    """Rows (text, y) per class in hash order, and the share of label 1 among all
-    training labels. Both are bounded: 2 * max_docs rows, one number."""
+    """(vocab, texts, y, rate): the sample's texts per class in hash order as ids of ``vocab``, their
+    labels, and the share of label 1 among all training labels. Bounded: 2 * max_docs texts, one number."""
     clean = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("__y2")).filter("y = __y2")
              .filter(fold(F.col("doc_id")) != 1).select("doc_id", "y"))
@@ -57,21 +58,61 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, max_docs: in
     narrow = docs.select("doc_id").filter(F.length(F.coalesce("text", F.lit(""))) <= max_chars).join(clean, "doc_id").distinct()
     picked = [r for y in (0, 1) for r in narrow.filter(F.col("y") == y)
               .orderBy(F.xxhash64(F.col("doc_id"), F.lit(17)), "doc_id").limit(max_docs).collect()]
-    y_of = {r.doc_id: r.y for r in picked}
-    return [{"text": t, "y": y_of[i]} for i, t in texts_of(docs, list(y_of), max_chars)], rate
+    vocab, texts = {}, [None] * len(picked)
+    if picked:
+        # Arrow holds all texts in a few buffers; only one at a time becomes Python words.
+        for batch in _wanted(docs, [r.doc_id for r in picked], max_chars).toArrow().to_batches(1000):
+            for at, text in zip(batch.column("at").to_pylist(), batch.column("text")):
+                texts[at] = learn(text.as_py(), vocab)
+    return vocab, texts, np.array([r.y for r in picked], int), rate
+
+
+def _wanted(docs: DataFrame, ids: list, max_chars: int) -> DataFrame:
+    """(at, text) of the given ids (a bounded list, so they are broadcast and no text is shuffled),
+    ``at`` the place in the list; of rows with one id the smallest text."""
+    spark = docs.sparkSession
+    schema = T.StructType([*docs.select("doc_id").schema.fields, T.StructField("at", T.IntegerType())])
+    wanted = F.broadcast(spark.createDataFrame([(i, at) for at, i in enumerate(ids)], schema))
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
+            .join(wanted, "doc_id").groupBy("at").agg(F.min("text").alias("text")))
 
 
 def texts_of(docs: DataFrame, ids: list, max_chars: int) -> list:
-    """(doc_id, text) of the given ids (a bounded list, so they are broadcast and no text is
-    shuffled), in the list's order; of rows with one id the smallest text."""
+    """(doc_id, text) of the given ids, in the list's order."""
     if not ids:
         return []
-    spark = docs.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(i,) for i in ids], docs.select("doc_id").schema))
-    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
-            .join(wanted, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect())
-    found = {r.doc_id: r.text for r in rows}
-    return [(i, found[i]) for i in ids]
+    found = {r["at"]: r.text for r in _wanted(docs, ids, max_chars).collect()}
+    return [(i, found[at]) for at, i in enumerate(ids)]
+
+
+def learn(text, vocab: dict) -> np.ndarray:
+    """The ids of the text's words; new words join ``vocab``. 0: unknown, 1: text boundary."""
+    words = words_of(text)
+    for w in words:
+        if w not in vocab:
+            vocab[w] = len(vocab) + 2
+    return np.array([vocab[w] for w in words], np.int32)
+
+
+def _parts(texts: list, words: int = CHUNK):
+    """Slices of ``texts`` of about ``words`` ids: a bounded working set."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > words or i == len(texts) - 1:
+            yield slice(first, i + 1)
+            first, size = i + 1, 0
+
+
+def _framed(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """All ids with boundaries around each text, and the texts' lengths."""
+    lens = np.array([len(t) for t in texts], np.int64)
+    ids = np.ones(int(lens.sum()) + len(texts) + 1, np.int64)
+    at = 1
+    for t in texts:
+        ids[at:at + len(t)] = t
+        at += len(t) + 1
+    return ids, lens
 
 
 class KneserNey:
@@ -83,13 +124,14 @@ class KneserNey:
     class that uses it. The backoff weight is pooled over both classes, so a
     word that neither has seen cancels out of the ratio."""
 
-    def __init__(self, docs: list[list[bytes]], y: np.ndarray):
-        self.vocab: dict = {}
-        for d in docs:
-            for w in d:
-                self.vocab.setdefault(w, len(self.vocab) + 2)  # 0: unknown, 1: text boundary
-        size = len(self.vocab) + 2
-        conts = [self._continuations([d for d, k in zip(docs, y) if k == c], size) for c in (0, 1)]
+    def __init__(self, vocab: dict, texts: list[np.ndarray], y: np.ndarray):
+        """``texts``: ids of ``vocab``, which may hold words of other texts: they count as unknown."""
+        self.vocab = vocab
+        used = np.zeros(len(vocab) + 2, bool)
+        for t in texts:
+            used[t] = True
+        size = int(used.sum()) + 2
+        conts = [self._continuations([t for t, k in zip(texts, y) if k == c], len(used)) for c in (0, 1)]
         shared = sum((c > 0).astype(float) for c in conts)
         total, kinds = max(shared.sum(), 1.0), max((shared > 0).sum(), 1)
         lowest = np.maximum(shared - D_SHARED, 0) / total + D_SHARED * kinds / total / size
@@ -97,41 +139,37 @@ class KneserNey:
         disc = self._discount(seen)
         back = disc * len(seen) / max(seen.sum(), 1.0)
         logs = [np.log(np.maximum(c - disc, 0) / max(c.sum(), 1.0) + back * lowest) for c in conts]
-        self.diff = logs[1] - logs[0]
-        self.diff[0] = 0.0
+        self.diff = np.where(shared > 0, logs[1] - logs[0], 0.0)
 
-    def _continuations(self, docs, size) -> np.ndarray:
-        if not docs:
-            return np.zeros(size)
-        ids, _ = self._ids(docs)
-        return np.bincount(np.unique(ids[:-1] * size + ids[1:]) % size, minlength=size).astype(float)
+    @staticmethod
+    def _continuations(texts, size) -> np.ndarray:
+        pairs = np.zeros(0, np.int64)
+        for part in _parts(texts, 5 * CHUNK):
+            ids, _ = _framed(texts[part])
+            pairs = np.union1d(pairs, ids[:-1] * size + ids[1:])
+        return np.bincount(pairs % size, minlength=size).astype(float)
 
     @staticmethod
     def _discount(n) -> float:
         n1, n2 = (n == 1).sum(), (n == 2).sum()
         return n1 / (n1 + 2 * n2) if n1 and n2 else 0.75
 
-    def _ids(self, docs):
+    def ids(self, words: list[bytes]) -> np.ndarray:
         get = self.vocab.get
-        lens = np.array([len(d) for d in docs], np.int64)
-        ids = np.ones(int(lens.sum()) + len(docs) + 1, np.int64)  # boundaries between texts
-        at = 1
-        for d in docs:
-            ids[at:at + len(d)] = [get(w, 0) for w in d]
-            at += len(d) + 1
-        return ids, lens
-
-    def ratio(self, docs: list[list[bytes]]) -> np.ndarray:
+        return np.array([get(w, 0) for w in words], np.int32)
+
+    def ratio(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood ratio per word of each text (its end counts as a word), as the three
         shares that add up to it: words far likelier in ordinary text, words of either, words
         far likelier in toxic text."""
-        if not docs:
-            return np.zeros((0, 3))
-        ids, lens = self._ids(docs)
-        diff = self.diff[ids[1:]]
-        first = np.cumsum(np.r_[0, lens[:-1] + 1])
-        parts = [np.where(pick, diff, 0.0) for pick in (diff <= -MARKED, np.abs(diff) < MARKED, diff >= MARKED)]
-        return np.stack([np.add.reduceat(x, first) for x in parts], axis=1) / (lens + 1)[:, None]
+        out = np.zeros((len(texts), 3))
+        for part in _parts(texts):
+            ids, lens = _framed(texts[part])
+            diff = self.diff[ids[1:]]
+            first = np.cumsum(np.r_[0, lens[:-1] + 1])
+            shares = [np.where(pick, diff, 0.0) for pick in (diff <= -MARKED, np.abs(diff) < MARKED, diff >= MARKED)]
+            out[part] = np.stack([np.add.reduceat(x, first) for x in shares], axis=1) / (lens + 1)[:, None]
+        return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:
@@ -150,13 +188,11 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, f
     return beta[:-1] / scale, float(beta[-1])
 
 
-def fit(rows, rate: float | None):
-    """(model, slopes, intercept) from sampled rows (text, y)."""
-    y = np.array([r["y"] for r in rows], int)
+def fit(vocab: dict, texts: list[np.ndarray], y: np.ndarray, rate: float | None):
+    """(model, slopes, intercept) from the sample's texts as ids of ``vocab``."""
     if rate is None or len(set(y.tolist())) < 2:
         p = min(max(rate or 0.0, 1e-9), 1 - 1e-9)
         return None, np.zeros(3), float(np.log(p / (1 - p)))
-    docs = [words_of(r["text"]) for r in rows]
     half = np.zeros(len(y), int)
     for c in (0, 1):
         at = np.flatnonzero(y == c)
@@ -164,10 +200,10 @@ def fit(rows, rate: float | None):
     x = np.zeros((len(y), 3))
     for h in (0, 1):
         other, own = np.flatnonzero(half != h), np.flatnonzero(half == h)
-        x[own] = KneserNey([docs[i] for i in other], y[other]).ratio([docs[i] for i in own])
+        x[own] = KneserNey(vocab, [texts[i] for i in other], y[other]).ratio([texts[i] for i in own])
     weight = np.where(y == 1, rate / (y == 1).sum(), (1 - rate) / (y == 0).sum()) * len(y)
     slopes, bias = logistic(x, y, weight)
-    return KneserNey(docs, y), slopes, bias
+    return KneserNey(vocab, texts, y), slopes, bias
 
 
 def scorer(spark, model, slopes: np.ndarray, bias: float):
@@ -181,10 +217,9 @@ def scorer(spark, model, slopes: np.ndarray, bias: float):
         if kn is not None:
             held, size, at = [], 0, 0
             for i, t in enumerate(texts):
-                w = words_of(t)
-                held.append(w)
-                size += len(w)
-                if size > 200_000 or i == len(texts) - 1:  # bounded working set
+                held.append(kn.ids(words_of(t)))
+                size += len(held[-1])
+                if size > CHUNK or i == len(texts) - 1:  # bounded working set
                     out[at:i + 1] = kn.ratio(held)
                     held, size, at = [], 0, i + 1
         return pd.Series(1 / (1 + np.exp(-np.clip(out @ slopes + bias, -700, 700))))
@@ -194,8 +229,8 @@ def scorer(spark, model, slopes: np.ndarray, bias: float):
 def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, out: str = "score",
                     max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
     """``docs`` plus a score in 0..1; ``labelled`` holds the texts that ``labels`` marks."""
-    rows, rate = training_sample(labelled, labels, "toxic", max_docs, max_chars)
-    return docs.withColumn(out, scorer(docs.sparkSession, *fit(rows, rate))(F.col("text")))
+    sample = training_sample(labelled, labels, "toxic", max_docs, max_chars)
+    return docs.withColumn(out, scorer(docs.sparkSession, *fit(*sample))(F.col("text")))
 
 
 def drop_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
