@@ -189,3 +189,36 @@ def test_exact_quantiles_small_path_agrees(spark):
     a = {r["g"]: tuple(r)[1:] for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
     b = {r["g"]: tuple(r)[1:] for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
     assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
+
+
+def test_silhouette_of_lone_points_and_copies(spark):
+    """A cluster of one point scores 0, as does a point whose every distance is 0; several labellings share the distances."""
+    rows = [(0, 0.0, 0, 0), (1, 1.0, 0, 1), (2, 9.0, 1, 1), (3, 5.0, 2, 0)]
+    df = spark.createDataFrame(rows, "id long, x double, a int, b int")
+    one = CL.silhouette(df, "id", ["x"], "a").first()["silhouette"]
+    # ids 0 and 1: own distance 1, the nearest other cluster (id 3) at 5 and 4; ids 2 and 3 are alone.
+    assert abs(one - ((5 - 1) / 5 + (4 - 1) / 4) / 4) < 1e-12
+    assert np.allclose(CL.silhouettes(df, "id", ["x"], ["a", "b"]),
+                       [CL.silhouette(df, "id", ["x"], c).first()["silhouette"] for c in ("a", "b")])
+    same = spark.createDataFrame([(0, 2.0, 0), (1, 2.0, 0), (2, 2.0, 1), (3, 2.0, 1)], "id long, x double, a int")
+    assert CL.silhouette(same, "id", ["x"], "a").first()["silhouette"] == 0.0
+
+
+def test_optimal_k_over_many_columns(spark, monkeypatch):
+    """28 columns do not drown the optimizer; all fits of all k share their passes; a far point alone in its cluster is no error."""
+    df, cols = _blobs(spark, n=20, dims=28)
+    df = df.union(spark.createDataFrame([(999, 9, *[1e3] * 28)], df.schema))
+    calls, lloyd = [], CL._lloyd
+    monkeypatch.setattr(CL, "_lloyd", lambda b, starts, *a: calls.append(len(starts)) or lloyd(b, starts, *a))
+    best, scores = CL.find_optimal_k(df, "id", cols, range(2, 5), n_init=2)
+    assert calls == [6] and best == max(scores, key=lambda k: (scores[k], -k))
+    z = CL.standardize(df, cols)[0]
+    lab = CL.kmeans(z, cols, k=3, seed=42, n_init=2, scale=False, out="k")[0].toPandas()
+    x, y = lab[cols].to_numpy(), lab["k"].to_numpy()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    s = []
+    for i in range(len(x)):
+        own = y == y[i]
+        a, b = d[i, own].sum() / max(own.sum() - 1, 1), min(d[i, y == c].mean() for c in set(y) if c != y[i])
+        s.append(0.0 if own.sum() == 1 else (b - a) / max(a, b))
+    assert abs(scores[3] - np.mean(s)) < 1e-9
