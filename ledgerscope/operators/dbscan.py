@@ -141,12 +141,19 @@ def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float = 0.5, min_sa
     sizes = pin(placed.groupBy("cell").agg(parts(F.greatest(F.count_if("home"), F.lit(1))).alias("homes"),
                                            parts(F.count(F.lit(1))).alias("others")), cache=False)
 
+    # A task's work is far more than its bytes: their number is named, or few would hold all of them.
+    pairs = sizes.agg(F.sum(F.col("homes") * F.col("others"))).first()[0] or 1
+    tasks = int(min(pairs, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)))
+
+    def dealt(rows: DataFrame):
+        return _chunked(rows, sizes).repartition(tasks, "cell", "i", "j").groupBy("cell", "i", "j")
+
     def weigh(t: pd.DataFrame) -> pd.DataFrame:
         a, o = t[t["asked"]], t[t["other"]]
         got = DE.neighbour_weights(a[xs].to_numpy(float), o[xs].to_numpy(float), o["weight"].to_numpy(), eps, min_samples)
         return pd.DataFrame({"key": a["key"].to_numpy(), "weight": got})
 
-    core = pin(_chunked(placed, sizes).groupBy("cell", "i", "j").applyInPandas(weigh, "key long, weight long")
+    core = pin(dealt(placed).applyInPandas(weigh, "key long, weight long")
                .groupBy("key").agg(F.sum("weight").alias("weight")).filter(F.col("weight") >= min_samples)
                .select("key", F.lit(True).alias("is_core")))
 
@@ -161,7 +168,7 @@ def dbscan(df: DataFrame, id_col: str, cols: list[str], eps: float = 0.5, min_sa
                              "border": np.repeat([False, True], [len(names), len(i)])})
 
     marked = placed.join(core, "key", "left").withColumn("is_core", F.coalesce("is_core", F.lit(False))).filter("home OR is_core")
-    links = pin(_chunked(marked, sizes).groupBy("cell", "i", "j").applyInPandas(link, "key long, part long, border boolean"))
+    links = pin(dealt(marked).applyInPandas(link, "key long, part long, border boolean"))
     seen = links.filter("NOT border")
     own = pin(seen.groupBy("key").agg(F.min("part").alias("part")), cache=False)
     shared = (seen.select("key", F.col("part").alias("b")).join(own.withColumnRenamed("part", "a"), "key")

@@ -3,8 +3,9 @@
 Both sides are cut into balls (:func:`ledgerscope.operators.metric_index.build`). Two balls
 that lie wholly within eps of each other need no distance, two that lie apart neither; a ball of
 diameter eps is one node, and balls already in one component are not measured again. So a dense
-spot costs ball pairs, not point pairs, and no pair is ever stored. Distances near eps
-are measured exactly (coordinate by coordinate, like a SQL sum of squares)."""
+spot costs ball pairs, not point pairs, and no pair is ever stored. Between balls that are neither, only the points within
+eps of the other ball's box are measured: in many dimensions balls are wide, but a box is narrow in some.
+Distances near eps are measured exactly (coordinate by coordinate, like a SQL sum of squares)."""
 
 from __future__ import annotations
 
@@ -13,13 +14,16 @@ import numpy as np
 from ledgerscope.operators import metric_index as MI
 
 _EPS = float(np.finfo(float).eps)
+_LOOSE = 1.0 + 1e-9  # a box's squared distance is rounded otherwise than a point's
 
 
 def _balls(points: np.ndarray):
-    """(points in ball order, their rows, starts, centres, radii)."""
+    """(points in ball order, their rows, starts, centres, radii, least and most coordinates, points by dimension)."""
     if not len(points):
-        return points, np.zeros(0, np.int64), np.zeros(1, np.int64), points, np.zeros(0)
-    return MI.build(points, np.arange(len(points)))[:5]
+        return points, np.zeros(0, np.int64), np.zeros(1, np.int64), points, np.zeros(0), points, points, points.T
+    p, rows, starts, centres, radii = MI.build(points, np.arange(len(points)))[:5]
+    low, high = (f.reduceat(p, starts[:-1], axis=0) for f in (np.minimum, np.maximum))
+    return p, rows, starts, centres, radii, low, high, np.ascontiguousarray(p.T)
 
 
 def _rounding(n_dims: int, norm2):
@@ -30,7 +34,7 @@ def _rounding(n_dims: int, norm2):
 def within(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
     """Matrix of sqrt(sum of squares) <= eps."""
     d2 = MI.squared(x, y)
-    slack = _rounding(x.shape[1], (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :])
+    slack = _rounding(x.shape[1], (x * x).sum(axis=1) + (y * y).sum(axis=1).max(initial=0.0))[:, None]
     out = d2 <= eps * eps
     i, j = np.nonzero(np.abs(d2 - eps * eps) <= slack)
     out[i, j] = np.sqrt(MI.exact_squared(x[i], y[j])) <= eps
@@ -40,8 +44,8 @@ def within(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
 def _ball_pairs(a, b, eps: float):
     """For each ball of ``a``: its number, the balls of ``b`` wholly within eps of it, and those that may
     hold a point within eps."""
-    _, _, _, ca, ra = a
-    _, _, _, cb, rb = b
+    ca, ra, low_a, high_a = a[3:7]
+    cb, rb, low_b, high_b = b[3:7]
     if not len(b[0]):
         return
     nb = np.sqrt((cb * cb).sum(axis=1))
@@ -49,11 +53,29 @@ def _ball_pairs(a, b, eps: float):
         d = np.sqrt(MI.squared(ca[i:i + 1], cb)[0])
         wide = 1e-6 * (1.0 + np.sqrt((ca[i] * ca[i]).sum()) + nb)
         inside = d + ra[i] + rb + wide <= eps
-        yield i, np.flatnonzero(inside), np.flatnonzero(~inside & (d - ra[i] - rb - wide <= eps))
+        near = np.flatnonzero(~inside & (d - ra[i] - rb - wide <= eps))
+        gap = np.maximum(np.maximum(low_b[near] - high_a[i], low_a[i] - high_b[near]), 0.0)
+        yield i, np.flatnonzero(inside), near[(gap * gap).sum(axis=1) <= eps * eps * _LOOSE]
+
+
+def _near_box(a, i: int, b, balls: np.ndarray, eps: float) -> np.ndarray:
+    """Rows of the ``balls`` of ``b`` within eps of the box of ball i of ``a``: its narrow sides are asked first."""
+    low, high, by_dim = a[5][i], a[6][i], b[7]
+    rows = _rows(b[2], balls)
+    d2, limit = np.zeros(len(rows)), eps * eps * _LOOSE
+    for n, j in enumerate(np.argsort(high - low, kind="stable")):
+        y = by_dim[j][rows]
+        gap = np.maximum(np.maximum(low[j] - y, y - high[j]), 0.0)
+        d2 += gap * gap
+        if n % 3 == 2 or n == len(low) - 1:
+            keep = d2 <= limit
+            rows, d2 = rows[keep], d2[keep]
+    return rows
 
 
 def _rows(starts: np.ndarray, balls: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.arange(starts[i], starts[i + 1]) for i in balls]) if len(balls) else np.zeros(0, np.int64)
+    sizes = starts[balls + 1] - starts[balls]
+    return np.arange(sizes.sum()) + np.repeat(starts[balls] - np.cumsum(sizes) + sizes, sizes)
 
 
 def neighbour_weights(asked: np.ndarray, others: np.ndarray, weight: np.ndarray, eps: float, enough: int) -> np.ndarray:
@@ -70,8 +92,9 @@ def neighbour_weights(asked: np.ndarray, others: np.ndarray, weight: np.ndarray,
         sure = int(ball_w[inside].sum())
         out[a[1][rows]] = sure
         if sure < enough and len(near):
-            c = _rows(b[2], near)
-            out[a[1][rows]] += within(a[0][rows], b[0][c], eps) @ w[c]
+            c = _near_box(a, i, b, near, eps)
+            x, y = np.nonzero(within(a[0][rows], b[0][c], eps))
+            np.add.at(out, a[1][rows][x], w[c[y]])
     return out
 
 
@@ -108,7 +131,7 @@ def core_components(asked: np.ndarray, asked_node: np.ndarray, others: np.ndarra
     a, b = _balls(asked), _balls(others)
     an, bn = asked_node[a[1]], other_node[b[1]]
     tight = []
-    for (p, _, starts, c, r), nodes in ((a, an), (b, bn)):
+    for (_, _, starts, c, r), nodes in ((a[:5], an), (b[:5], bn)):
         wide = 1e-6 * (1.0 + np.sqrt((c * c).sum(axis=1)))
         tight.append(2 * r + wide <= eps)
         for i in np.flatnonzero(tight[-1]):
@@ -125,7 +148,7 @@ def core_components(asked: np.ndarray, asked_node: np.ndarray, others: np.ndarra
             same = tight[1][near] & (_root(parent, bn[b[2][near]]) == _root(parent, mine[:1]))
             near = near[~same]
         if len(near):
-            c = _rows(b[2], near)
+            c = _near_box(a, i, b, near, eps)
             hit = within(a[0][rows], b[0][c], eps)
             if tight[0][i]:
                 touched = bn[c[hit.any(axis=0)]]
@@ -142,7 +165,7 @@ def border_contacts(asked: np.ndarray, others: np.ndarray, component: np.ndarray
     found = [np.zeros((2, 0), np.int64)]
     for i, inside, near in _ball_pairs(a, b, eps):
         rows = a[1][a[2][i]:a[2][i + 1]]
-        c = _rows(b[2], np.concatenate([inside, near]))
+        c = np.concatenate([_rows(b[2], inside), _near_box(a, i, b, near, eps)])
         if len(c):
             x, y = np.nonzero(within(a[0][a[2][i]:a[2][i + 1]], b[0][c], eps))
             found.append(np.unique(np.stack([rows[x], component[b[1][c[y]]]]), axis=1))

@@ -222,3 +222,30 @@ def test_optimal_k_over_many_columns(spark, monkeypatch):
         a, b = d[i, own].sum() / max(own.sum() - 1, 1), min(d[i, y == c].mean() for c in set(y) if c != y[i])
         s.append(0.0 if own.sum() == 1 else (b - a) / max(a, b))
     assert abs(scores[3] - np.mean(s)) < 1e-9
+
+
+def test_dbscan_measures_only_near_boxes(monkeypatch):
+    """Points that one coordinate keeps apart are not measured, however wide their balls are; weights, components and borders agree with all pairs."""
+    from ledgerscope.operators import density as DE
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 0.4, (1500, 12)), rng.integers(0, 2, (1500, 3)) * 3.0], axis=1)
+    x[:300, :12] = rng.normal(0, 0.02, (300, 12))
+    w, pairs, plain = rng.integers(1, 4, len(x)), [], DE.within
+    monkeypatch.setattr(DE, "within", lambda a, b, eps: pairs.append(len(a) * len(b)) or plain(a, b, eps))
+    got = DE.neighbour_weights(x, x, w, 0.5, 10)
+    assert sum(pairs) < len(x) ** 2 / 2
+    near = np.array([np.sqrt(((x - r) ** 2).sum(axis=1)) <= 0.5 for r in x])
+    want = near @ w
+    assert (np.minimum(got, 10) == np.minimum(want, 10)).all()
+    core = want >= 10
+    root = DE.core_components(x[core], np.arange(core.sum()), x[core], np.arange(core.sum()), int(core.sum()), 0.5)
+    link, label = near[np.ix_(core, core)], np.arange(core.sum())
+    while True:
+        new = np.where(link, label[None, :], len(label)).min(axis=1)
+        if (new == label).all():
+            break
+        label = new
+    assert (root == label).all()
+    i, c = DE.border_contacts(x[~core], x[core], root, 0.5)
+    r, k = np.nonzero(near[np.ix_(~core, core)])
+    assert set(zip(i.tolist(), c.tolist())) == set(zip(r.tolist(), root[k].tolist()))
