@@ -249,3 +249,14 @@ def test_dbscan_measures_only_near_boxes(monkeypatch):
     i, c = DE.border_contacts(x[~core], x[core], root, 0.5)
     r, k = np.nonzero(near[np.ix_(~core, core)])
     assert set(zip(i.tolist(), c.tolist())) == set(zip(r.tolist(), root[k].tolist()))
+
+
+def test_kmeans_starts_share_one_cached_input(spark, monkeypatch):
+    """Every start reads the same cached vectors (of an input that is not cached each fit persists its own copy), and they are released."""
+    df, cols = _blobs(spark, n=50)
+    seen, fit = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, data: seen.append((id(data), data.storageLevel.useMemory)) or fit(self, data))
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    CL.kmeans(df, cols, k=3, n_init=3)
+    assert len(seen) == 3 and len(set(seen)) == 1 and seen[0][1]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
