@@ -260,3 +260,12 @@ def test_kmeans_starts_share_one_cached_input(spark, monkeypatch):
     CL.kmeans(df, cols, k=3, n_init=3)
     assert len(seen) == 3 and len(set(seen)) == 1 and seen[0][1]
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
+def test_silhouette_of_a_missing_value_stays_in_its_cluster(spark):
+    """A row that is no number spoils the sums of its own cluster, not those of the others."""
+    from ledgerscope.operators.knn import cluster_distance_sums
+    rows = [(0, 0.0, 0), (1, 1.0, 0), (2, 5.0, 1), (3, None, 2), (4, 7.0, 1)]
+    df = spark.createDataFrame(rows, "id long, x double, a int")
+    got = {(r.qid, r.lab): r.dsum for r in cluster_distance_sums(df, "id", ["x"], "a").collect()}
+    assert got[0, 0] == 1.0 and got[0, 1] == 12.0 and got[2, 0] == 9.0 and np.isnan(got[0, 2] if got[0, 2] is not None else np.nan)
